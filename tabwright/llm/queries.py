@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, simhash
+from tabwright.llm import lines, simhash, simple8b
 from tabwright.llm.common import table
 
 
+def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return simple8b.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -21,7 +27,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op8_simhash_trie": op8_simhash_trie, "op9_line_dedup": op9_line_dedup}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op4_simple8b, op8_simhash_trie, op9_line_dedup)
+}
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
