@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import lines, simhash, simple8b
+from tabwright.llm import licences, lines, mixing, simhash, simple8b
 from tabwright.llm.common import table
 
 
@@ -17,6 +17,15 @@ def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.with_copies(table(spark, sf_dir, "documents"), seed=7, repetition_limit=2.0)
+    return found.select("row.doc_id", "row.source", F.round("weight", 9).alias("weight"), "block", "place", "copies")
+
+
+def op10_licence_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).withColumn("dice", F.round("dice", 6))
+
+
 def op8_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -28,12 +37,28 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simple8b, op8_simhash_trie, op9_line_dedup)
+    f.__name__: f for f in (op4_simple8b, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ORACLES: dict[str, str] = {
+    "op7_temperature_mixing": r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CASE WHEN source IS NULL THEN '' ELSE '=' || source END AS key,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n, ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, text, '')), 1, 15))::BIGINT AS place FROM documents),
+s AS (SELECT key, count(*) AS docs, sum(n)::BIGINT AS tokens, ceil(count(*) / 2000)::BIGINT AS blocks FROM d GROUP BY key),
+p AS (SELECT key, docs, tokens, blocks, ln(tokens / (SELECT sum(tokens) FROM s)) AS p FROM s),
+e AS (SELECT min(p) AS least, max(p) AS most FROM p WHERE tokens > 0),
+b AS (SELECT 0 AS k, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi UNION ALL
+  SELECT k + 1, CASE WHEN fits THEN lo ELSE mid END, CASE WHEN fits THEN mid ELSE hi END FROM (SELECT k, lo, hi, (lo + hi) / 2 AS mid,
+    exp(((lo + hi) / 2 - 1) * least) / exp(((lo + hi) / 2 - 1) * most) <= 2 AS fits FROM b, e WHERE k < 48)),
+w AS (SELECT *, exp((SELECT hi FROM b WHERE k = 48) * p) AS raw FROM p),
+v AS (SELECT *, raw / (SELECT sum(raw) FROM w) AS weight FROM w),
+r AS (SELECT *, round((weight / tokens) / (SELECT min(weight / tokens) FROM v), 9) AS repeats FROM v),
+t AS (SELECT d.*, weight, repeats, place % blocks AS block FROM d JOIN r USING (key)),
+u AS (SELECT *, sum(n) OVER (PARTITION BY key, block ORDER BY place) AS upto, sum(n) OVER (PARTITION BY key, block) AS total FROM t)
+SELECT doc_id, source, round(weight, 9) AS weight, block, place,
+  (floor(repeats) + CASE WHEN repeats > floor(repeats) AND upto - n / 2.0 <= (repeats - floor(repeats)) * total THEN 1 ELSE 0 END)::BIGINT AS copies FROM u""",
     "op9_line_dedup": f"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
@@ -46,6 +71,20 @@ FROM m GROUP BY doc_id""",
 }
 
 
+_TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licences.TEMPLATES.items())
+_GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_ORACLES["op10_licence_dice"] = f"""
+WITH t AS (SELECT licence, {_GRAMS} AS g FROM (SELECT licence, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM (VALUES {_TEMPLATES}) v(licence, text))),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT *, regexp_matches(line, '[A-Za-z0-9]') AS has, sum(CASE WHEN regexp_matches(line, '[A-Za-z0-9]') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM l),
+u AS (SELECT doc_id, i AS line, 1 AS n_lines, line AS text FROM k UNION ALL
+  SELECT doc_id, min(i), count(*), string_agg(line, chr(10) ORDER BY i) FROM k WHERE has GROUP BY doc_id, part HAVING count(*) > 1),
+g AS (SELECT doc_id, line, n_lines, {_GRAMS} AS g FROM (SELECT doc_id, line, n_lines, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM u)),
+d AS (SELECT doc_id, line, n_lines, licence, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice
+  FROM g JOIN t ON len(g.g) > 0 AND 4 * len(g.g) <= 6 * len(t.g) AND 4 * len(t.g) <= 6 * len(g.g))
+SELECT doc_id, line::BIGINT AS line, n_lines::BIGINT AS n_lines, licence, round(dice, 6) AS dice FROM d WHERE dice >= 0.8"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
