@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -151,13 +152,13 @@ class ChunkEncoder:
 
     A chunk is a run of white space with the run of other characters after it. Byte-level BPE pre-tokens never go on from other
     characters into white space, so the ids of a text are those of its chunks in turn. Most texts have only single spaces and line
-    feeds as white space, and are cut up by ``split``; a text where white space meets white space goes by the pattern. The control
+    feeds as white space, and are cut up by Arrow's split; a text where white space meets white space goes by the pattern. The control
     characters \\x1c to \\x1f, which Python alone calls white space, count as other characters.
     """
 
     CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-    #: Distinct pieces kept, some 200 bytes each.
-    MOST = 700_000
+    #: Distinct pieces kept, some 200 bytes each; pieces that go to the library at once.
+    MOST, JOINED = 700_000, 20_000
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -165,57 +166,78 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_str(json)
         self.tokenizer.encode_special_tokens = True
+        self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self._clear()
 
     def _clear(self) -> None:
         self.codes, self.flat, self.n_flat, self.n = _Codes(), np.zeros(1 << 16, np.uint32), 0, 0
-        self.start, self.size, self.mixed = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, bool)
+        self.start, self.size, self.mixed = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, bool)
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum())), sizes
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks encoded as one text. A byte-level token is as long as its bytes, so the ends of the chunks are ends of tokens."""
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, np.uint32)
+        ends, want = np.cumsum(self.token_bytes[ids]), np.cumsum(pc.binary_length(pa.array(texts)).to_numpy(), dtype=np.int64)
+        at = np.searchsorted(ends, want)
+        if at[-1] >= len(ends) or not np.array_equal(ends[at], want):
+            return self._each(texts)
+        return ids, np.diff(at + 1, prepend=0)
 
     def _learn(self) -> None:
         """A piece stands for itself if it is a tuple or begins with a line feed, else for a space and itself."""
         waiting, self.codes.waiting = self.codes.waiting, []
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p[0] if isinstance(p, tuple) else p if p[:1] == "\n" else f" {p}" for p in waiting], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(sizes.sum())
-        while self.n_flat + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while self.n + len(found) > len(self.start):
+        single = isinstance(waiting[0], tuple)
+        bare = [p[0] for p in waiting] if single else [p[1:] if p[:1] == "\n" else p for p in waiting]
+        mixed = [not x or len(x.strip()) < len(x) for x in bare]  # white space may meet white space at an end of the piece
+        texts = bare if single else [p if p[:1] == "\n" else f" {p}" for p in waiting]
+        alone = range(len(waiting)) if single else [i for i, x in enumerate(mixed) if x]
+        plain = [] if single else [i for i, x in enumerate(mixed) if not x] if alone else range(len(waiting))
+        parts = [(alone, self._each)] if len(alone) else []
+        parts += [(plain[i : i + self.JOINED], self._joined) for i in range(0, len(plain), self.JOINED)]
+        while self.n + len(waiting) > len(self.start):
             self.start, self.size, self.mixed = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.mixed))
-        new = slice(self.n, self.n + len(found))
-        self.flat[self.n_flat : self.n_flat + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        self.start[new], self.size[new] = self.n_flat + np.cumsum(sizes) - sizes, sizes
-        self.mixed[new] = [self._is_mixed(p) for p in waiting]
-        self.n_flat, self.n = self.n_flat + total, self.n + len(found)
-
-    @staticmethod
-    def _is_mixed(piece: str | tuple[str]) -> bool:
-        """Whether white space may meet white space at an end of the piece."""
-        bare = piece[0] if isinstance(piece, tuple) else piece.removeprefix("\n")
-        return not bare or bare[0].isspace() or bare[-1].isspace()
-
-    def _codes(self, pieces: list[str], first: str) -> np.ndarray:
-        codes = list(map(self.codes.__getitem__, pieces))
-        if first:
-            codes.insert(0, self.codes[(first,)])
+        self.mixed[self.n : self.n + len(waiting)] = mixed
+        for which, how in parts:
+            ids, sizes = how([texts[i] for i in which])
+            while self.n_flat + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat[self.n_flat : self.n_flat + len(ids)] = ids
+            codes = self.n + np.array(which)
+            self.start[codes], self.size[codes] = self.n_flat + np.cumsum(sizes) - sizes, sizes
+            self.n_flat += len(ids)
+        self.n += len(waiting)
+
+    def _known(self, pieces: list[str] | list[tuple[str]]) -> np.ndarray:
+        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int32, len(pieces))
         if self.codes.waiting:
             self._learn()
-        return np.array(codes, np.int64)
+        return codes
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of one text, as uint32."""
+    def _ids(self, codes: np.ndarray) -> np.ndarray:
+        sizes = self.size[codes]
+        ends = np.cumsum(sizes, dtype=np.int32)
+        return self.flat[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, as uint32; null is empty."""
         if len(self.codes) > self.MOST:
             self._clear()
-        first, *pieces = text.replace("\n", " \n").split(" ")
-        codes = self._codes(pieces, first)
-        if self.mixed[codes].any():
-            codes = np.array([self.codes[(c,)] for c in self.CHUNK.findall(text)], np.int64)
-            if self.codes.waiting:
-                self._learn()
-        if not len(codes):
-            return np.zeros(0, np.uint32)
-        sizes = self.size[codes]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        texts = pc.fill_null(texts, "")
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        codes = self._known(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        first = offsets[:-1]
+        codes[first] = self._known([(x,) for x in split.flatten().take(pa.array(first)).to_pylist()])
+        mixed = np.logical_or.reduceat(self.mixed[codes], first)
+        out = [self._ids(codes[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+        for i in np.flatnonzero(mixed).tolist():
+            out[i] = self._ids(self._known([(c,) for c in self.CHUNK.findall(texts[i].as_py())]))
+        return out
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -232,9 +254,11 @@ def _encode(json, end_id: int, segment_ids: int):
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["part", "seq", "n_docs", "n_ids", "data"])
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            if not batch.num_rows:
+                continue
+            for doc, own in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
                 docs.append(doc)
-                ids.append(np.append(encoder.encode(text or ""), np.uint32(end_id)))
+                ids.append(np.append(own, np.uint32(end_id)))
                 n += len(ids[-1])
                 if n >= segment_ids:
                     yield out()
