@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import licences, lines, mixing, simhash, simple8b
+from tabwright.llm import licences, lines, mixing, neighbours, simhash, simple8b
 from tabwright.llm.common import table
 
 
+def op3_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,7 +41,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_simple8b, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
+    f.__name__: f for f in (op3_projected_neighbours, op4_simple8b, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
