@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import map_arrow, shared_dir
+from tabwright.llm.common import cut, map_arrow, shared_dir
 
 #: Selector 1 to 15: how many values of how many bits share the 60 bits below the selector. Selector 0 is the escape: one value of any
 #: size, kept as a raw word.
@@ -282,7 +282,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
         json = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary")
+    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000)
     out.write.option("compression", "zstd").parquet(path)
 
 
@@ -297,7 +297,9 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     bases = spark.createDataFrame(rows, "part int, base bigint")
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     starts = found.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("within")).join(bases, "part")
-    return found.join(starts.select("part", "seq", (F.col("base") + F.col("within")).alias("start")), ["part", "seq"])
+    # written first, so that its size is known: while it is small the segments stay where they are
+    starts = cut(starts.select("part", "seq", (F.col("base") + F.col("within")).alias("start")))
+    return found.join(starts, ["part", "seq"])
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
