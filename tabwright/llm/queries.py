@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontam, licences, lines, mixing, neighbours, simhash, simple8b
+from tabwright.llm import decontam, licences, lines, lm, mixing, neighbours, simhash, simple8b
 from tabwright.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("share", F.round("share", 6))
 
 
+def op6_partial_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.with_copies(table(spark, sf_dir, "documents"), seed=7, repetition_limit=2.0)
     return found.select("row.doc_id", "row.source", F.round("weight", 9).alias("weight"), "block", "place", "copies")
@@ -46,7 +50,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
+    f.__name__: f for f in (op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
