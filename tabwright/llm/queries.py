@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontam, licences, lines, lm, mixing, neighbours, quality, simhash, simple8b
+from tabwright.llm import decontam, licences, lines, lm, mixing, neighbours, pii, quality, simhash, simple8b
 from tabwright.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op1_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "keep", F.round("p_good", 6).alias("p_good"), F.round("p_low", 6).alias("p_low"), F.round("p_toxic", 6).alias("p_toxic"))
 
 
+def op2_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op3_projected_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
@@ -55,7 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_weak_labels, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
+    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
