@@ -179,3 +179,10 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: st
     roots = components(trie_self_join(classes, budget, chunk_rows))
     named = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of its component, and those without an id. Only ids are joined to the texts."""
+    found = near_duplicates(docs, id_col=id_col, **how)
+    later = cut(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_later_id")).distinct())
+    return docs.join(later, docs[id_col].cast("bigint") == later["_later_id"], "left_anti")
