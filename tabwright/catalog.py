@@ -5,43 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabwright.session import table
-
-MASTER_SQL = """
-SELECT c_custkey AS customer_id, c_acctbal, c_mktsegment, c_nationkey, coalesce(n_orders, 0) AS n_orders, total_spend, avg_spend, max_spend
-FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, sum(o_totalprice) AS total_spend, avg(o_totalprice) AS avg_spend,
-  max(o_totalprice) AS max_spend FROM orders GROUP BY 1) ON c_custkey = o_custkey"""
-
-
-def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer: balance, segment, nation and order aggregates."""
-    spend = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.count("*").alias("n_orders"), F.sum("o_totalprice").alias("total_spend"), F.avg("o_totalprice").alias("avg_spend"), F.max("o_totalprice").alias("max_spend"))
-    return table(spark, sf_dir, "customer").join(spend, "c_custkey", "left").select(
-        F.col("c_custkey").alias("customer_id"), "c_acctbal", "c_mktsegment", "c_nationkey", F.coalesce("n_orders", F.lit(0)).cast("bigint").alias("n_orders"), "total_spend", "avg_spend", "max_spend")
-
-
-def _outlier_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tabwright.operators.outliers import outlier_detection
-
-    kept, _, _ = outlier_detection(master(spark, sf_dir), ["c_acctbal", "total_spend"], 0.95, "customer_id")
-    return kept.select("customer_id", F.round("c_acctbal", 2).alias("c_acctbal"), F.round("total_spend", 2).alias("total_spend"))
-
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"outlier_quantile_kept": _outlier_kept}
-_ORACLES: dict[str, str] = {
-    "outlier_quantile_kept": f"""
-WITH m AS ({MASTER_SQL}), q AS (SELECT quantile_cont(c_acctbal, 0.95) AS qa, quantile_cont(total_spend, 0.95) AS qs FROM m),
-bad AS (SELECT customer_id FROM m, q WHERE c_acctbal > qa OR total_spend > qs)
-SELECT customer_id, round(c_acctbal, 2) AS c_acctbal, round(total_spend, 2) AS total_spend FROM m WHERE customer_id NOT IN (SELECT customer_id FROM bad)"""
-}
+from tabwright.queries import base, functions, tables  # noqa: F401  they register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(base.ORACLES)
