@@ -75,10 +75,10 @@ def correlation_pairs(df: DataFrame, cols: list[str], method: str = "pearson") -
 
 
 def _corr(a: str, b: str) -> Column:
-    """Null, not an error, where a column is constant."""
+    """From covariance and deviations: null where a column is constant, for which ``corr`` itself divides by zero under ANSI mode."""
     both = _d(a).isNotNull() & _d(b).isNotNull()
     x, y = F.when(both, _d(a)), F.when(both, _d(b))
-    return F.when((F.stddev_pop(x) > 0) & (F.stddev_pop(y) > 0), F.corr(x, y))
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
 def kendall(df: DataFrame, a: str, b: str) -> float | None:
