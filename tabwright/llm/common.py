@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,37 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = 2000) -> DataFrame:
+class _Released:
+    """A batch function whose task gives unused Arrow memory back at its end: workers live on from stage to stage."""
+
+    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        self.f = f
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from self.f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = 2000, megabytes: int = 16) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    return df.mapInArrow(f, schema)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+    return df.mapInArrow(_Released(f), schema)
+
+
+_cached: dict[Hashable, Any] = {}
+
+
+def worker_cache(owner: Hashable, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task of one operator; a task of another operator drops it.
+
+    It has to be reached by a function of a module: a function inside another travels with copies of the globals it names."""
+    if owner not in _cached:
+        _cached.clear()
+        _cached[owner] = make()
+    return _cached[owner]
 
 
 def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import cut, map_arrow
+from tabwright.llm.common import cut, map_arrow, worker_cache
 
 # Number words, units and given names that are placeholders wherever they stand.
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -59,9 +59,6 @@ class _Words(dict):
         return found
 
 
-_words = _Words()
-
-
 def _windows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Of all texts in turn: each eligible window's first token, its hash; each token's slot flag and code; the words by code; the texts' first tokens.
 
@@ -71,9 +68,10 @@ def _windows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
     coded = split.flatten().dictionary_encode()
     words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    if len(_words) > _MOST_WORDS:
-        _words.clear()
-    known = [_words[w] for w in words]
+    cache = worker_cache("template words", _Words)
+    if len(cache) > _MOST_WORDS:
+        cache.clear()
+    known = [cache[w] for w in words]
     own, flags = np.array([h for h, _ in known], np.uint64)[codes], np.array([f for _, f in known], np.uint8)[codes]
     starts = np.zeros(len(codes) + 1, bool)
     starts[offsets] = True

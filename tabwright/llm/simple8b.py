@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import cut, map_arrow, shared_dir
+from tabwright.llm.common import cut, map_arrow, shared_dir, worker_cache
 
 #: Selector 1 to 15: how many values of how many bits share the 60 bits below the selector. Selector 0 is the escape: one value of any
 #: size, kept as a raw word.
@@ -158,7 +158,7 @@ class ChunkEncoder:
 
     CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
     #: Distinct pieces kept, some 200 bytes each; pieces that go to the library at once.
-    MOST, JOINED = 700_000, 20_000
+    MOST, JOINED = 500_000, 20_000
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -240,12 +240,9 @@ class ChunkEncoder:
         return out
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def _encode(json, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(json.value) or _encoders.setdefault(json.value, ChunkEncoder(json.value))
+        encoder = worker_cache(("chunk encoder", json.value), lambda: ChunkEncoder(json.value))
         part, docs, ids, n, seq = TaskContext.get().partitionId(), [], [], 0, 0
 
         def out() -> pa.RecordBatch:
@@ -282,7 +279,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
         json = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000)
+    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000, megabytes=8)
     out.write.option("compression", "zstd").parquet(path)
 
 
