@@ -20,7 +20,7 @@ LABELLERS = ("symbols", "capitals", "exclamations", "repetition", "cells", "word
 # Words that the insult labeller knows.
 INSULTS = "bastard clown disgusting dumb fool garbage idiot idiots imbecile jerk loser losers moron morons pathetic scum stupid trash ugly worthless".split()
 #: Buckets of the scorer (hashed words, then the shape features), labelled documents it is trained on at most (about), and passes.
-BUCKETS, SAMPLE_DOCS, PASSES = 1 << 20, 12_000, 200
+BUCKETS, SAMPLE_DOCS, PASSES = 1 << 20, 8_000, 200
 #: Letters of a word's beginning; buckets that get a weight, those of the largest information gain, and the share of the sample's documents
 #: that each must occur in (3 at least): rarer ones only tell texts apart.
 PREFIX, CHOSEN, LEAST_SHARE = 4, 256, 1 / 300
@@ -238,10 +238,12 @@ def fit(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS, sampl
     sizes = pc.list_value_length(lists[0]).to_numpy()
     where = np.searchsorted(np.sort(codes), sample.column("code").to_numpy())
     target = posterior[np.argsort(codes)][where]
-    of, bucket, value = np.repeat(np.arange(len(sizes)), sizes), lists[0].flatten().to_numpy().astype(np.int64), lists[1].flatten().to_numpy().astype(np.float64)
+    of, bucket, value = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), lists[0].flatten().to_numpy(), lists[1].flatten().to_numpy()
     hashed = bucket < buckets
     among = np.append(choose(of[hashed], bucket[hashed], target, buckets), np.ones(_SHAPES, bool))[bucket]
-    w = fit_scorer(of[among], bucket[among], value[among], target, width)
+    of, bucket, value = of[among], bucket[among].astype(np.int64), value[among].astype(np.float64)
+    del sample, lists, hashed, among
+    w = fit_scorer(of, bucket, value, target, width)
     return Scorer(w, buckets), accuracy
 
 
