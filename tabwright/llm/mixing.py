@@ -91,7 +91,7 @@ def plan(docs: DataFrame, seed: int = 7, target_entropy: float | None = None, re
     spent = light.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(block))
     extra = F.col("upto") - F.col("n") / 2.0 <= (F.col("repeats") - F.floor("repeats")) * F.col("total")
     cutoffs = spent.filter(extra).filter("repeats > floor(repeats)").groupBy("key", "block").agg(F.max("place").alias("cutoff"))
-    return found, cutoffs
+    return found, cut(cutoffs)  # written, so that their size is known: while they are few the texts stay where they are
 
 
 def with_copies(docs: DataFrame, seed: int = 7, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
