@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +14,7 @@ from tabwright.llm.common import bytes_of, components, cut, map_arrow, texts
 
 #: Fingerprints of one trie partition, and of one chunk of a top node that holds very many.
 PARTITION_ROWS, CHUNK_ROWS = 1_000_000, 20_000
-_LEAF_PAIRS, _STEP = 64, 2_000_000
+_LEAF_PAIRS, _STEP, _TESTED = 64, 2_000_000, 100_000
 
 
 def _shingle_hashes(text: bytes, words: int) -> list[int]:
@@ -39,20 +39,45 @@ def _majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(total * 2 > len(bits)).tobytes(), "big")
 
 
+#: Bins of a document's sketch: the least hash of each bin of its distinct shingles, as one byte; 0 for none.
+SKETCH = 128
+
+
+def sketch(hashes: np.ndarray) -> bytes:
+    """One-permutation min-hash: the hashes fall into bins by their top bits."""
+    h = np.unique(hashes * np.uint64(0x9E3779B97F4A7C15))
+    first = np.searchsorted(h, np.arange(SKETCH, dtype=np.uint64) << np.uint64(57))
+    stop = np.append(first[1:], len(h))
+    out = np.zeros(SKETCH, np.uint8)
+    full = first < stop
+    out[full] = (h[first[full]] >> np.uint64(20)) % np.uint64(255) + np.uint64(1)
+    return out.tobytes()
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of sketches, row by row: equal bins over bins that either has; without any, 1."""
+    equal, any_ = (a == b) & (a > 0), (a > 0) | (b > 0)
+    n = any_.sum(1)
+    share = equal.sum(1) / np.maximum(n, 1)
+    return np.where(n > 0, (share - 1 / 255) / (1 - 1 / 255), 1.0)
+
+
 def simhash(text: bytes, words: int = 3) -> int:
     hashes = _shingle_hashes(text, words)
     return _majority(np.array(hashes, np.uint64)) if hashes else 0
 
 
-def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp bigint): 64-bit SimHash over the XXH64 (seed 42) of all word shingles, repeats included. Null or blank text: 0."""
+def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text", sketches: bool = False) -> DataFrame:
+    """(doc_id, fp bigint, sketch): 64-bit SimHash over the XXH64 (seed 42) of all word shingles, repeats included; null or blank text: 0. The sketch is null unless asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([simhash(x, words) for x in bytes_of(batch, "text")], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], ["doc_id", "fp"])
+            all_ = [np.array(_shingle_hashes(x, words), np.uint64) for x in bytes_of(batch, "text")]
+            fps = np.array([_majority(h) if len(h) else 0 for h in all_], np.uint64).view(np.int64)
+            own = pa.array([sketch(h) for h in all_] if sketches else [None] * len(all_), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), own], ["doc_id", "fp", "sketch"])
 
-    return map_arrow(texts(docs, id_col, text_col), run, "doc_id bigint, fp bigint")
+    return map_arrow(texts(docs, id_col, text_col), run, "doc_id bigint, fp bigint, sketch binary")
 
 
 def _ones_from(v: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
@@ -109,10 +134,15 @@ def _leaves(v: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: n
         yield i[near], j[near]
 
 
-def _forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """For each of n items the smallest item that it is linked to, directly or not."""
+def _forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]], near: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """For each of n items the smallest item that it is linked to, directly or not. ``near`` tests pairs that aren't connected yet, some at a time."""
     root = np.arange(n)
-    for i, j in links:
+    for i, j in ((a[k : k + _TESTED], b[k : k + _TESTED]) for a, b in links for k in range(0, len(a), _TESTED)):
+        if near is not None:
+            apart = root[i] != root[j]
+            i, j = i[apart], j[apart]
+            good = near(i, j)
+            i, j = i[good], j[good]
         while len(i):
             a, b = root[i], root[j]
             low, high = np.minimum(a, b), np.maximum(a, b)
@@ -124,7 +154,7 @@ def _forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return root
 
 
-def _links(budget: int, top: int):
+def _links(budget: int, top: int, least: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [x for x in batches if x.num_rows]
         if not got:
@@ -133,9 +163,13 @@ def _links(budget: int, top: int):
         rot = rot.view(np.uint64)
         order = np.lexsort((node, rot, rot >> np.uint64(64 - top), tree))
         node, rot, tree = node[order], rot[order], tree[order]
+        test = None
+        if least is not None:
+            held = np.concatenate([np.frombuffer(b"".join(x.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH) for x in got])[order]
+            test = lambda i, j: similarity(held[i], held[j]) >= least
         head = rot >> np.uint64(64 - top)
         new = np.flatnonzero(np.r_[True, (head[1:] != head[:-1]) | (tree[1:] != tree[:-1])])
-        root = _forest(len(rot), trie_links(rot, new, np.r_[new[1:], len(rot)], budget, 63 - top))
+        root = _forest(len(rot), trie_links(rot, new, np.r_[new[1:], len(rot)], budget, 63 - top), test)
         linked = np.flatnonzero(root != np.arange(len(rot)))
         for i in range(0, len(linked), 100_000):
             part = linked[i : i + 100_000]
@@ -144,8 +178,8 @@ def _links(budget: int, top: int):
     return run
 
 
-def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_ROWS, n_rows: int | None = None) -> DataFrame:
-    """(u, v) links that connect all classes (node bigint, fp bigint, fp distinct) within ``budget`` differing bits.
+def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_ROWS, n_rows: int | None = None, least: float | None = None) -> DataFrame:
+    """(u, v) links that connect all classes (node bigint, fp bigint, sketch binary; fp distinct) within ``budget`` differing bits, and, with ``least``, of sketches that are at least so similar.
 
     Two fingerprints within the budget agree on one of budget + 1 blocks of bits. So the trie is built once for each block, with that
     block rotated to the top, and only pairs under one top node are traversed: top nodes are what Spark deals out. A top node with
@@ -155,28 +189,32 @@ def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_
     """
     top = 64 // (budget + 1)
     rots = [F.struct(F.lit(r).alias("r"), (F.shiftleft("fp", s).bitwiseOR(F.shiftrightunsigned("fp", 64 - s)) if s else F.col("fp")).alias("rot")) for r, s in enumerate(top * k for k in range(budget + 1))]
-    keyed = classes.select("node", F.explode(F.array(*rots)).alias("x")).select("node", "x.r", "x.rot").withColumn("head", F.shiftrightunsigned("rot", 64 - top))
+    keyed = classes.select("node", "sketch", F.explode(F.array(*rots)).alias("x")).select("node", "sketch", "x.r", "x.rot").withColumn("head", F.shiftrightunsigned("rot", 64 - top))
     counts = keyed.groupBy("r", "head").agg(F.count("*").alias("n")).filter("n > 1")
     keyed = keyed.join(counts, ["r", "head"]).withColumn("k", F.ceil(F.col("n") / chunk_rows).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     pairs = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(j, own) * F.col("k") + F.greatest(j, own)))
-    dealt = keyed.select("node", "rot", "r", "head", F.explode(pairs).alias("c")).withColumn("tree", F.xxhash64("r", "head", "c"))
+    dealt = keyed.select("node", "sketch", "rot", "r", "head", F.explode(pairs).alias("c")).withColumn("tree", F.xxhash64("r", "head", "c"))
     spark = classes.sparkSession
     n = n_rows if n_rows is not None else classes.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (budget + 1) // PARTITION_ROWS))
-    return map_arrow(dealt.select("node", "rot", "tree").repartition(parts, "tree"), _links(budget, top), "u bigint, v bigint")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (budget + 1) // (PARTITION_ROWS if least is None else PARTITION_ROWS // 5)))
+    wanted = ["node", "rot", "tree"] + (["sketch"] if least is not None else [])
+    return map_arrow(dealt.select(*wanted).repartition(parts, "tree"), _links(budget, top, least), "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk_rows: int = CHUNK_ROWS, least: float | None = None) -> DataFrame:
     """(doc_id, fp bigint, component_id): documents joined by chains of fingerprints that differ in at most ``budget`` bits.
 
+    With ``least`` a pair within the budget links only if the Jaccard similarity of its shingles, estimated from sketches of 128 bytes
+    that travel with the fingerprints, is at least that: a wide budget then finds more near copies and joins no others.
+
     component_id is the smallest doc_id of the component. Documents with equal fingerprints form one class, and only classes are linked,
     so thousands of copies cost one fingerprint. Null or blank texts have fingerprint 0 and link like any other; repeated rows share
     their component; rows without an id are left out; an empty table gives no rows; further columns are ignored.
     """
-    fps = cut(fingerprints(docs, words, id_col, text_col))
-    classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    roots = components(trie_self_join(classes, budget, chunk_rows))
+    fps = cut(fingerprints(docs, words, id_col, text_col, least is not None))
+    classes = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "sketch")).alias("x")).select(F.col("x.doc_id").alias("node"), "x.sketch", "fp"))
+    roots = components(trie_self_join(classes, budget, chunk_rows, least=least))
     named = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 

@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from tabwright.llm.common import components
-from tabwright.llm.simhash import near_duplicates, simhash, trie_links
+from tabwright.llm.simhash import keep_first, near_duplicates, similarity, simhash, sketch, trie_links
 
 
 def brute_fp(text):
@@ -71,3 +71,41 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(1, 1)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {i: 100 for i in range(101, 141)} | {i: 7 for i in range(8, 60)}
+
+
+def jaccard(a, b, k=5):
+    x, y = ({" ".join(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_sketch_estimates_similarity():
+    rng = np.random.default_rng(7)
+    for share in (0.0, 0.5, 0.8, 1.0):
+        a = rng.integers(0, 2**63, 5000, np.uint64)
+        b = np.concatenate([a[: int(5000 * share)], rng.integers(0, 2**63, 5000 - int(5000 * share), np.uint64)])
+        true = len(set(a.tolist()) & set(b.tolist())) / len(set(a.tolist()) | set(b.tolist()))
+        got = similarity(*(np.frombuffer(sketch(x), np.uint8)[None] for x in (a, b)))[0]
+        assert abs(got - true) < 0.13
+    none = np.frombuffer(sketch(np.zeros(0, np.uint64)), np.uint8)[None]
+    assert similarity(none, none)[0] == 1.0
+
+
+def test_similar_texts_link_and_others_do_not(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choices(words, k=400) for _ in range(6)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for k in range(60):  # one or two of 400 words differ: a similarity of at least 0.95
+        w = list(base[k % 6])
+        for _ in range(1 + k % 2):
+            w[rng.randrange(400)] = "changed"
+        rows.append((100 + k, " ".join(w)))
+    for k in range(12):  # half of the words are shared
+        rows.append((300 + k, " ".join(base[k % 6][:200] + rng.choices(words, k=200))))
+    df = spark.createDataFrame(rows + [(900, None), (901, " ")], "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(df, words=5, budget=8, least=0.8).collect()}
+    assert all(got[i] == i for i in range(6)) and all(got[300 + k] == 300 + k for k in range(12))
+    assert sum(got[100 + k] == k % 6 for k in range(60)) >= 57 and got[901] == 900
+    assert {i for i, r in got.items() if r == 0} <= {0, *(100 + k for k in range(0, 60, 6))}
+    assert all(jaccard(rows[6 + k][1], rows[k % 6][1]) > 0.9 for k in range(60))
+    assert keep_first(df, words=5, budget=8, least=0.8).count() <= 6 + 3 + 12 + 1
