@@ -70,8 +70,9 @@ def merge_same_names(df: DataFrame) -> DataFrame:
 def deduplicate(df: DataFrame, subset: list[str], order: list[str] | None = None, keep: str | bool = "first") -> DataFrame:
     """One row of each key, the first or last by ``order`` (all columns by default, nulls last), or with ``keep=False`` only keys of one row."""
     keys = Window.partitionBy(*[_c(c) for c in subset])
-    if keep is False:
-        return df.withColumn("_n", F.count("*").over(keys)).filter("_n = 1").drop("_n")
+    if keep is False:  # by partial counts: a key of very many rows never comes together
+        row = F.any_value(F.struct(*[_c(c) for c in df.columns]))
+        return df.groupBy(*[_c(c) for c in subset]).agg(F.count("*").alias("_n"), row.alias("_row")).filter("_n = 1").select("_row.*")
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first', 'last' or False")
     by = [_c(c).asc_nulls_last() if keep == "first" else _c(c).desc_nulls_first() for c in order or df.columns]

@@ -39,16 +39,31 @@ def scaled_variance_filter(df: DataFrame, cols: list[str], id_col: str, targets:
     return list(dict.fromkeys([id_col, *kept, *targets]))
 
 
-def average_ranks(df: DataFrame, cols: list[str], by: list[str] | None = None) -> DataFrame:
-    """Each column's ranks, equal values sharing their mean rank; nulls stay null.
-
-    Ranks are running totals of counts by distinct value, so rows are not sorted in one task; distinct values are.
-    """
+#: Distinct values that one task puts in order.
+VALUES_A_RANGE = 100_000
+
+
+def running_totals(counts: DataFrame, value: str, count: str, values_a_range: int = VALUES_A_RANGE) -> DataFrame:
+    """``counts`` (one row a value) with ``_upto``, the sum of counts up to each value, in ranges of values: sums by range are added up on
+    the driver, a number a range, and only the values of a range are sorted together."""
+    ranges = -(-counts.count() // values_a_range)
+    edges = sorted(set(counts.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.001))) if ranges > 1 else []
+    place = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(value))) if edges else F.lit(0)
+    placed = counts.withColumn("_range", place)
+    before, offset = 0, F.lit(0)
+    for r in placed.groupBy("_range").agg(F.sum(count).alias("n")).orderBy("_range").collect():
+        offset = F.when(F.col("_range") == r["_range"], F.lit(before)).otherwise(offset)
+        before += r["n"]
+    own = F.sum(count).over(Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return placed.withColumn("_upto", own + offset).drop("_range")
+
+
+def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Each column's ranks, equal values sharing their mean rank; nulls stay null. Ranks are running totals of counts by distinct value."""
     for c in cols:
-        counts = df.filter(F.col(f"`{c}`").isNotNull()).groupBy(F.col(f"`{c}`").alias("_v")).count()
-        upto = F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ranks = counts.select("_v", (upto - (F.col("count") - 1) / 2).cast("double").alias("_r"))
-        df = df.join(ranks, F.col(f"`{c}`") == F.col("_v"), "left").drop("_v").withColumn(c, F.col("_r")).drop("_r")
+        counts = df.filter(F.col(f"`{c}`").isNotNull()).groupBy(_d(c).alias("_v")).count()
+        ranks = running_totals(counts, "_v", "count").select("_v", (F.col("_upto") - (F.col("count") - 1) / 2).cast("double").alias("_r"))
+        df = df.join(ranks, _d(c) == F.col("_v"), "left").drop("_v").withColumn(c, F.col("_r")).drop("_r")
     return df
 
 
@@ -81,9 +96,15 @@ def _corr(a: str, b: str) -> Column:
     return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
+#: Distinct pairs of values that Kendall's tau compares with each other at most.
+KENDALL_CELLS = 20_000
+
+
 def kendall(df: DataFrame, a: str, b: str) -> float | None:
-    """Tau-b from counts of distinct (a, b): a join of those counts with themselves on ordered values."""
+    """Tau-b from counts of distinct (a, b): those counts against themselves on ordered values, any number of rows but not of distinct pairs."""
     cells = df.select(_d(a).alias("a"), _d(b).alias("b")).na.drop().groupBy("a", "b").count()
+    if (n_cells := cells.count()) > KENDALL_CELLS:
+        raise ValueError(f"{n_cells} distinct pairs are too many to compare with each other; bin the columns or take spearman")
     x, y = cells.select("a", "b", F.col("count").alias("n")), cells.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("count").alias("m"))
     pairs = x.join(y, F.col("a") < F.col("c"))
     sign = F.signum(F.col("d") - F.col("b")) * F.col("n") * F.col("m")

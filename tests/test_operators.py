@@ -126,6 +126,14 @@ def test_correlations_against_brute_force(spark, method):
     assert got["a", "b"] == pytest.approx(want) and got["a", "c"] is None
 
 
+def test_ranks_over_several_ranges(spark):
+    rng = np.random.default_rng(6)
+    v = rng.integers(0, 300, 2000)
+    counts = spark.createDataFrame([(float(x),) for x in v], "v double").groupBy("v").count()
+    got = {r.v: r._upto for r in S.running_totals(counts, "v", "count", values_a_range=40).collect()}
+    assert got == {float(x): int((v <= x).sum()) for x in set(v.tolist())}
+
+
 def test_pairwise_filter_drops_the_stronger(spark):
     pairs = spark.createDataFrame([("a", "b", 0.9), ("b", "c", 0.9)], "feature_i string, feature_j string, r double")
     rank = spark.createDataFrame([("a", 1.0), ("b", 5.0), ("c", 5.0)], "feature string, f double")
