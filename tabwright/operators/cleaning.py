@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.numbers import cast_id, churn_flag, convert_to_float, nulls_for_missing, type_dictionary
+from tabwright.functions.numbers import cast_id, churn_flag, convert_to_float, nulls_for_missing, to_float, type_dictionary
 from tabwright.functions.text import standardise_name, standardise_names
 
 #: Aggregate expressions of one pass; wider tables take more passes, so that generated code stays within its limits.
@@ -103,7 +103,7 @@ def category_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     return {c: list(v or []) for c, v in found.items()}
 
 
-def one_hot(df: DataFrame, cols: list[str], keep: list[str] | None = None, null_threshold: float = 90) -> DataFrame:
+def one_hot(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
     """A 0/1 column for each value of each column, named ``column_value`` in standard form and sorted. A null is 0 in all.
 
     Where two values lead to one name only the first counts. No columns give an empty selection beside ``keep``.
@@ -161,8 +161,6 @@ def format_master(df: DataFrame, id_col: str, churn_col: str = "churn", null_thr
         parts = named.toDF(*[c if c in single else f"{i}|{c}" for i, c in enumerate(named.columns)])
         done = convert_to_float(parts.select(*map(_c, single)))
         kinds = dict(done.dtypes)
-        from tabwright.functions.numbers import to_float
-
         strings = dict(parts.dtypes)
         named = parts.select(*[(to_float(_c(c)) if strings[c] == "string" else _c(c).cast("double")).alias(c) if c in single and kinds[c] == "double" else _c(c).alias(c.partition("|")[2] or c) for c in parts.columns])
     out = merge_same_names(named)
@@ -171,7 +169,7 @@ def format_master(df: DataFrame, id_col: str, churn_col: str = "churn", null_thr
     return out, type_dictionary(out, id_col)
 
 
-def encode(df: DataFrame, types: dict, null_threshold: float = 90) -> dict[str, DataFrame]:
+def encode(df: DataFrame, types: dict) -> dict[str, DataFrame]:
     """Views of one table: encoded, original, numerical, categorical and one-hot categorical columns, ids as text."""
     id_col = types["customer_id_col"]
     numeric, text = types["numerical_features"], types["categorical_features"]
