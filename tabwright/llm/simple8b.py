@@ -158,7 +158,7 @@ class ChunkEncoder:
 
     CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
     #: Distinct pieces kept, some 200 bytes each; pieces that go to the library at once.
-    MOST, JOINED = 500_000, 20_000
+    MOST, JOINED = 600_000, 20_000
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -222,8 +222,8 @@ class ChunkEncoder:
         ends = np.cumsum(sizes, dtype=np.int32)
         return self.flat[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text, as uint32; null is empty."""
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in turn, as uint32, and how many each has; null is empty."""
         if len(self.codes) > self.MOST:
             self._clear()
         texts = pc.fill_null(texts, "")
@@ -233,33 +233,47 @@ class ChunkEncoder:
         codes = self._known(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         first = offsets[:-1]
         codes[first] = self._known([(x,) for x in split.flatten().take(pa.array(first)).to_pylist()])
-        mixed = np.logical_or.reduceat(self.mixed[codes], first)
-        out = [self._ids(codes[i:j]) for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-        for i in np.flatnonzero(mixed).tolist():
-            out[i] = self._ids(self._known([(c,) for c in self.CHUNK.findall(texts[i].as_py())]))
-        return out
+        mixed = np.flatnonzero(np.logical_or.reduceat(self.mixed[codes], first)).tolist()
+        if mixed:
+            parts = np.split(codes, offsets[1:-1])
+            for i in mixed:
+                parts[i] = self._known([(c,) for c in self.CHUNK.findall(texts[i].as_py())])
+            codes = np.concatenate(parts)
+            offsets = np.r_[0, np.cumsum([len(p) for p in parts])]
+        upto = np.r_[0, np.cumsum(self.size[codes], dtype=np.int64)][offsets]
+        return self._ids(codes), np.diff(upto)
 
 
 def _encode(json, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_cache(("chunk encoder", json.value), lambda: ChunkEncoder(json.value))
-        part, docs, ids, n, seq = TaskContext.get().partitionId(), [], [], 0, 0
+        part, seq = TaskContext.get().partitionId(), 0
+        docs, sizes, ids, n = [], [], [], 0
 
         def out() -> pa.RecordBatch:
-            data = to_segment(np.array(docs, np.int64), np.fromiter(map(len, ids), np.int64, len(ids)), np.concatenate(ids))
-            columns = [[part], [seq], [len(docs)], [n], [data]]
+            data = to_segment(np.concatenate(docs), np.concatenate(sizes), np.concatenate(ids))
+            columns = [[part], [seq], [sum(map(len, docs))], [n], [data]]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["part", "seq", "n_docs", "n_ids", "data"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for doc, own in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text"))):
-                docs.append(doc)
-                ids.append(np.append(own, np.uint32(end_id)))
+            found, counts = encoder.encode(batch.column("text"))
+            ends = np.cumsum(counts)
+            found, counts = np.insert(found, ends, np.uint32(end_id)), counts + 1
+            ends, own = np.cumsum(counts), batch.column("doc_id").to_numpy()
+            at = 0
+            while at < len(own):  # a segment closes with the document that reaches its size
+                before = int(ends[at - 1]) if at else 0
+                stop = min(int(np.searchsorted(ends, before + segment_ids - n)) + 1, len(own))
+                docs.append(own[at:stop])
+                sizes.append(counts[at:stop])
+                ids.append(found[before : int(ends[stop - 1])])
                 n += len(ids[-1])
+                at = stop
                 if n >= segment_ids:
                     yield out()
-                    docs, ids, n, seq = [], [], 0, seq + 1
+                    docs, sizes, ids, n, seq = [], [], [], 0, seq + 1
         if docs:
             yield out()
 
@@ -279,7 +293,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
         json = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000, megabytes=8)
+    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000)
     out.write.option("compression", "zstd").parquet(path)
 
 
