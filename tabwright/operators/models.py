@@ -88,6 +88,29 @@ def train_with_elbow(df: DataFrame, cols: list[str], min_clusters: int, max_clus
     return estimator.fit(vectors).transform(vectors).select(*[F.col(f"`{c}`") for c in df.columns], cluster_col), num_clusters
 
 
+class ClusterModel:
+    """A scaler and a fitted clustering of named columns, to label further tables."""
+
+    def __init__(self, scaler: dict[str, tuple[float, float]], fitted, features: list[str], cluster_col: str):
+        self.scaler, self.fitted, self.features, self.cluster_col = scaler, fitted, features, cluster_col
+
+    def infer(self, df: DataFrame) -> DataFrame:
+        """The table with its clusters; rows that lack a feature go."""
+        inner = {f"_s_{i}": self.scaler[c] for i, c in enumerate(self.features)}
+        scaled = scale(df.select("*", *[_d(c).alias(n) for n, c in zip(inner, self.features)]), inner)
+        return self.fitted.transform(assemble(scaled, list(inner))).select(*[F.col(f"`{c}`") for c in df.columns], self.cluster_col)
+
+
+def train_cluster_model(df: DataFrame, params: dict) -> tuple[ClusterModel, DataFrame]:
+    """The clustering that ``class`` and ``kwargs`` name, on scaled ``features``, and the table with its ``cluster_col``."""
+    features = params["features"]
+    scaler = fit_scaler(df, features, (params.get("scaler_params") or {}).get("kind", "standard"))
+    vectors = assemble(scale(df.select(*[_d(c).alias(c) for c in features]), scaler), features)
+    fitted = load_object(params, featuresCol="_features", predictionCol=params["cluster_col"]).fit(vectors)
+    model = ClusterModel(scaler, fitted, features, params["cluster_col"])
+    return model, model.infer(df)
+
+
 def train_models(df: DataFrame, models: dict[str, dict], cols: list[str], id_col: str, weights: dict[str, float], inverted: list[str], **how) -> tuple[str, DataFrame, DataFrame]:
     """Each model's clusters and metrics; the best model's name, its own table, and the ranking."""
     tables, rows = {}, []

@@ -234,6 +234,15 @@ def final_ranking(votes: DataFrame, targets: dict[str, list[str]], useful: list[
     return found.limit(top) if top is not None else found.filter(F.col("final_rank") >= threshold)
 
 
+def candidate_features(encoded: list[str], categorical: list[str], numerical: list[str], dataset: str, id_col: str, targets: list[str], fundamentals: list[str] | None = None) -> list[str]:
+    """Features that a pairwise filter looks at: the fundamentals (all columns by default) of the kind that ``dataset`` names, without id and targets."""
+    kinds = {"mdt_encoded": [*numerical, *categorical], "categorical_encoded": categorical, "numerical": numerical}
+    if dataset not in kinds:
+        raise ValueError(f"dataset must be one of {sorted(kinds)}, not {dataset!r}")
+    wanted = [c for c in (encoded if fundamentals is None else fundamentals) if c in encoded and c in kinds[dataset]]
+    return [c for c in dict.fromkeys(wanted) if c not in {id_col, *targets}]
+
+
 def business_targets(targets: dict[str, list[str]]) -> list[str]:
     return list(dict.fromkeys(t for ts in targets.values() for t in ts))
 

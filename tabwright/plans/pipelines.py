@@ -34,7 +34,9 @@ def feature_selection(encoded: DataFrame, id_col: str, targets: dict[str, list[s
     votes = []
     for key, how in params["correlation_filters"].items():
         problem = "classification_targets" if "cat" in key.replace("to", "/").split("/")[1] else "regression_targets"
-        votes += [stats.pairwise_votes(encoded, varied, t, how["statistical_test"], how["corr_method"], how["corr_threshold"]) for t in targets.get(problem, [])]
+        categorical = params.get("categorical", [])
+        own = stats.candidate_features(varied, categorical, [c for c in varied if c not in categorical], how.get("dataset", "mdt_encoded"), id_col, names, params.get("fundamentals"))
+        votes += [stats.pairwise_votes(encoded, own, t, how["statistical_test"], how["corr_method"], how["corr_threshold"]) for t in targets.get(problem, [])]
     pairwise = join_rankings("feature", *votes)
     methods = list(dict.fromkeys(h["corr_method"] for h in params["correlation_filters"].values()))
     kept = [r.feature for r in stats.filtered_pairwise(pairwise, targets, methods).orderBy("place").collect()]

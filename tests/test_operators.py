@@ -85,6 +85,11 @@ def test_buffer_is_the_polygon():
         assert (r * math.cos(angle % step - step / 2) < math.cos(step / 2)) == inside(x, y)
 
 
+def test_buffer_ring_and_centre(spark):
+    r = spark.range(1).select(G.buffer_ring(F.lit(3.0), F.lit(4.0), 2.0).alias("r")).select("r", G.centroid(F.col("r")).alias("c"), G.in_ring(F.lit(4.9), F.lit(4.0), F.col("r")).alias("i"), G.in_ring(F.lit(5.1), F.lit(4.0), F.col("r")).alias("o")).first()
+    assert len(r.r) == 65 and (r.c.x, r.c.y) == pytest.approx((3, 4)) and r.i and not r.o
+
+
 def test_distance_join_against_all_pairs(spark):
     rng = np.random.default_rng(2)
     users = [(i, *map(float, rng.uniform(-500, 500, 2))) for i in range(60)]
@@ -140,6 +145,14 @@ def test_pairwise_filter_drops_the_stronger(spark):
     assert rows(S.features_to_drop(pairs, rank)) == [("b",)]
 
 
+def test_candidate_features():
+    have = ["id", "a", "b", "t"]
+    assert S.candidate_features(have, ["b"], ["a", "t"], "mdt_encoded", "id", ["t"]) == ["a", "b"]
+    assert S.candidate_features(have, ["b"], ["a", "t"], "numerical", "id", ["t"], ["b", "a", "absent"]) == ["a"]
+    with pytest.raises(ValueError):
+        S.candidate_features(have, [], [], "other", "id", [])
+
+
 def test_final_ranking_needs_one_criterion(spark):
     v = spark.createDataFrame([("a", 1, "numerical_fundamental")], "feature string, mb_t int, feature_type string")
     for how in ({}, {"top": 1, "threshold": 1}):
@@ -235,6 +248,9 @@ def test_clustering_and_votes_find_the_signal(spark):
     assert M.cross_validated_f1(df, ["x"], "y", "id", {"class": "DecisionTreeClassifier"}) > 0.95
     shadows = M.with_shadows(df, ["x"], 1)
     assert sorted(round(r.x, 9) for r in shadows.collect()) == sorted(round(r.shadow_0, 9) for r in shadows.collect())
+    model, own = M.train_cluster_model(df.select("id", "x"), {"class": "KMeans", "kwargs": {"n_clusters": 3, "random_state": 1}, "features": ["x"], "cluster_col": "c"})
+    assert own.columns == ["id", "x", "c"] and own.groupBy("c").count().count() == 3
+    assert model.infer(df.filter("id < 3")).select("c").distinct().count() == 3
     out, explained = M.embed(df, {"e": {"columns_to_embed": ["x", "n1", "n2"], "model": {"kwargs": {"n_components": 2}}}}, "id")
     assert {"component_0_e", "component_1_e"} <= set(out.columns) and 0.6 < explained["e"] <= 1
     best, table, ranking = M.train_models(df.select("id", "x", "n1"), {"KMeans": {"class": "KMeans"}, "GaussianMixture": {"class": "GaussianMixture"}}, ["x"], "id", {"sillhouette_score": 1.0}, [], min_clusters=2, max_clusters=5)
