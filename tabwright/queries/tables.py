@@ -210,3 +210,47 @@ def add_absent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = D.filter_rows(table(spark, sf_dir, "nation"), "n_regionkey", 2).select("n_nationkey", "n_name")
     new = spark.createDataFrame([(100, "ATLANTIS")], "n_nationkey int, n_name string").unionByName(n.limit(2))
     return D.add_absent(n, new, "n_nationkey")
+
+
+@query("SELECT 'kind' AS col, round(avg((event_id % 11 = 0)::INT) * 100, 4) AS percent FROM events UNION ALL SELECT 'value', round(avg((event_id % 7 = 0)::INT) * 100, 4) FROM events UNION ALL SELECT 'event_id', 0.0 FROM events HAVING true")
+def null_percents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("event_id")
+    df = table(spark, sf_dir, "events").select("event_id", F.when(k % 11 != 0, F.col("event_type")).alias("kind"), F.when(k % 7 != 0, F.col("value")).alias("value"))
+    return rounded(spark.createDataFrame([(c, v) for c, v in C.null_percent(df).items()], "col string, percent double"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
+def id_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = table(spark, sf_dir, "customer").select("c_custkey")
+    return ids.subtract(table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey")))
+
+
+@query("SELECT p_brand, p_type, p_partkey, p_size, round(p_retailprice, 2) AS p_retailprice FROM part WHERE p_size > 40 ORDER BY p_retailprice DESC, p_partkey LIMIT 20")
+def top_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = D.filter_rows(table(spark, sf_dir, "part"), "p_size", lambda c: c > 40)
+    return found.orderBy(F.desc("p_retailprice"), "p_partkey").limit(20).select("p_brand", "p_type", "p_partkey", "p_size", F.round("p_retailprice", 2).alias("p_retailprice"))
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance, NULL::VARCHAR AS segment FROM supplier UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.operators.geo import join_bounded
+
+    a = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
+    b = table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    return join_bounded([a, b])
+
+
+@query("""SELECT event_id, kind, mass FROM (SELECT event_id, event_type AS kind, (value - (SELECT min(value) FROM events)) / (SELECT max(value) - min(value) FROM events) AS m FROM events) t, LATERAL (SELECT round(t.m, 6) AS mass)""")
+def minmax_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.operators.models import fit_scaler, scale
+
+    df = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("kind"), F.col("value").alias("mass"))
+    return rounded(scale(df, fit_scaler(df, ["mass"], "minmax")), 6)
+
+
+@query("SELECT event_id, round((value - (SELECT avg(value) FROM events)) / (SELECT stddev_pop(value) FROM events), 6) AS value FROM events")
+def standard_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tabwright.operators.models import fit_scaler, scale
+
+    df = table(spark, sf_dir, "events").select("event_id", "value")
+    return rounded(scale(df, fit_scaler(df, ["value"])), 6)
