@@ -100,18 +100,16 @@ def unpack(words: np.ndarray, raw: np.ndarray, word_at: np.ndarray, n: int) -> n
     block = np.repeat(np.arange(len(word_at) - 1), np.diff(word_at))
     before = np.cumsum(counts) - counts
     first = before[word_at[:-1]] if len(words) else before
-    at = block * BLOCK + before - first[block] if len(words) else before
-    out = np.zeros(max(len(word_at) - 1, 0) * BLOCK + BLOCK, np.uint64)
+    at = block * _WIDTH + before - first[block] if len(words) else before
+    out = np.zeros(max(len(word_at) - 1, 0) * _WIDTH, np.uint64)  # with room for what a block's last word says beyond the block
     for s in range(2, len(SELECTORS)):
         mine = np.flatnonzero(sel == s)
         count, bits = SELECTORS[s]
-        mask = np.uint64((1 << bits) - 1)
-        stop = (block[mine] + 1) * BLOCK
+        mask, place, own = np.uint64((1 << bits) - 1), at[mine], words[mine]
         for k in range(count if len(mine) else 0):
-            inside = at[mine] + k < stop
-            out[(at[mine] + k)[inside]] = ((words[mine] >> np.uint64(k * bits)) & mask)[inside]
+            out[place + k] = (own >> np.uint64(k * bits)) & mask
     out[at[sel == 0]] = raw
-    return out[:n]
+    return out.reshape(-1, _WIDTH)[:, :BLOCK].ravel()[:n]
 
 
 def to_segment(doc_ids: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> bytes:
@@ -294,7 +292,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
     out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000)
-    out.write.option("compression", "zstd").parquet(path)
+    out.write.option("compression", "lz4_raw").parquet(path)
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
