@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Hashable, Iterator
+from pathlib import Path
 from typing import Any
 
 import pyarrow as pa
@@ -55,9 +57,17 @@ def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+    _importable(df.sparkSession)
     return df.mapInArrow(_Released(f), schema)
 
 
+def _importable(spark: SparkSession) -> None:
+    """On a local master workers find this package wherever the driver was started; a cluster has it installed or sent along."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), root)))
+
+
 _cached: dict[Hashable, Any] = {}
 
 
