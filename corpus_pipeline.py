@@ -14,7 +14,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays: fingerprints of five-word shingles within six bits, and a similarity of 0.8 or more."""
+    """Of each group of near copies the document with the smallest id stays: sets of five-word shingles of a Jaccard similarity of 0.8 or more."""
     return simhash.keep_first(docs, words=5, budget=6, least=0.8)
 
 

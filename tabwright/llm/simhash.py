@@ -62,6 +62,27 @@ def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(n > 0, (share - 1 / 255) / (1 - 1 / 255), 1.0)
 
 
+#: Bins of one band key: two sets of similarity 0.8 share one of the 32 keys but once in 20 million, at 0.7 once in 6,000 (bins taken as independent).
+BAND = 4
+_PROBES = np.array([np.r_[i, np.random.default_rng(i).permutation(SKETCH)] for i in range(SKETCH)])
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """Keys of BAND bins each, from whole least hashes; an empty bin borrows from the first full one of its fixed random order."""
+    h = np.unique(hashes * np.uint64(0x9E3779B97F4A7C15))
+    first = np.searchsorted(h, np.arange(SKETCH, dtype=np.uint64) << np.uint64(57))
+    full = first < np.append(first[1:], len(h))
+    value = h[np.minimum(first, len(h) - 1)]
+    if not full.all():
+        value = value[_PROBES[np.arange(SKETCH), full[_PROBES].argmax(1)]]
+    value = value.reshape(-1, BAND)
+    key = np.arange(1, len(value) + 1, dtype=np.uint64)
+    for k in range(BAND):
+        key = (key ^ value[:, k]) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
 def simhash(text: bytes, words: int = 3) -> int:
     hashes = _shingle_hashes(text, words)
     return _majority(np.array(hashes, np.uint64)) if hashes else 0
@@ -202,19 +223,144 @@ def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_
     return map_arrow(dealt.select(*wanted).repartition(parts, "tree"), _links(budget, top, least), "u bigint, v bigint")
 
 
+def signatures(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, fp, same, n, sketch, keys): the fingerprint, a hash and the size of the set of shingles, its sketch and band keys; a blank text has no keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            all_ = [np.array(_shingle_hashes(x, words), np.uint64) for x in bytes_of(batch, "text")]
+            fps = np.array([_majority(h) if len(h) else 0 for h in all_], np.uint64).view(np.int64)
+            sets = [np.unique(h) for h in all_]
+            columns = [pa.array(fps), pa.array([_same(h) for h in sets], pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array([sketch(h) for h in sets], pa.binary())]
+            keys = pa.array([band_keys(h) if len(h) else [] for h in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, keys], ["doc_id", "fp", "same", "n", "sketch", "keys"])
+
+    return map_arrow(texts(docs, id_col, text_col), run, "doc_id bigint, fp bigint, same bigint, n bigint, sketch binary, keys array<bigint>")
+
+
+def _same(distinct: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(distinct.tobytes()) - 2**63
+
+
+def shingle_sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, same, sketch, shingles): the distinct XXH64 of each text's shingles, in order, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(np.array(_shingle_hashes(x, words), np.uint64)) for x in bytes_of(batch, "text")]
+            columns = [pa.array([_same(h) for h in sets], pa.int64()), pa.array([sketch(h) for h in sets], pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["node", "same", "sketch", "shingles"])
+
+    return map_arrow(texts(docs, id_col, text_col), run, "node bigint, same bigint, sketch binary, shingles binary")
+
+
+def similar_links(sets: list[np.ndarray], sketches: np.ndarray, least: float) -> np.ndarray:
+    """For each set the smallest that it is linked to, directly or not, by an exact Jaccard similarity of ``least`` or more.
+
+    A pair that isn't connected yet is compared unless its sizes rule it out or its sketches lie five standard deviations below."""
+    root, sizes = np.arange(len(sets)), np.array([len(x) for x in sets])
+    for i in range(len(sets) - 1):
+        j = i + 1 + np.flatnonzero(root[i + 1 :] != root[i])
+        j = j[np.minimum(sizes[j], sizes[i]) >= least * np.maximum(sizes[j], sizes[i])]
+        if len(j):
+            bins = ((sketches[j] > 0) | (sketches[i] > 0)).sum(1)
+            j = j[similarity(sketches[i][None], sketches[j]) >= least - 5 * np.sqrt(least * (1 - least) / np.maximum(bins, 1))]
+        for k in range(0, len(j), 1000):
+            part = j[k : k + 1000]
+            part = part[root[part] != root[i]]
+            if not len(part) or not sizes[i]:
+                continue
+            flat = np.concatenate([sets[x] for x in part])
+            equal = sets[i][np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)] == flat
+            shared = np.add.reduceat(equal, np.cumsum(sizes[part]) - sizes[part], dtype=np.int64)
+            near = part[shared >= least * (sizes[part] + sizes[i] - shared)]
+            if len(near):
+                joined = np.unique(np.r_[root[i], root[near]])
+                root[np.isin(root, joined)] = joined[0]
+    return root
+
+
+def _exact(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [x for x in batches if x.num_rows]
+        if not got:
+            return
+        node, tree = (np.concatenate([x.column(k).to_numpy() for x in got]) for k in ("node", "tree"))
+        sketches = np.frombuffer(b"".join(y for x in got for y in x.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        sets = [np.frombuffer(y, np.uint64) for x in got for y in x.column("shingles").to_pylist()]
+        order = np.lexsort((node, tree))
+        for at in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
+            root = similar_links([sets[i] for i in at], sketches[at], least)
+            linked = np.flatnonzero(root != np.arange(len(at)))
+            if len(linked):
+                yield pa.RecordBatch.from_arrays([pa.array(node[at[linked]]), pa.array(node[at[root[linked]]])], ["u", "v"])
+
+    return run
+
+
+#: Ids of candidates that are broadcast to read their texts; bytes of shingles that a task of the exact test holds.
+BROADCAST_IDS, TASK_BYTES = 500_000, 32 << 20
+
+
+def exact_links(docs: DataFrame, members: DataFrame, least: float, words: int, chunk_rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(u, v) links that connect the members (key, node, same, n) of each key whose sets of shingles are similar enough, by the sets themselves.
+
+    A key of more than ``chunk_rows`` members is split into chunks by hash, with one task group for each pair of chunks."""
+    members = cut(members)
+    counts = members.groupBy("key").agg(F.count("*").alias("m"))
+    keyed = members.join(counts, "key").withColumn("k", F.ceil(F.col("m") / chunk_rows).cast("int"))
+    own = F.pmod(F.xxhash64("node", "same"), F.col("k")).cast("int")
+    chunks = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(j, own) * F.col("k") + F.greatest(j, own)))
+    dealt = keyed.select("node", "same", "n", "key", F.explode(chunks).alias("c")).select("node", "same", "n", F.xxhash64("key", "c").alias("tree"))
+    total = int(dealt.agg(F.sum(F.col("n") * 8 + 200)).first()[0] or 0)
+    ids = cut(members.select(F.col("node").alias("_wanted_id")).distinct())
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    wanted = docs.join(ids, docs[id_col].cast("bigint") == ids["_wanted_id"], "left_semi")
+    sets = cut(shingle_sets(wanted, words, id_col, text_col).join(members.select("node", "same").distinct(), ["node", "same"], "left_semi").dropDuplicates(["node", "same"]))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    return map_arrow(dealt.join(sets, ["node", "same"]).select("node", "tree", "sketch", "shingles").repartition(parts, "tree"), _exact(least), "u bigint, v bigint")
+
+
+def similar_documents(docs: DataFrame, words: int, budget: int, least: float, id_col: str, text_col: str, chunk_rows: int) -> DataFrame:
+    """(doc_id, fp, component_id) by links of an exact Jaccard similarity of ``least`` or more.
+
+    Candidates of the trie join are tested first. Min-hash bands then give the pairs that a fingerprint can't: every set of shingles
+    has its own keys, and a key whose members are one component already, or the same as another key's, is left out. Equal sets are one class.
+    """
+    found = cut(signatures(docs, words, id_col, text_col))
+    classes = found.groupBy("fp", "same").agg(F.min(F.struct("doc_id", "sketch", "n", "keys")).alias("x"))
+    classes = cut(classes.select("fp", "same", F.col("x.doc_id").alias("node"), "x.sketch", "x.n", "x.keys"))
+    heads = cut(classes.groupBy("fp").agg(F.min(F.struct("node", "same", "sketch", "n")).alias("x")).select("fp", "x.node", "x.same", "x.sketch", "x.n"))
+    links = trie_self_join(heads.select("node", "fp", "sketch"), budget, chunk_rows, least=least).distinct()
+    pairs = links.select(F.xxhash64("u", "v").alias("key"), F.explode(F.array("u", "v")).alias("node")).join(heads.select("node", "same", "n"), "node")
+    how = {"least": least, "words": words, "chunk_rows": chunk_rows, "id_col": id_col, "text_col": text_col}
+    near = cut(exact_links(docs, pairs.select("key", "node", "same", "n"), **how))
+    named = classes.join(components(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    keyed = named.select("node", "same", "n", "root", F.explode("keys").alias("key"))
+    own = [F.xxhash64("node", "same"), F.xxhash64("same", "node")]
+    open_ = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"), *(F.bit_xor(x).alias(f"x{i}") for i, x in enumerate(own))).filter("lo < hi")
+    open_ = open_.groupBy("m", "x0", "x1").agg(F.min("key").alias("key")).select("key")
+    rest = exact_links(docs, keyed.join(open_, "key").select("key", "node", "same", "n"), **how)
+    roots = components(near.unionByName(rest))
+    named = classes.select("fp", "same", "node").join(roots, "node", "left").select("fp", "same", F.coalesce("root", "node").alias("component_id"))
+    return found.select("doc_id", "fp", "same").join(named, ["fp", "same"]).select("doc_id", "fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text", chunk_rows: int = CHUNK_ROWS, least: float | None = None) -> DataFrame:
     """(doc_id, fp bigint, component_id): documents joined by chains of fingerprints that differ in at most ``budget`` bits.
 
-    With ``least`` a pair within the budget links only if the Jaccard similarity of its shingles, estimated from sketches of 128 bytes
-    that travel with the fingerprints, is at least that: a wide budget then finds more near copies and joins no others.
+    With ``least`` documents are joined by chains of texts whose sets of shingles have that Jaccard similarity or more, whether their
+    fingerprints are near or not: see ``similar_documents``.
 
-    component_id is the smallest doc_id of the component. Documents with equal fingerprints form one class, and only classes are linked,
-    so thousands of copies cost one fingerprint. Null or blank texts have fingerprint 0 and link like any other; repeated rows share
-    their component; rows without an id are left out; an empty table gives no rows; further columns are ignored.
+    component_id is the smallest doc_id of the component. Documents with equal fingerprints (with ``least``: equal sets of shingles)
+    form one class, and only classes are linked, so thousands of copies cost one. Null or blank texts have fingerprint 0 and link like
+    any other; repeated rows share their component; rows without an id are left out; an empty table gives no rows; further columns are ignored.
     """
-    fps = cut(fingerprints(docs, words, id_col, text_col, least is not None))
+    if least is not None:
+        return similar_documents(docs, words, budget, least, id_col, text_col, chunk_rows)
+    fps = cut(fingerprints(docs, words, id_col, text_col))
     classes = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "sketch")).alias("x")).select(F.col("x.doc_id").alias("node"), "x.sketch", "fp"))
-    roots = components(trie_self_join(classes, budget, chunk_rows, least=least))
+    roots = components(trie_self_join(classes, budget, chunk_rows))
     named = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 

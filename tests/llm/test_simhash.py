@@ -109,3 +109,22 @@ def test_similar_texts_link_and_others_do_not(spark):
     assert {i for i, r in got.items() if r == 0} <= {0, *(100 + k for k in range(0, 60, 6))}
     assert all(jaccard(rows[6 + k][1], rows[k % 6][1]) > 0.9 for k in range(60))
     assert keep_first(df, words=5, budget=8, least=0.8).count() <= 6 + 3 + 12 + 1
+
+
+@pytest.mark.parametrize("chunk", [20_000, 9])
+def test_all_pairs_at_the_threshold_link_exactly(spark, chunk):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for g in range(60):  # pairs of 60 to 400 words with one to nine changes: similarities on both sides of 0.8
+        base = rng.choices(words, k=rng.choice([60, 150, 400]))
+        other = list(base)
+        for k in rng.sample(range(len(base)), rng.randrange(1, 10)):
+            other[k] = f"new{rng.random()}"
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    near = {2 * g for g in range(60) if jaccard(rows[2 * g][1], rows[2 * g + 1][1]) >= 0.8}
+    shared = rng.choices(words, k=300)
+    rows += [(1000 + k, " ".join([*shared, f"tail{k}"])) for k in range(20)]  # more than a chunk of them
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=5, budget=6, least=0.8, chunk_rows=chunk).collect()}
+    assert 15 < len(near) < 55 and {2 * g for g in range(60) if got[2 * g + 1] == 2 * g} == near
+    assert {got[1000 + k] for k in range(20)} == {1000}
