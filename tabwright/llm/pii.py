@@ -274,12 +274,16 @@ def crf_spans(text: str, weights: dict[str, float], certain: float = CERTAIN) ->
 
 
 def _worth(text: str) -> bool:
-    """A cheap look before the trigger's pattern."""
+    """A cheap look before the trigger's pattern, true wherever that could match: an @, a bracketed at, at and dot, [.] or a long number."""
     low = text.lower()
-    return "@" in text or "(at" in low or "[at" in low or "{at" in low or "( at" in low or "[ at" in low or " dot " in low or "[.]" in low or bool(_LONG_NUMBER.search(text))
+    if "@" in text or "[.]" in text or ("at" in low and ("dot" in low or any(b in low for b in _BRACKETED))):
+        return True
+    return bool(_LONG_NUMBER.search(text))
 
 
-_LONG_NUMBER = re.compile(r"[0-9][0-9 ().+/-]{5,}[0-9]|[0-9]+ ?\. ?[0-9]+")
+#: An opening bracket before at, with a space or without.
+_BRACKETED = tuple(b + x for b in "[({" for x in ("at", " at"))
+_LONG_NUMBER = re.compile(r"[0-9][0-9 ().+/-]{5,}[0-9]|[0-9] ?\. ?[0-9]")
 
 
 def all_spans(text: str, base: list[Span], weights: dict[str, float]) -> list[Span]:

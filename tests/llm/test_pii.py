@@ -97,3 +97,16 @@ def test_query_and_odd_rows(spark, tmp_path):
         assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(x == k for x, _, _ in want) for k in pii.KINDS]
         assert set(filter(None, pii.written(want).split(","))) <= set(got[i].spans.split(","))
     assert pii.find(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_every_trigger_passes_the_cheap_look():
+    forms = [f"john {a}at{b} example{dot}com" for a in ("", "[", "(", "{", "[ ", "( ", "{ ") for b in ("", "]", " ]", ")", " )", "}", " }") for dot in (".", " dot ", "\tdot\t", " dot. ", " (dot) ", "[dot]", "{dot}", " Dot-")]
+    forms += ["a@b", "1[.]2", "1.2.3.4", "1 . 2 . 3 . 4", "262-555-7240", "(262) 555 7240", "john AT example (DOT) com"]
+    fired = [t for t in forms if pii._TRIGGER.search(t)]
+    assert len(fired) > 100 and [t for t in fired if not pii._worth(t)] == []
+
+
+def test_a_span_does_not_need_unrelated_text():
+    text = "write to john at example (dot) com"
+    alone, beside = (pii.all_spans(t, pii.base_spans(t), pii.train()) for t in (text, text + " or any other of the words that stand here, far from the address itself and more than a margin away: x@"))
+    assert alone and alone == beside
