@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,10 +13,13 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.common import cut, map_arrow
 
-#: Projections (even), points of a leaf, distinct vectors of a cell, queries of a block, vectors that the top of the tree is fitted on.
-DIMS, LEAF, CELL_ROWS, QUERY_BLOCK, FIT_ROWS = 8, 32, 20_000, 20_000, 10_000
-#: A true neighbour escapes the stopping test with at most one in a hundred.
-CONFIDENCE = 0.99
+#: Projections (even), and points of a leaf.
+DIMS, LEAF = 16, 256
+#: Distinct vectors of a cell at most (about), queries of a block, and sampled vectors a cell that the top of the tree is fitted on.
+CELL_ROWS, QUERY_BLOCK, FIT_A_CELL = 131_072, 20_000, 64
+#: A true neighbour escapes the stopping test with at most one in twenty.
+CONFIDENCE = 0.95
+_BATCH, _PAIRS = 256, 1 << 20
 
 
 def chi_square_quantile(p: float, dims: int) -> float:
@@ -35,211 +39,331 @@ def projection(width: int, dims: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((width, dims))
 
 
-class KdTree:
-    """Median splits of the widest dimension down to leaves; a leaf has the box of its points."""
+class Boxes:
+    """A binary tree of boxes: ``low`` and ``high`` by node, and ``child``, the first of a node's two children or 0 for a leaf."""
+
+    low: np.ndarray
+    high: np.ndarray
+    child: np.ndarray
+
+    def gap(self, p: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Squared distances of points to the boxes of nodes, one by one."""
+        out = np.maximum(np.maximum(self.low[node] - p, p - self.high[node]), 0)
+        return np.einsum("ij,ij->i", out, out)
+
+    def home(self, p: np.ndarray) -> np.ndarray:
+        """The leaf of each point, by descent to the nearer child; the first one of two as near."""
+        node = np.zeros(len(p), np.int64)
+        while len(inner := np.flatnonzero(self.child[node])):
+            first = self.child[node[inner]]
+            node[inner] = first + (self.gap(p[inner], first + 1) < self.gap(p[inner], first))
+        return node
+
+    def within(self, p: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(point, leaf, squared gap) of all leaves within each point's limit: a descent that leaves out the nodes beyond it."""
+        at, node, out = np.arange(len(p)), np.zeros(len(p), np.int64), []
+        while len(at):
+            gap = self.gap(p[at], node)
+            near = gap <= limit[at]
+            at, node, gap = at[near], node[near], gap[near]
+            leaf = self.child[node] == 0
+            out.append((at[leaf], node[leaf], gap[leaf]))
+            at, node = np.repeat(at[~leaf], 2), (self.child[node[~leaf]][:, None] + np.arange(2)).ravel()
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (at, node, np.zeros(0))
+
+
+class KdTree(Boxes):
+    """Median splits of the widest dimension down to leaves. Boxes are those of the points; ``order`` holds each leaf's points side by side."""
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF):
-        self.points, leaves, stack = points, [], [np.arange(len(points))]
-        while stack:
-            at = stack.pop()
-            own = points[at]
-            wide = own.max(0) - own.min(0) if len(at) else np.zeros(1)
-            if len(at) <= leaf or not wide.any():
-                leaves.append(at)
+        self.order, spans, low, high, child = np.arange(len(points)), [(0, len(points))], [], [], []
+        for a, b in spans:  # grows while it is read
+            own = points[self.order[a:b]]
+            low.append(own.min(0))
+            high.append(own.max(0))
+            wide = high[-1] - low[-1]
+            if b - a <= leaf or not wide.any():
+                child.append(0)
                 continue
-            half = len(at) // 2
-            order = np.argpartition(own[:, int(wide.argmax())], half)
-            stack += [at[order[:half]], at[order[half:]]]
-        self.leaves = [x for x in leaves if len(x)]
-        self.low = np.array([points[x].min(0) for x in self.leaves]).reshape(-1, points.shape[1])
-        self.high = np.array([points[x].max(0) for x in self.leaves]).reshape(-1, points.shape[1])
-
-    def nearest_first(self, q: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
-        """(least squared projected distance, members) of the leaves, nearest box first."""
-        gap = np.maximum(np.maximum(self.low - q, q - self.high), 0)
-        d = np.einsum("ij,ij->i", gap, gap)
-        for i in np.argsort(d, kind="stable").tolist():
-            yield d[i], self.leaves[i]
-
-
-def search(tree: KdTree, vectors: np.ndarray, sizes: np.ndarray, q: np.ndarray, pq: np.ndarray, k: int, stop: float, bound: float = math.inf) -> list[tuple[float, int]]:
-    """(squared distance, row) nearest first, until rows hold k ids; ``bound`` is a squared distance already reached elsewhere.
-
-    Leaves come in the order of their projected distance. A point is verified, its true distance taken, while its projected squared
-    distance is at most ``stop`` times the squared distance of the k-th neighbour so far; the search ends at the first leaf beyond.
+            half = (b - a) // 2
+            self.order[a:b] = self.order[a:b][np.argpartition(own[:, int(wide.argmax())], half)]
+            child.append(len(spans))
+            spans += [(a, a + half), (a + half, b)]
+        self.low, self.high, self.child = np.array(low), np.array(high), np.array(child)
+        self.start, self.stop = np.array(spans).T
+        self.points = points[self.order]
+
+
+class Grid(Boxes):
+    """The top of the tree, fitted on a sample: a power of two of half-space cells, nodes in heap order, cells numbered from 0."""
+
+    def __init__(self, points: np.ndarray, cells: int, dims: int):
+        self.planes, level = [], [points]
+        boxes = [(np.full(dims, -np.inf), np.full(dims, np.inf))]
+        while len(self.planes) + 1 < cells:
+            below = []
+            for p in level:
+                dim = int((p.max(0) - p.min(0)).argmax()) if len(p) else 0
+                at = float(np.median(p[:, dim])) if len(p) else 0.0
+                lo, hi = boxes[len(self.planes)]
+                left, right = hi.copy(), lo.copy()
+                left[dim], right[dim] = at, at
+                boxes += [(lo, left), (right, hi)]
+                self.planes.append((dim, at))
+                below += [p[p[:, dim] <= at], p[p[:, dim] > at]]
+            level = below
+        self.inner, self.cells = len(self.planes), len(boxes) - len(self.planes)
+        self.low, self.high = (np.array([b[i] for b in boxes]) for i in (0, 1))
+        self.child = np.where(np.arange(len(boxes)) < self.inner, 2 * np.arange(len(boxes)) + 1, 0)
+
+    def cell(self, p: np.ndarray) -> np.ndarray:
+        return self.home(p) - self.inner
+
+    def others(self, p: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(point, cell) of the cells within each point's limit, but for its own."""
+        found, own, step = [], self.cell(p), max(1, _PAIRS // self.cells)
+        for a in range(0, len(p), step):
+            at, node, _ = self.within(p[a : a + step], limit[a : a + step])
+            found.append((at + a, node - self.inner))
+        at, cell = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+        away = cell != own[at]
+        return at[away], cell[away]
+
+
+class Search:
+    """The nearest rows of ``vectors`` for a batch of queries, by the tree over their projections.
+
+    Leaves come in the order of their projected distance, 1, 2, 4 ... at a time. A point is verified, its true distance taken, while its
+    projected squared distance is at most ``stop`` times the squared distance of the k-th neighbour so far (``bound``, which may come
+    from elsewhere); a query ends at the first leaf beyond. ``sizes`` says how many ids a row stands for. Of equally near rows the first
+    count. ``d`` and ``row`` hold each query's k nearest, infinity and len(vectors) where there are fewer.
     """
-    best: list[tuple[float, int]] = []
-    for near, rows in tree.nearest_first(pq):
-        if near > stop * bound:
-            break
-        gap = tree.points[rows] - pq
-        rows = rows[np.einsum("ij,ij->i", gap, gap) <= stop * bound]
-        diff = vectors[rows] - q
-        d = np.einsum("ij,ij->i", diff, diff)
-        if len(fresh := np.flatnonzero(d <= bound)):
-            best = sorted([*best, *zip(d[fresh].tolist(), rows[fresh].tolist())])
-            held = 0
-            for n, (dist, row) in enumerate(best):
-                held += int(sizes[row])
-                if held >= k:
-                    bound = min(bound, dist)
-                    best = [x for x in best[n + 1 :] if x[0] <= dist] and [x for x in best if x[0] <= dist] or best[: n + 1]
-                    break
-    return best
-
-
-def _split_planes(points: np.ndarray, cells: int) -> list[tuple[int, float]]:
-    """The top of the kd-tree as a heap of (dimension, threshold), for a power of two of cells."""
-    planes, level = [], [points]
-    while len(planes) + 1 < cells:
-        below = []
-        for p in level:
-            dim = int((p.max(0) - p.min(0)).argmax()) if len(p) else 0
-            at = float(np.median(p[:, dim])) if len(p) else 0.0
-            planes.append((dim, at))
-            below += [p[p[:, dim] <= at], p[p[:, dim] > at]]
-        level = below
-    return planes
-
-
-def _cell(p: np.ndarray, planes: list[tuple[int, float]]) -> np.ndarray:
-    node = np.zeros(len(p), np.int64)
-    for _ in range(max(0, (len(planes) + 1).bit_length() - 1)):
-        dim, at = (np.array([x[i] for x in planes])[node] for i in (0, 1))
-        node = 2 * node + 1 + (p[np.arange(len(p)), dim] > at)
-    return node - len(planes)
-
-
-def _boxes(planes: list[tuple[int, float]], dims: int) -> tuple[np.ndarray, np.ndarray]:
-    boxes = [(np.full(dims, -np.inf), np.full(dims, np.inf))]
-    for i, (dim, at) in enumerate(planes):
-        (lo, hi) = boxes[i]
-        left, right = hi.copy(), lo.copy()
-        left[dim], right[dim] = at, at
-        boxes += [(lo, left), (right, hi)]
-    leaves = boxes[len(planes) :]
-    return np.array([x[0] for x in leaves]), np.array([x[1] for x in leaves])
-
-
-def _matrix(batch: pa.RecordBatch, name: str, width: int) -> np.ndarray:
-    return batch.column(name).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
-
-
-def _classes(vectors: DataFrame, k: int) -> DataFrame:
-    """(node, ids, asked, vec): distinct vectors with their k + 1 smallest ids, and whether any id is a query's; node is the smallest id."""
-    by_id = Window.partitionBy("vec").orderBy("id")
-    few = vectors.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
-    asked = vectors.filter("asked").select("vec").distinct().withColumn("asked", F.lit(True))
-    few = few.groupBy("vec").agg(F.min("id").alias("node"), F.array_sort(F.collect_list("id")).alias("ids"))
-    return few.join(asked, "vec", "left").select("node", "ids", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
-
-
-_FOUND = "node bigint, ids array<bigint>, d double"
+
+    def __init__(self, tree: KdTree, vectors: np.ndarray, sizes: np.ndarray, q: np.ndarray, projected: np.ndarray, k: int, stop: float, bound: np.ndarray):
+        self.tree, self.vectors, self.q, self.p, self.k, self.stop, self.bound = tree, vectors, q, projected, k, stop, bound.copy()
+        self.sizes, self.d, self.row, self.verified = np.r_[sizes, 0], np.full((len(q), k), np.inf), np.full((len(q), k), len(vectors)), 0
+        self.own = vectors[tree.order]
+        self.norms, self.p_norms = (np.einsum("ij,ij->i", x, x) for x in (self.own, tree.points))
+        self.q_norms, self.qp_norms = (np.einsum("ij,ij->i", x, x) for x in (q, projected))
+
+    def _verify(self, qs: np.ndarray, leaf: int) -> None:
+        for a in range(self.tree.start[leaf], self.tree.stop[leaf], LEAF):
+            part = slice(a, min(a + LEAF, self.tree.stop[leaf]))
+            sums = self.qp_norms[qs, None] + self.p_norms[part]
+            test = sums - 2 * (self.p[qs] @ self.tree.points[part].T) <= (self.stop * self.bound[qs])[:, None] + 1e-9 * sums
+            self.verified += int(test.sum())
+            sums = self.q_norms[qs, None] + self.norms[part]
+            i, j = np.nonzero(test & (sums - 2 * (self.q[qs] @ self.own[part].T) <= self.bound[qs, None] + 1e-9 * sums))
+            for x in range(0, len(i), 1 << 14):
+                at, place = qs[i[x : x + (1 << 14)]], a + j[x : x + (1 << 14)]
+                diff = self.own[place] - self.q[at]
+                d = np.einsum("ij,ij->i", diff, diff)
+                near = d <= self.bound[at]
+                if near.any():
+                    self._merge(at[near], self.tree.order[place[near]], d[near])
+
+    def _merge(self, at: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
+        mine = np.unique(at)
+        of, d, rows = np.r_[np.repeat(mine, self.k), at], np.r_[self.d[mine].ravel(), d], np.r_[self.row[mine].ravel(), rows]
+        order = np.lexsort((rows, d, of))
+        of, d, rows = of[order], d[order], rows[order]
+        kept = np.arange(len(of)) - np.searchsorted(of, of) < self.k
+        self.d[mine], self.row[mine] = d[kept].reshape(-1, self.k), rows[kept].reshape(-1, self.k)
+        held = np.cumsum(self.sizes[self.row[mine]], 1) >= self.k
+        full, last = held.any(1), held.argmax(1)
+        self.bound[mine[full]] = np.minimum(self.bound[mine[full]], self.d[mine[full], last[full]])
+
+    def run(self) -> Search:
+        blind, home = np.flatnonzero(np.isinf(self.bound)), np.full(len(self.q), -1)
+        home[blind] = self.tree.home(self.p[blind])
+        for leaf in np.unique(home[blind]).tolist():
+            self._verify(np.flatnonzero(home == leaf), leaf)
+        at, leaf, gap = self.tree.within(self.p, self.stop * self.bound)
+        new = leaf != home[at]
+        at, leaf, gap = at[new], leaf[new], gap[new]
+        order = np.lexsort((gap, at))
+        at, leaf, gap = at[order], leaf[order], gap[order]
+        turn = np.frexp(np.arange(len(at)) - np.searchsorted(at, at) + 1.0)[1]
+        for t in range(1, int(turn.max(initial=0)) + 1):
+            live = np.flatnonzero((turn == t) & (gap <= self.stop * self.bound[at]))
+            live = live[np.argsort(leaf[live], kind="stable")]
+            for part in np.split(live, np.flatnonzero(np.diff(leaf[live])) + 1):
+                part = part[gap[part] <= self.stop * self.bound[at[part]]]
+                if len(part):
+                    self._verify(at[part], int(leaf[part[0]]))
+        return self
+
+
+def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+
+
+_KEY = "key struct<a:bigint,b:bigint>"
+
+
+def _classes(points: DataFrame, members: DataFrame, k: int) -> DataFrame:
+    """(key, ids, asked, vec): distinct vectors with their k + 1 smallest ids, and whether any id is a query's. A key is 128 bits of hash."""
+    few = points.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("id"))).filter(F.col("n") <= k + 1)
+    few = few.groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.first("vec").alias("vec"))
+    return few.join(members.select("key").distinct().withColumn("asked", F.lit(True)), "key", "left").select("key", "ids", F.coalesce("asked", F.lit(False)).alias("asked"), "vec")
 
 
 def _searcher(width: int, r: np.ndarray, k: int, stop: float):
     """Rows of a partition come by group, candidates before queries: a group's candidates become a tree, and its queries stream past it."""
 
+    def found(s: Search, keys: pa.Array, own_keys: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+        at, place = np.nonzero(s.row < len(ids))
+        rows = pa.array(s.row[at, place])
+        asked, got = keys.take(pa.array(at)), own_keys.take(rows)
+        same = np.logical_and(*(np.equal(asked.field(i).to_numpy(), got.field(i).to_numpy()) for i in (0, 1)))
+        return pa.RecordBatch.from_arrays([asked, ids.take(rows), pa.array(same), pa.array(np.sqrt(s.d[at, place])), pa.array(s.bound[at])], ["key", "ids", "own", "d", "bound"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held, tree, vectors, ids, sizes = None, [], None, None, None, None
+        group, held, tree = None, [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
             groups, asks = batch.column("g").to_numpy(), batch.column("ask").to_numpy(zero_copy_only=False)
-            vec, id_rows, nodes, bounds = _matrix(batch, "vec", width), batch.column("ids").to_pylist(), batch.column("node").to_pylist(), batch.column("bound").to_numpy(zero_copy_only=False)
-            edges = np.flatnonzero(np.r_[True, (groups[1:] != groups[:-1]) | (asks[1:] != asks[:-1])])
-            out_node, out_ids, out_d = [], [], []
+            edges = np.flatnonzero(np.r_[len(groups) > 0, (groups[1:] != groups[:-1]) | (asks[1:] != asks[:-1])])
             for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(groups)]):
                 if groups[a] != group:
                     group, held, tree = groups[a], [], None
+                part = batch.slice(a, b - a)
                 if not asks[a]:
-                    held.append((vec[a:b], id_rows[a:b]))
-                    continue
-                if tree is None and held:
-                    vectors, ids = np.concatenate([x[0] for x in held]), [i for x in held for i in x[1]]
-                    tree, sizes = KdTree(vectors @ r), np.array([len(x) for x in ids])
-                if not held:
-                    continue
-                projected = vec[a:b] @ r
-                for i in range(a, b):
-                    for d, row in search(tree, vectors, sizes, vec[i], projected[i - a], k + 1, stop, bounds[i]):
-                        out_node.append(nodes[i])
-                        out_ids.append(ids[row])
-                        out_d.append(math.sqrt(d))
-            yield pa.RecordBatch.from_arrays([pa.array(out_node, pa.int64()), pa.array(out_ids, pa.list_(pa.int64())), pa.array(out_d, pa.float64())], ["node", "ids", "d"])
+                    held.append((_matrix(part.column("vec"), width), part.column("key"), part.column("ids")))
+                elif held:
+                    if tree is None:
+                        vectors, own_keys, ids = np.concatenate([x[0] for x in held]), *(pa.concat_arrays([x[i] for x in held]) for i in (1, 2))
+                        first = np.argsort(ids.flatten().to_numpy()[np.asarray(ids.offsets)[:-1] - ids.offsets[0].as_py()], kind="stable")
+                        vectors, own_keys, ids = vectors[first], own_keys.take(pa.array(first)), ids.take(pa.array(first))
+                        tree, sizes, held = KdTree(vectors @ r), np.diff(np.asarray(ids.offsets)), [None]
+                    q, bound = _matrix(part.column("vec"), width), part.column("bound").to_numpy(zero_copy_only=False)
+                    for i in range(0, len(q), _BATCH):
+                        some = slice(i, i + _BATCH)
+                        yield found(Search(tree, vectors, sizes, q[some], q[some] @ r, k + 1, stop, bound[some]).run(), part.column("key")[some], own_keys, ids)
 
     return run
 
 
-def _visit(candidates: DataFrame, queries: DataFrame, blocks: int, run) -> DataFrame:
-    """Search each query (node, vec, cell, bound) in the candidates of its cell; queries of a cell are dealt into blocks, with the cell beside each."""
-    many = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = candidates.withColumn("b", many).select("cell", "b", F.lit(False).alias("ask"), "node", "ids", "vec", F.lit(0.0).alias("bound"))
-    right = queries.withColumn("b", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")).select("cell", "b", F.lit(True).alias("ask"), "node", F.array().cast("array<bigint>").alias("ids"), "vec", "bound")
-    both = left.unionByName(right).withColumn("g", F.col("cell") * blocks + F.col("b"))
-    return map_arrow(both.select("g", "ask", "node", "ids", "vec", "bound").repartition("g").sortWithinPartitions("g", "ask"), run, _FOUND)
+class _Dealer:
+    """Deals rows into groups (cell, chunk, block): a cell beyond its bound has several chunks of candidates, each its own tree, and its
+    queries come in blocks, with a chunk's candidates beside each."""
+
+    def __init__(self, grid: Grid, r: np.ndarray, width: int, candidates: np.ndarray, queries: np.ndarray, cell_rows: int, block: int):
+        self.grid, self.r, self.width = grid, r, width
+        self.chunks, self.blocks = np.maximum(1, -(-candidates // (2 * cell_rows))), -(-queries // block)
+        self.base = np.cumsum(self.chunks * self.blocks) - self.chunks * self.blocks
 
+    def _rows(self, batch: pa.RecordBatch, at: np.ndarray, g: np.ndarray, ask: bool, bound: np.ndarray) -> pa.RecordBatch:
+        some = batch.take(pa.array(at))
+        ids = pa.array([[]] * len(at), pa.list_(pa.int64())) if ask else some.column("ids")
+        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(np.full(len(at), ask)), some.column("key"), ids, some.column("vec"), pa.array(bound, pa.float64())], ["g", "ask", "key", "ids", "vec", "bound"])
 
-def nearest(vectors: DataFrame, k: int = 10, every: int = 100, dims: int = DIMS, confidence: float = CONFIDENCE, cell_rows: int = CELL_ROWS, seed: int = 11,
+    def candidates(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = batch.column("cell").to_numpy()
+            at = np.repeat(np.arange(len(cell)), self.blocks[cell])
+            block = np.arange(len(at)) - np.searchsorted(at, at)
+            chunk = batch.column("key").field(0).to_numpy()[at] % self.chunks[cell[at]]
+            for i in range(0, len(at), 4000):
+                x = slice(i, i + 4000)
+                yield self._rows(batch, at[x], self.base[cell[at[x]]] + chunk[x] * self.blocks[cell[at[x]]] + block[x], False, np.zeros(len(at[x])))
+
+    def queries(self, batches: Iterator[pa.RecordBatch], stop: float | None) -> Iterator[pa.RecordBatch]:
+        """To all chunks of their own cells, or with ``stop`` of all others that the test doesn't rule out."""
+        for batch in batches:
+            bound = batch.column("bound").to_numpy(zero_copy_only=False)
+            at, cell = (np.arange(batch.num_rows), batch.column("cell").to_numpy()) if stop is None else self.grid.others(_matrix(batch.column("vec"), self.width) @ self.r, stop * bound)
+            block = batch.column("key").field(1).to_numpy()[at] % self.blocks[cell]
+            which = np.repeat(np.arange(len(at)), self.chunks[cell])
+            chunk = np.arange(len(which)) - np.searchsorted(which, which)
+            for i in range(0, len(which), 4000):
+                w = which[i : i + 4000]
+                yield self._rows(batch, at[w], self.base[cell[w]] + chunk[i : i + 4000] * self.blocks[cell[w]] + block[w], True, bound[at[w]])
+
+
+def _by_cell(df: DataFrame, cells: int, *counts: str) -> list[np.ndarray]:
+    """Sums by cell, one number a cell."""
+    out = [np.zeros(cells, np.int64) for _ in counts]
+    for row in df.groupBy("cell").agg(*[F.sum(F.col(c).cast("bigint")).alias(c) for c in counts]).collect():
+        for x, c in zip(out, counts):
+            x[row["cell"]] = row[c]
+    return out
+
+
+def _search_all(points: DataFrame, members: DataFrame, width: int, k: int, dims: int, confidence: float, cell_rows: int, query_block: int, seed: int) -> DataFrame:
+    """(key, ids, own, d): for each asked class of vectors the classes near it, k + 1 ids at least where there are so many."""
+    classes, r, stop = cut(_classes(points, members, k)), projection(width, dims, seed), chi_square_quantile(confidence, dims)
+    n = classes.count()
+    cells = 1 << max(0, math.ceil(math.log2(max(1.0, math.sqrt(n) / 12.8, n / cell_rows))))
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = (_matrix(batch.column("vec"), width) @ r).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), dims).cast(pa.list_(pa.float32()))], ["p"])
+
+    sampled = map_arrow(classes.filter(F.pmod("key.a", F.lit(max(n, 1))) < FIT_A_CELL * cells).select("vec"), project, "p array<float>").toArrow() if cells > 1 else None
+    grid = Grid(_matrix(sampled.column("p").combine_chunks(), dims) if cells > 1 else np.zeros((0, dims)), cells, dims)
+    run, groups = _searcher(width, r, k, stop), "g bigint, ask boolean, key struct<a:bigint,b:bigint>, ids array<bigint>, vec " + points.schema["vec"].dataType.simpleString() + ", bound double"
+    results = f"{_KEY}, ids array<bigint>, own boolean, d double, bound double"
+    context = points.sparkSession.sparkContext
+    shared = context.broadcast(grid)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell = shared.value.cell(_matrix(batch.column("vec"), width) @ r)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
+
+    placed = cut(map_arrow(classes, place, f"{_KEY}, ids array<bigint>, asked boolean, vec {points.schema['vec'].dataType.simpleString()}, cell bigint"))
+    held, asked = _by_cell(placed.withColumn("n", F.lit(1)), cells, "n", "asked")
+
+    def visit(queries: DataFrame, counts: np.ndarray, at_most: float | None) -> DataFrame:
+        dealer = context.broadcast(_Dealer(grid, r, width, held, counts, cell_rows, query_block))
+        left = map_arrow(placed.select("key", "ids", "vec", "cell"), lambda it: dealer.value.candidates(it), groups)
+        right = map_arrow(queries.select("key", "ids", "vec", "cell", "bound"), lambda it: dealer.value.queries(it, at_most), groups)
+        return map_arrow(left.unionByName(right).repartition("g").sortWithinPartitions("g", "ask"), run, results)
+
+    queries = placed.filter("asked")
+    first = cut(visit(queries.withColumn("bound", F.lit(float("inf"))), asked, None))
+    if cells == 1:
+        return first
+    # a bound that rounding puts a little too low could shut out a tie
+    reached = first.groupBy("key").agg((F.min("bound") * (1 + 1e-12)).alias("bound"))
+    bounded = cut(queries.join(reached, "key"))
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(cells, np.int64)
+        for batch in batches:
+            total += np.bincount(shared.value.others(_matrix(batch.column("vec"), width) @ r, stop * batch.column("bound").to_numpy())[1], minlength=cells)
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(total)), pa.array(total[total > 0])], ["cell", "n"])
+
+    (visits,) = _by_cell(map_arrow(bounded.select("vec", "bound"), numbers, "cell bigint, n bigint"), cells, "n")
+    return first.unionByName(visit(bounded, visits, stop))
+
+
+def nearest(vectors: DataFrame, k: int = 10, every: int = 100, dims: int = DIMS, confidence: float = CONFIDENCE, cell_rows: int = CELL_ROWS, query_block: int = QUERY_BLOCK, seed: int = 11,
             id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by ``every``, by Euclidean distance.
 
-    Equal vectors are one point with its k + 1 smallest ids. The top of the kd-tree is fitted on at most FIT_ROWS vectors and deals all
-    of them into cells; each cell's task builds the rest. A query first searches its own cell; the distance reached there bounds the
-    search of every other cell whose box passes the chi-square test. At ``confidence`` 0.99 a true neighbour is missed by the test with
-    a probability of at most 0.01. Left out: vectors that are null, zero, of another length than most, or hold null, NaN or infinity, and
-    rows without an id. Repeated rows (same id and vector) count once; ties go to the smaller id; a table of one vector has no
-    neighbours; an empty table gives no rows; further columns are ignored.
+    Equal vectors are one point with its k + 1 smallest ids. The top of the kd-tree deals all vectors into cells, some 13 square roots of
+    their number and never over ``cell_rows`` each (a fuller cell is searched in chunks); it is fitted on FIT_A_CELL sampled vectors a
+    cell. A cell's task builds the rest of the tree. A query first searches its own cell; the distance reached there bounds the search of
+    every other cell whose box passes the chi-square test. A true neighbour fails the test with a probability of at most 1 - ``confidence``.
+
+    Left out: vectors that are null, zero, or hold null, NaN or infinity, and rows without an id. Vectors of different lengths have no
+    distance, so each length is searched on its own. Repeated rows (same id and vector) count once; an id with several vectors is
+    several points: each is asked on its own, with ranks from 1, and each is a candidate, for the others of its id, too. Ties go to the
+    smaller id; a table of one vector has no neighbours; an empty table gives no rows; further columns are ignored.
     """
-    v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    v = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(kind).alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    v = v.filter(F.col("id").isNotNull() & F.col("vec").isNotNull()).filter(~bad & F.exists("vec", lambda x: x != 0)).withColumn("vec", F.transform("vec", lambda x: x + F.lit(0.0)))
-    common = v.groupBy(F.size("vec").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    empty = vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    if common is None:
-        return empty
-    width = common["w"]
-    v = v.filter(F.size("vec") == width).distinct().withColumn("asked", F.col("id") % every == 0)
-    classes, r, stop = cut(_classes(v, k)), projection(width, dims, seed), chi_square_quantile(confidence, dims)
-    n, asked = classes.agg(F.count("*"), F.count_if("asked")).first()
-    if not asked:
-        return empty
-    cells = 1 << max(0, math.ceil(math.log2(n / cell_rows)))
-    fit = np.array([x[0] for x in classes.filter(F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(n)) < FIT_ROWS).select("vec").limit(2 * FIT_ROWS).collect()]).reshape(-1, width) @ r if cells > 1 else np.zeros((0, dims))
-    planes = _split_planes(fit, cells)
-    low, high = _boxes(planes, dims)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p = _matrix(batch, "vec", width) @ r
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("node", "ids", "asked", "vec")), pa.array(_cell(p, planes), pa.int64())], ["node", "ids", "asked", "vec", "cell"])
-
-    placed = cut(map_arrow(classes, place, "node bigint, ids array<bigint>, asked boolean, vec array<double>, cell bigint"))
-    blocks, run = max(1, -(-asked // QUERY_BLOCK)), _searcher(width, r, k, stop)
-    queries = placed.filter("asked").select("node", "vec", "cell", F.lit(float("inf")).alias("bound"))
-    first = cut(_visit(placed, queries, blocks, run))
-    found = first
-    if cells > 1:
-        by_d = Window.partitionBy("node").orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        reached = first.withColumn("held", F.sum(F.size("ids")).over(by_d)).filter(F.col("held") >= k + 1).groupBy("node").agg(F.min("d").alias("d"))
-
-        def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                p, own, bound = _matrix(batch, "vec", width) @ r, batch.column("cell").to_numpy(), batch.column("bound").to_numpy(zero_copy_only=False)
-                at, to = [], []
-                for i in range(len(p)):
-                    gap = np.maximum(np.maximum(low - p[i], p[i] - high), 0)
-                    go = np.flatnonzero(((gap * gap).sum(1) <= stop * bound[i]) & (np.arange(len(low)) != own[i]))
-                    at += [i] * len(go)
-                    to += go.tolist()
-                some = batch.take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays([some.column("node"), some.column("vec"), pa.array(to, pa.int64()), some.column("bound")], ["node", "vec", "cell", "bound"])
-
-        # a bound that rounding puts a little too low could shut out a tie
-        bounded = queries.drop("bound").join(reached, "node", "left").select("node", "vec", "cell", F.coalesce(F.col("d") * F.col("d") * (1 + 1e-12), F.lit(float("inf"))).alias("bound"))
-        found = first.unionByName(_visit(placed, map_arrow(bounded, others, "node bigint, vec array<double>, cell bigint, bound double"), blocks, run))
-    best = Window.partitionBy("node").orderBy("d", "vec_id")
-    top = found.select("node", F.explode("ids").alias("vec_id"), "d").withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n")
-    members = v.filter("asked").select(F.col("id").alias("query_id"), "vec").join(classes.filter("asked").select("node", "vec"), "vec").select("query_id", "node")
-    ranked = members.join(top, "node").filter("query_id <> vec_id").withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("d").alias("score"))
+    v = v.filter(~bad & F.exists("vec", lambda x: x != 0)).withColumn("vec", F.transform("vec", lambda x: x + F.lit(0).cast(kind[6:-1])))
+    v = v.withColumn("key", F.struct(F.xxhash64("vec").alias("a"), F.xxhash64(F.lit(1), "vec").alias("b"))).withColumn("width", F.size("vec"))
+    members = cut(v.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "key", "width").distinct())
+    widths = [w for (w,) in members.select("width").distinct().orderBy("width").collect()]
+    if not widths:
+        return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    points = v.select("key", "id", "vec", "width").distinct()
+    found = reduce(DataFrame.unionByName, [_search_all(points.filter(F.col("width") == w).drop("width"), members.filter(F.col("width") == w), w, k, dims, confidence, cell_rows, query_block, seed) for w in widths])
+    top = found.select("key", F.explode("ids").alias("vec_id"), "own", "d").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("d", "vec_id"))).filter(F.col("n") <= k + 1).drop("n")
+    ranked = members.drop("width").join(top, "key").filter("NOT (own AND query_id = vec_id)").withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "key").orderBy("d", "vec_id")))
+    return ranked.filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("d").alias("score"))
