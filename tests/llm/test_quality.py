@@ -1,18 +1,21 @@
+import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from tabwright.llm.quality import LABELLERS, Words, classify, fit_labellers, heuristic_votes, keep_good
+from tabwright.llm import quality
+from tabwright.llm.quality import COMMON, INSULTS, KINDS, LABELLERS, Words, classify, fit_labellers, heuristic_votes, keep_good, label, unpacked
 
 SCHEMA = "doc_id bigint, text string, keep string"
-VOCAB = [f"word{i}" for i in range(200)]
+VOCAB = [f"{a}{b}" for a in "lom tar vig sel pon rud kem".split() for b in "ar ine ost ule ask em".split()] + COMMON[:30]
 
 
 def good(rng):
-    return " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(rng.choices(VOCAB, k=60)))
+    return " ".join(w + ("." if k % 9 == 8 else "") for k, w in enumerate(rng.sample(VOCAB, 60)))
 
 
 def table(n=600, seed=0):
@@ -31,27 +34,61 @@ def table(n=600, seed=0):
 
 
 def test_shapes_against_brute_force():
-    texts = ["AA bb!! %%% | |", None, "", " \t", "a a a b", "Idiot, you. End?", "é" * 5 + " ÉÉ"]
+    texts = ["AA bb!! %%% | |", None, "", " \t", "a a a b", "Idiot, you. End?", "é" * 5 + " ÉÉ", "The cat, of course (and a dog) l'été x-y 3.5%", 'The THE!! of### "Of" end."']
     words = Words(pa.array(texts))
     got = words.shapes()
+    common = {*COMMON, *(x.capitalize() for x in COMMON)}
     for t, row, n in zip(texts, got, words.n):
         w = (t or "").split()
         assert n == len(w)
+        runs = [len(list(g)) for _, g in itertools.groupby(w)]
+        letters = [x for x in "".join(w) if x.isalpha()]
+        plain = [x for x in w if not re.search(r"[#%&*$|]{2}|!!", x) and x != "|"]
         want = [sum(bool(re.search(r"[%$#&*^~<>{}=\\]{2}", x)) for x in w), sum(x.isupper() and len(x) > 1 for x in w), sum("!!" in x for x in w), sum(a == b for a, b in zip(w, w[1:])), w.count("|"), sum(map(len, w)), sum(bool(re.search(r"[.!?][\"')]?$", x)) for x in w), sum(x.strip(",.?").lower() == "idiot" for x in w)]
-        assert row == pytest.approx([x / max(len(w), 1) for x in want])
-    assert (heuristic_votes(got, words.n)[1:4] == 0).all()
+        want += [sum(re.sub("[.,;:!?]$", "", x) in common for x in w), len(w) - len(plain)]
+        assert row[:10] == pytest.approx([x / max(len(w), 1) for x in want])
+        assert row[10:] == pytest.approx([sum(x.isupper() for x in letters) / max(len(letters), 1), max(Counter(w).values(), default=0) / max(len(w), 1), max(runs, default=0)])
+    assert words.different(INSULTS).tolist() == [0, 0, 0, 0, 0, 1, 0, 0, 0]
+    assert (heuristic_votes(got, words.n, words.different(INSULTS))[1:4] == 0).all()
+    assert Words(pa.array([], pa.string())).shapes().shape == (0, 13)
 
 
 def test_em_finds_accuracies():
+    """Votes drawn with known accuracies, on kinds that each labeller can or can't tell apart."""
     rng = np.random.default_rng(1)
-    truth = rng.choice(3, 20_000, p=[0.7, 0.2, 0.1])
-    right = [0.9, 0.85, 0.8, 0.75, 0.9, 0.8, 0.85, 0.9, 0.95]
-    votes = np.stack([np.where(rng.random(len(truth)) < 0.5, 0, 1 + np.where(rng.random(len(truth)) < r, truth, (truth + 1 + rng.integers(0, 2, len(truth))) % 3)) for r in right], 1)
-    patterns, at, n = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    share, p, posterior = fit_labellers(patterns, n.astype(float), belief=(0.0,) * 9)
-    assert share == pytest.approx([0.7, 0.2, 0.1], abs=0.02)
-    assert [p[j, 0, 1] / p[j, 0, 1:].sum() for j in range(9)] == pytest.approx(right, abs=0.03)
-    assert (posterior[at.ravel()].argmax(1) == truth).mean() > 0.9
+    kind = rng.choice(4, 40_000, p=[0.75, 0.1, 0.1, 0.05])
+    right, cast, columns = {}, rng.random((len(LABELLERS), len(kind))), []
+    for j, name in enumerate(LABELLERS):
+        right[name] = acc = rng.uniform(0.8, 0.95)
+        ok = rng.random(len(kind)) < acc
+        if name in quality.TOXIC_LABELLERS:
+            columns.append(np.where((kind == 2) & (cast[j] < 0.6), 3, 0))
+        elif name in quality.FAULT_LABELLERS:
+            columns.append(np.where((kind == 1) & (cast[j] < 0.3), 2, 0))
+        elif name in quality.QUALITY_LABELLERS:
+            columns.append(np.where(cast[j] < 0.8, np.where(np.isin(kind, quality._SEES[name]) == ok, 2, 1), 0))
+        else:
+            columns.append(np.where(cast[j] < 0.7, np.where(ok, quality.CLASS_OF_KIND[kind] + 1, rng.integers(1, 4, len(kind))), 0))
+    patterns, at, n = np.unique(np.stack(columns, 1), axis=0, return_inverse=True, return_counts=True)
+    share, p, posterior = fit_labellers(patterns, n.astype(float), belief=0.0)
+    assert share.sum() == pytest.approx(1) and share[[1, 3]] == pytest.approx([0.1, 0.05], abs=0.03)
+    for j, name in enumerate(LABELLERS):
+        if name in quality._SEES:
+            assert p[j, 0, 1] / p[j, 0, 1:3].sum() == pytest.approx(right[name], abs=0.05)
+    assert (posterior[at.ravel()].argmax(1) == quality.CLASS_OF_KIND[kind]).mean() > 0.9
+    assert len(KINDS) == 4
+
+
+def test_a_labeller_that_is_often_wrong_weighs_less():
+    rng = np.random.default_rng(3)
+    kind = rng.choice(4, 20_000, p=[0.8, 0.1, 0.05, 0.05])
+    columns = [np.zeros(len(kind), int)] * len(LABELLERS)
+    for name, acc in (("sentences", 0.55), ("common_words", 0.95), ("plain_words", 0.95), ("longest_run", 0.95), ("repetition", 0.95)):
+        columns[LABELLERS.index(name)] = np.where(np.isin(kind, quality._SEES[name]) == (rng.random(len(kind)) < acc), 2, 1)
+    patterns, n = np.unique(np.stack(columns, 1), axis=0, return_counts=True)
+    _, p, _ = fit_labellers(patterns, n.astype(float))
+    gap = lambda name: np.log(p[LABELLERS.index(name), 0, 1] / p[LABELLERS.index(name), quality._SEES[name][0], 1])
+    assert gap("common_words") > 5 * abs(gap("sentences"))
 
 
 def test_held_out_accuracy_and_odd_rows(spark):
@@ -69,6 +106,35 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.keep for r in got)
 
 
+def test_labels_of_em_alone(spark):
+    """Without any given label the heuristics find low texts and insults; the posterior of no document comes from its own label."""
+    rows, labels = table()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for told, least in ((None, 0.8), (spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), 0.9)):
+        every, codes, _, posterior, _ = label(docs, told, buckets=1 << 14)
+        of = dict(zip(codes.tolist(), posterior.argmax(1)))
+        got = {r.doc_id: of[r.code] for r in every.collect()}
+        for k, name in enumerate(("good", "low", "toxic")):
+            mine = [i for i, text, x in rows if x == name and (told or x != "toxic" or "idiot" in text)]  # the other insults are no heuristic's
+            assert sum(got[i] == k for i in mine) >= least * len(mine)
+        assert (unpacked(codes)[:, -1] == 0).all() == (told is None)
+    flipped = spark.createDataFrame([(i, 1 - q if i == 7 else q, x) for i, q, x in labels], "doc_id bigint, quality int, toxic int")
+    code = [next(r.code for r in label(docs, t, buckets=1 << 14)[0].filter("doc_id = 7").collect()) for t in (told, flipped)]
+    assert code[0] == code[1]
+
+
+def test_query_on_tables(spark, tmp_path):
+    from tabwright.llm.queries import op1_weak_labels
+
+    rows, labels = table(900, 5)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([x for x in labels if x[0] < 700], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in op1_weak_labels(spark, str(tmp_path)).collect()}
+    assert got.keys() == {i for i, _, _ in rows}
+    assert all(r.p_good + r.p_low + r.p_toxic == pytest.approx(1, abs=1e-5) and r.keep == (r.p_good >= 0.5) for r in got.values())
+    assert sum(got[i].keep == (k == "good") for i, _, k in rows if i >= 700) >= 0.95 * 200
+
+
 def test_without_labels_and_empty_tables(spark):
     rows, _ = table(200)
     docs = spark.createDataFrame(rows, SCHEMA)
@@ -77,4 +143,3 @@ def test_without_labels_and_empty_tables(spark):
         by = {r.row.doc_id: r.keep for r in classify(docs, labels, buckets=1 << 14).collect()}
         assert all(by[i] for i, _, k in rows if k == "good") and sum(not by[i] for i, _, k in rows if k == "low") > 0
     assert classify(docs.limit(0), none).count() == 0
-    assert len(LABELLERS) == 9
