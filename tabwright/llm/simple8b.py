@@ -150,20 +150,21 @@ class ChunkEncoder:
 
     A chunk is a run of white space with the run of other characters after it. Byte-level BPE pre-tokens never go on from other
     characters into white space, so the ids of a text are those of its chunks in turn. Most texts have only single spaces and line
-    feeds as white space, and are cut up by Arrow's split; a text where white space meets white space goes by the pattern. The control
+    feeds as white space, and are cut up by Arrow's split; a text where white space meets white space goes by the pattern. A text that
+    holds one of the tokenizer's added tokens, which may reach over chunks, goes to the library whole. The control
     characters \\x1c to \\x1f, which Python alone calls white space, count as other characters.
     """
 
     CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-    #: Distinct pieces kept, some 200 bytes each; pieces that go to the library at once.
-    MOST, JOINED = 600_000, 20_000
+    #: Distinct pieces kept, some 200 bytes each, and ids kept; pieces that go to the library at once.
+    MOST, MOST_IDS, JOINED = 600_000, 8_000_000, 20_000
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.token_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self._clear()
 
@@ -222,9 +223,24 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in turn, as uint32, and how many each has; null is empty."""
-        if len(self.codes) > self.MOST:
+        if len(self.codes) > self.MOST or self.n_flat > self.MOST_IDS:
             self._clear()
         texts = pc.fill_null(texts, "")
+        holds = np.zeros(len(texts), bool)
+        for token in self.added:
+            holds |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        if holds.any():
+            whole = np.flatnonzero(holds)
+            ids, sizes = self._each(texts.take(pa.array(whole)).to_pylist())
+            other, counts = self.encode(texts.filter(pa.array(~holds)))
+            every = np.zeros(len(texts), np.int64)
+            every[whole], every[~holds] = sizes, counts
+            own = np.repeat(holds, every)
+            out = np.zeros(int(every.sum()), np.uint32)
+            out[own], out[~own] = ids, other
+            return out, every
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()

@@ -21,7 +21,6 @@ def test_stages_and_run(spark):
     assert counts[0] > counts[1] > counts[2] >= counts[3] <= counts[4] <= 2 * counts[3]
     got = corpus_pipeline.run(spark, SF).collect()
     tok = Tokenizer.from_str(json.dumps(json.loads(Path(public_tokenizers.path("byte_bpe_50k.json")).read_text())))
-    tok.encode_special_tokens = True
     want = sorted((r.doc_id, len(tok.encode(r.text, add_special_tokens=False).ids) + 1) for r in docs.collect())
     assert sorted((r.doc_id, r.n_tokens) for r in got) == want
     assert max(r.start + r.n_tokens for r in got) == sum(n for _, n in want)

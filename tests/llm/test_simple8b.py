@@ -28,11 +28,10 @@ def plain(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, 2]
 
 
-TEXTS = [(5, "Hello  world\n\nfoo\tbar "), (1, None), (2, ""), (3, " "), (9, "x" * 5000 + " y" * 5000), (4, "école\x1c a b  c\x85d"), (7, "<|endoftext|> it's 'll\r\n\r\n  z"), (5, "again")]
+TEXTS = [(5, "Hello  world\n\nfoo\tbar "), (1, None), (2, ""), (3, " "), (9, "x" * 5000 + " y" * 5000), (4, "école\x1c a b  c\x85d"), (7, "<|endoftext|> it's 'll\r\n\r\n  z"), (8, "x <|endoftext|> y<|endoftext|>"), (6, "<|endoftext|>"), (10, "a <|endof text|> b"), (5, "again")]
 
 
 def test_files_hold_the_ids_of_the_library(spark, tmp_path):
