@@ -2,87 +2,57 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import WHITE, bytes_of, cut, map_arrow, texts
+from tabwright.llm.common import WHITE, cut
 
-#: Largest number of shared lines (16 bytes each) that is broadcast; beyond it they are joined.
+#: Largest number of shared lines (16 bytes each) that is broadcast, the commonest ones; further ones are joined.
 BROADCAST_LINES = 200_000
-_FLUSH = 500_000
-
-
-def _digest(line: bytes) -> bytes:
-    """128-bit hash of a line's key, empty for an empty key."""
-    key = line.strip(WHITE).lower()
-    return xxhash.xxh3_128_digest(key) if key else b""
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["h", "n"])
-        seen.clear()
-        return batch
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-    for batch in batches:
-        for text in bytes_of(batch, "text"):
-            seen.update({_digest(x) for x in text.split(b"\n")})
-            if len(seen) > _FLUSH:
-                yield out()
-    seen.pop(b"", None)
-    if seen:
-        yield out()
 
+def _hash(text: Column) -> Column:
+    """128 bits of hash: two XXH64 with different beginnings."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
 
-def shared_lines(docs: DataFrame, min_docs: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(h, n): hashes of the non-empty line keys found in at least ``min_docs`` documents, counted once a document."""
-    counts = map_arrow(texts(docs, id_col, text_col), _count, "h binary, n bigint")
-    return counts.filter("h <> X''").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs)
 
+def exploded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    r"""(doc_id, row, pos, line, h): the lines of each text by position, with the hash of the normalised line, null for an empty one.
 
-def _kept(batches: Iterator[pa.RecordBatch], drop: frozenset[bytes] | None) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        own = batch.column("hs").to_pylist() if drop is None else None
-        texts_, n_lines, n_dropped = [], [], []
-        for i, text in enumerate(bytes_of(batch, "text")):
-            bad = drop if own is None else set(own[i] or ())
-            lines = text.split(b"\n")
-            kept = [x for x in lines if _digest(x) not in bad] if bad else lines
-            texts_.append(b"\n".join(kept))
-            n_lines.append(len(lines))
-            n_dropped.append(len(lines) - len(kept))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts_, pa.binary())], ["doc_id", "n_lines", "n_dropped", "kept"])
+    ``row`` is the hash of the whole text: it tells rows of the same id apart."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
+    lines = rows.select("doc_id", _hash(F.col("text")).alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    key = F.translate(F.btrim("line", F.lit(WHITE.decode())), _UPPER, _UPPER.lower())
+    return lines.withColumn("h", F.when(key != "", _hash(key)))
 
 
-def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hs = [[h for h in {_digest(x) for x in text.split(b"\n")} if h] for text in bytes_of(batch, "text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(hs, pa.list_(pa.binary()))], ["doc_id", "hs"])
+def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """(h, n): the line hashes found in at least ``min_docs`` documents: distinct pairs of hash and id first, so that no common line meets in one task."""
+    return lines.filter("h IS NOT NULL").select("h", "doc_id").distinct().groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= min_docs)
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text", broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     r"""Drop every line whose key occurs in at least ``min_docs`` documents, and join the others by \n.
 
-    A key is the line stripped of ASCII white space at both ends, with A-Z lower-cased; empty keys are never dropped. Returns doc_id,
-    n_lines, n_dropped and the kept text. Each row is one document; null text is one empty line; rows without an id are left out;
-    further columns are ignored; an empty table gives no rows. The set of shared lines is broadcast only while it has at most
-    ``broadcast_lines`` entries; a larger one is joined to the exploded lines, and the lines of a document come back in one list,
-    which is never longer than the document.
+    A key is the line stripped of ASCII white space at both ends, with A-Z lower-cased; empty keys are never dropped. Documents are counted
+    by distinct id: rows of the same id are one document for the count. Returns doc_id, n_lines, n_dropped and the kept text of each row,
+    repeated rows too. Null text is one empty line; rows without an id are left out; further columns are ignored; an empty table gives no
+    rows. Lines are exploded with their positions, marked, and put together by position; a task only ever holds one document's lines.
+    The ``broadcast_lines`` commonest shared lines are broadcast; further ones are joined to hashes and positions alone.
     """
-    shared = cut(shared_lines(docs, min_docs, id_col, text_col))
-    rows, schema = texts(docs, id_col, text_col), "doc_id bigint, n_lines bigint, n_dropped bigint, kept binary"
-    if shared.count() <= broadcast_lines:
-        held = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.h) for r in shared.select("h").collect()))
-        out = map_arrow(rows, lambda it: _kept(it, held.value), schema)
+    lines = exploded(docs, id_col, text_col)
+    shared = cut(shared_lines(lines, min_docs))
+    more = shared.count() > broadcast_lines
+    common = shared.orderBy(F.desc("n"), "h").limit(broadcast_lines) if more else shared
+    marked = lines.join(F.broadcast(common.select("h", F.lit(True).alias("gone"))), "h", "left").select("doc_id", "row", "pos", "line", F.coalesce("gone", F.lit(False)).alias("gone"))
+    if more:
+        rare = cut(shared.join(common.select("h"), "h", "left_anti").select("h"))
+        found = lines.select("doc_id", "row", "pos", "h").join(rare, "h").select("doc_id", "row", "pos", F.lit(None).cast("string").alias("line"), F.lit(True).alias("gone"))
+        marked = marked.unionByName(found).repartition("doc_id", "row").groupBy("doc_id", "row", "pos").agg(F.max("line").alias("line"), F.max("gone").alias("gone"), F.count("line").alias("times"))
     else:
-        lines = map_arrow(rows, _hashes, "doc_id bigint, hs array<binary>").select("doc_id", F.explode("hs").alias("h"))
-        per_doc = lines.join(shared.select("h"), "h").groupBy("doc_id").agg(F.collect_set("h").alias("hs"))
-        out = map_arrow(rows.join(per_doc, "doc_id", "left"), lambda it: _kept(it, None), schema)
-    return out.withColumn("kept", F.col("kept").cast("string"))
+        marked = marked.withColumn("times", F.lit(1))
+    kept = F.sort_array(F.collect_set(F.when(~F.col("gone"), F.struct("pos", "line"))))  # a set: repeated rows are put together once
+    texts = marked.groupBy("doc_id", "row").agg((F.max("pos") + 1).cast("bigint").alias("n_lines"), kept.alias("kept"), F.sum(F.when(F.col("pos") == 0, F.col("times"))).alias("times"))
+    out = texts.select("doc_id", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept.line", "\n").alias("kept"), F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_"))
+    return out.drop("_")

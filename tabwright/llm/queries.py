@@ -83,14 +83,14 @@ u AS (SELECT *, sum(n) OVER (PARTITION BY key, block ORDER BY place) AS upto, su
 SELECT doc_id, source, round(weight, 9) AS weight, block, place,
   (floor(repeats) + CASE WHEN repeats > floor(repeats) AND upto - n / 2.0 <= (repeats - floor(repeats)) * total THEN 1 ELSE 0 END)::BIGINT AS copies FROM u""",
     "op9_line_dedup": f"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
-k AS (SELECT doc_id, line, i, {_LOWER.format(f"trim(line, {_WHITE})")} AS key FROM l),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+k AS (SELECT rid, doc_id, line, i, {_LOWER.format(f"trim(line, {_WHITE})")} AS key FROM l),
 bad AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
 m AS (SELECT k.*, bad.key IS NOT NULL AS gone FROM k LEFT JOIN bad USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id""",
+FROM m GROUP BY rid, doc_id""",
 }
 
 

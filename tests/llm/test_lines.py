@@ -12,17 +12,18 @@ def brute(rows, min_docs):
     white = " \t\n\x0b\x0c\r"
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     key = lambda x: x.strip(white).translate(low)
-    split = {i: (t or "").split("\n") for i, t in rows}
-    seen = Counter(k for ls in split.values() for k in {key(x) for x in ls} if k)
-    return {i: (len(ls), "\n".join(kept), len(ls) - len(kept)) for i, ls in split.items() for kept in [[x for x in ls if seen[key(x)] < min_docs]]}
+    split = [(i, (t or "").split("\n")) for i, t in rows]
+    seen = Counter(k for _, k in {(i, key(x)) for i, ls in split for x in ls} if k)
+    return sorted((i, len(ls), "\n".join(kept), len(ls) - len(kept)) for i, ls in split for kept in [[x for x in ls if seen[key(x)] < min_docs]])
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("limit", [1000, 1, 0])
 def test_lines_against_brute_force(spark, limit):
     rows = [(i, f"Common  line\r\nown {i}\n\n\t COMMON  LINE\nÉcole {i % 4}\nécole {i % 3}") for i in range(20)]
-    rows += [(100, None), (101, ""), (102, "\n\n"), (103, "common  line"), (104, "x " * 200_000 + "\ncommon  line"), (105, " common  line")]
-    df = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], SCHEMA)
-    got = {r.doc_id: (r.n_lines, r.kept, r.n_dropped) for r in dedup_lines(df, 5, broadcast_lines=limit).collect()}
+    rows += [(100, None), (101, ""), (102, "\n\n"), (103, "common  line"), (104, "x " * 200_000 + "\ncommon  line"), (105, " common  line")]
+    rows += [(200, "said by one alone\nÉcole 1\n\n")] * 10 + [(200, "said by one alone"), (200, None)] + [(7, "own 7\nown 7\nown 8")]
+    df = spark.createDataFrame([(i, t, "a", "b") for i, t in rows], SCHEMA).repartition(3)
+    got = sorted((r.doc_id, r.n_lines, r.kept, r.n_dropped) for r in dedup_lines(df, 5, broadcast_lines=limit).collect())
     assert got == brute(rows, 5)
 
 
