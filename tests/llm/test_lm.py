@@ -52,14 +52,15 @@ class Plain:
         return total
 
 
-@pytest.mark.parametrize("hot", [0, 3, 1000])
-def test_scores_against_brute_force(spark, hot):
+@pytest.mark.parametrize(("order", "hot", "contexts", "few"), [(3, 0, 0, 0), (3, 3, 7, 10), (4, 1000, 100_000, 1_000_000), (4, 1000, 40, 1_000_000), (1, 2, 3, 0)])
+def test_scores_against_brute_force(spark, order, hot, contexts, few):
+    """However many words and contexts are broadcast, the scores are those of the model of all contexts."""
     df = spark.createDataFrame([(i, t, "x") for i, t in ROWS] + [(None, "lost", "x")], SCHEMA)
-    got = scores(df, order=3, hot_words=hot).collect()
+    got = scores(df, order=order, hot_words=hot, hot_contexts=contexts, broadcast_counts=few).collect()
     train = [t for i, t in ROWS if not is_held(i)]
     c = Counter(w for t in train for w in words(t))
     n, v = sum(c.values()) + len(train), len(c) + 1
-    plain = Plain([t or "" for t in train], 3)
+    plain = Plain([t or "" for t in train], order)
     want = sorted((i, is_held(i), len(words(t)) + 1, sum(w in c for w in words(t)) + 1, n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in words(t)) + math.log10((len(train) + 1) / (n + v + 1)), 6), t or "") for i, t in ROWS)
     have = sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got)
     assert have == sorted(w[:6] for w in want)
@@ -85,10 +86,41 @@ def test_trie_is_a_distribution():
     assert np.allclose(p @ weight, 1, atol=1e-5)
 
 
-def test_pruned_trie_and_growth():
+def test_trie_of_some_contexts_leaves_the_others():
     counts = levels(["abracadabra " * 5], 2)
-    few = Trie([counts[0], tuple(x[counts[1][0] == ord("a")] for x in counts[1]), counts[2]])
-    assert few.score([b"abra", b""]).shape == (2,) and (few.score([b"abra"]) < 0).all()
+    few = Trie([counts[0], counts[1], tuple(x[(counts[2][0] & 255) == ord("a")] for x in counts[2])])
+    score, text, gram, times = few.score([b"abra", b""])
+    plain = Plain(["abracadabra " * 5], 2)
+    left = Counter()
+    for t, g, n in zip(text.tolist(), gram.tolist(), times.tolist()):
+        assert (g >> 9) & 255 != ord("a")
+        left[t] += n
+    assert left == {0: 3, 1: 1} and score[1] == 0
+    assert score[0] == pytest.approx(plain.score("abra") - rest_of(plain, "abra", "a"), abs=1e-4)
+
+
+def rest_of(plain, text, last):
+    """What the symbols of a text give that do not follow ``last``."""
+    s, total = list(text.encode()) + [256], 0.0
+    for i, x in enumerate(s):
+        if i == 0 or chr(s[i - 1]) != last:
+            total += symbol(plain, [0, 0, *s[:i]], x)
+    return total
+
+
+def symbol(plain, before, x):
+    out = set()
+    total = 0.0
+    for k in range(plain.order, -1, -1):
+        if have := plain.seen.get(tuple(before[len(before) - k :])):
+            left = {a: n for a, n in have.items() if a not in out}
+            if left:
+                whole = sum(left.values()) + len(left)
+                if x in left:
+                    return total + math.log10(left[x] / whole)
+                total += math.log10(len(left) / whole)
+            out |= have.keys()
+    return total - math.log10(257 - len(out))
 
 
 def test_nothing_to_train_on(spark):
