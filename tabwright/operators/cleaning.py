@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.numbers import cast_id, churn_flag, convert_to_float, nulls_for_missing, to_float, type_dictionary
 from tabwright.functions.text import standardise_name, standardise_names
+from tabwright.operators.quantiles import quantiles
 
 #: Aggregate expressions of one pass; wider tables take more passes, so that generated code stays within its limits.
 MOST_AGGREGATES = 300
@@ -129,7 +130,7 @@ def impute(df: DataFrame, numeric: list[str], categorical: list[str], numeric_ho
     df = nulls_for_missing(df)
     fills: dict[str, Column] = {}
     if numeric_how in ("mean", "median"):
-        found = aggregate(df, {c: F.avg(_c(c)) if numeric_how == "mean" else F.percentile(_c(c), 0.5) for c in numeric})
+        found = aggregate(df, {c: F.avg(_c(c)) for c in numeric}) if numeric_how == "mean" else medians(df, numeric)
         fills |= {c: F.lit(v) for c, v in found.items() if v is not None}
     wanted = [c for c, how in [*((c, numeric_how) for c in numeric), *((c, categorical_how) for c in categorical)] if how == "most_frequent"]
     fills |= {c: F.lit(v) for c, v in most_frequent(df, wanted).items() if v is not None}
@@ -141,6 +142,10 @@ def impute(df: DataFrame, numeric: list[str], categorical: list[str], numeric_ho
     return df.withColumns({c: F.coalesce(_c(c).cast(kinds[c]), v.cast(kinds[c])) for c, v in fills.items()})
 
 
+def medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
+    return {c: q for c, (q,) in quantiles(df, {c: [0.5] for c in cols}).items()}
+
+
 def most_frequent(df: DataFrame, cols: list[str]) -> dict:
     """The value that occurs most in each column, the smallest of equals; null where there is none."""
     out: dict = {}

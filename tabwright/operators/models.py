@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators import clusters, stats
 from tabwright.operators.cleaning import aggregate
 from tabwright.operators.registry import load_object
+from tabwright.written import cut
 
 #: Rows of a block whose columns are shuffled for shadow features; a step's least importance in a sparse linear model.
 SHADOW_BLOCK, LEAST_WEIGHT = 5_000, 1e-5
+#: Parts that the rows of a class are ranked in.
+FOLD_PARTS = 1_024
 
 
 def _d(c: str) -> Column:
@@ -38,20 +42,36 @@ def scale(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "_features") -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="skip").transform(df)
+    """The columns as one vector; a row that lacks one is an error, not a row less."""
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-def embed(df: DataFrame, groups: dict[str, dict], id_col: str) -> tuple[DataFrame, dict[str, float]]:
-    """For each group of columns its principal components as ``component_i_name``, and the share of variance they explain, to 3 digits. Columns are centred (and scaled) first; signs are arbitrary."""
+def split_complete(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows that have all of the columns, the others); NaN counts as missing."""
+    has = reduce(lambda a, b: a & b, [_d(c).isNotNull() & ~F.isnan(_d(c)) for c in cols], F.lit(True))
+    return df.filter(has), df.filter(~has)
+
+
+def embed(df: DataFrame, groups: dict[str, dict], id_col: str) -> tuple[DataFrame, dict[str, float | None]]:
+    """For each group of columns the components of the model that it names (a feature step with an output column, PCA by default) as
+    ``component_i_name``, and the share of variance they explain, to 3 digits, or None if the model has no such share.
+
+    Columns are centred and scaled by the named scaler first (``StandardScaler`` or ``MinMaxScaler``); signs are arbitrary. Rows that lack
+    a column have null components."""
     explained = {}
     for name, how in groups.items():
-        cols, k = how["columns_to_embed"], how["model"].get("kwargs", {}).get("n_components", 2)
-        scaled = scale(df.select(id_col, *cols), fit_scaler(df, cols, (how.get("scaler") or {}).get("kind", "standard")))
-        model = PCA(k=k, inputCol="_features", outputCol="_pca").fit(assemble(scaled, cols))
-        explained[name] = round(float(sum(model.explainedVariance)), 3)
-        parts = vector_to_array("_pca")
-        own = model.transform(assemble(scaled, cols)).select(id_col, *[parts[i].alias(f"component_{i}_{name}") for i in range(k)])
-        df = df.join(own, id_col, "left")
+        cols, params = how["columns_to_embed"], {"class": "PCA"} | how["model"]
+        params["kwargs"] = {"n_components": 2} | (params.get("kwargs") or {})
+        scaler = how.get("scaler") or {}
+        kind = scaler.get("kind") or {"StandardScaler": "standard", "MinMaxScaler": "minmax"}[scaler.get("class", "StandardScaler").rpartition(".")[2]]
+        whole, _ = split_complete(df.select(id_col, *cols), cols)
+        vectors = assemble(scale(whole, fit_scaler(whole, cols, kind)), cols)
+        step = load_object(params, inputCol="_features", outputCol="_embedded")
+        model = step.fit(vectors) if hasattr(step, "fit") else step
+        share = getattr(model, "explainedVariance", None)
+        explained[name] = None if share is None else round(float(sum(share)), 3)
+        parts, k = vector_to_array("_embedded"), params["kwargs"]["n_components"]
+        df = df.join(model.transform(vectors).select(id_col, *[parts[i].alias(f"component_{i}_{name}") for i in range(k)]), id_col, "left")
     return df, explained
 
 
@@ -66,16 +86,15 @@ def elbow(ks: list[int], costs: list[float]) -> int | None:
 
 
 def cluster_costs(df: DataFrame, cols: list[str], ks: list[int], seed: int = 1) -> list[float]:
-    """Summed squared distances of k-means for each k: one fit each over one cached table of vectors."""
-    vectors = assemble(df, cols).select("_features").cache()
-    try:
-        return [KMeans(k=k, seed=seed, featuresCol="_features").fit(vectors).summary.trainingCost for k in ks]
-    finally:
-        vectors.unpersist()
+    """Summed squared distances of k-means for each k: one fit each over one written table of vectors."""
+    vectors = cut(assemble(df, cols).select("_features"))
+    return [KMeans(k=k, seed=seed, featuresCol="_features").fit(vectors).summary.trainingCost for k in ks]
 
 
 def train_with_elbow(df: DataFrame, cols: list[str], min_clusters: int, max_clusters: int, cluster_col: str = "cluster", num_clusters: int | None = None, model: dict | None = None, scaler: str = "standard", seed: int = 1) -> tuple[DataFrame, int]:
-    """Scaled columns clustered with the k at the elbow of [min, max), with max if there is none, or with a given k. The table keeps its own columns and gets the label."""
+    """Scaled columns clustered with the k at the elbow of [min, max), with max if there is none, or with a given k. The table keeps its own
+    columns and gets the label; rows that lack a column don't count and have none."""
+    df, rest = split_complete(df, cols)
     fitted = fit_scaler(df, cols, scaler)
     scaled = scale(df.select(*[F.col(f"`{c}`") for c in df.columns], *[_d(c).alias(f"_s_{i}") for i, c in enumerate(cols)]), {f"_s_{i}": fitted[c] for i, c in enumerate(cols)})
     names = [f"_s_{i}" for i in range(len(cols))]
@@ -85,7 +104,8 @@ def train_with_elbow(df: DataFrame, cols: list[str], min_clusters: int, max_clus
     params = model or {"class": "KMeans", "kwargs": {"random_state": seed}}
     estimator = load_object({"class": params["class"], "kwargs": (params.get("kwargs") or {}) | {"n_clusters": num_clusters}}, featuresCol="_features", predictionCol=cluster_col)
     vectors = assemble(scaled, names)
-    return estimator.fit(vectors).transform(vectors).select(*[F.col(f"`{c}`") for c in df.columns], cluster_col), num_clusters
+    labelled = estimator.fit(vectors).transform(vectors).select(*[F.col(f"`{c}`") for c in df.columns], cluster_col)
+    return labelled.unionByName(rest.withColumn(cluster_col, F.lit(None).cast("int"))), num_clusters
 
 
 class ClusterModel:
@@ -95,17 +115,20 @@ class ClusterModel:
         self.scaler, self.fitted, self.features, self.cluster_col = scaler, fitted, features, cluster_col
 
     def infer(self, df: DataFrame) -> DataFrame:
-        """The table with its clusters; rows that lack a feature go."""
+        """The table with its clusters; rows that lack a feature have none."""
+        df, rest = split_complete(df, self.features)
         inner = {f"_s_{i}": self.scaler[c] for i, c in enumerate(self.features)}
         scaled = scale(df.select("*", *[_d(c).alias(n) for n, c in zip(inner, self.features)]), inner)
-        return self.fitted.transform(assemble(scaled, list(inner))).select(*[F.col(f"`{c}`") for c in df.columns], self.cluster_col)
+        labelled = self.fitted.transform(assemble(scaled, list(inner))).select(*[F.col(f"`{c}`") for c in df.columns], self.cluster_col)
+        return labelled.unionByName(rest.withColumn(self.cluster_col, F.lit(None).cast("int")))
 
 
 def train_cluster_model(df: DataFrame, params: dict) -> tuple[ClusterModel, DataFrame]:
     """The clustering that ``class`` and ``kwargs`` name, on scaled ``features``, and the table with its ``cluster_col``."""
     features = params["features"]
-    scaler = fit_scaler(df, features, (params.get("scaler_params") or {}).get("kind", "standard"))
-    vectors = assemble(scale(df.select(*[_d(c).alias(c) for c in features]), scaler), features)
+    whole, _ = split_complete(df, features)
+    scaler = fit_scaler(whole, features, (params.get("scaler_params") or {}).get("kind", "standard"))
+    vectors = assemble(scale(whole.select(*[_d(c).alias(c) for c in features]), scaler), features)
     fitted = load_object(params, featuresCol="_features", predictionCol=params["cluster_col"]).fit(vectors)
     model = ClusterModel(scaler, fitted, features, params["cluster_col"])
     return model, model.infer(df)
@@ -162,45 +185,63 @@ def importances(df: DataFrame, cols: list[str], target: str, classes: bool = Tru
 
 
 def model_votes(df: DataFrame, cols: list[str], target: str, model: dict, classes: bool = True) -> DataFrame:
-    """(feature, mb_target_model): 1 for importances of the mean at least, or, in a sparse linear model, for weights above a small one."""
-    name = f"mb_{target}_{model['class'].rpartition('.')[2]}"
+    """(feature, mb_target_model): 1 for importances of the mean at least, or, in a model with an L1 penalty, for weights above a small one."""
+    short, kwargs = model["class"].rpartition(".")[2], model.get("kwargs") or {}
     rows = importances(df, cols, target, classes, model).collect()
-    linear = model["class"].rpartition(".")[2] in ("LogisticRegression", "LinearRegression", "Lasso")
-    floor = LEAST_WEIGHT if linear else sum(r.importance for r in rows) / max(len(rows), 1)
-    return stats.frame(df.sparkSession, [(r.feature, int(r.importance >= floor)) for r in rows], f"feature string, `{name}` int")
+    sparse = "Lasso" in short or kwargs.get("penalty") == "l1" or (kwargs.get("elasticNetParam") or 0) > 0
+    floor = LEAST_WEIGHT if sparse else sum(r.importance for r in rows) / max(len(rows), 1)
+    return stats.frame(df.sparkSession, [(r.feature, int(r.importance >= floor)) for r in rows], f"feature string, `mb_{target}_{short}` int")
 
 
 def with_shadows(df: DataFrame, cols: list[str], seed: int) -> DataFrame:
-    """Each column again as ``shadow_i``, its values permuted within blocks of rows: no block is larger than a task can hold."""
-    n = df.count()
-    blocks = max(1, -(-n // SHADOW_BLOCK))
-    parts = df.withColumn("_b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.lit(seed)), F.lit(blocks)))
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    held = parts.groupBy("_b").agg(F.collect_list(row).alias("rows"))
+    """Each column again as ``shadow_i``, its values permuted within blocks of about SHADOW_BLOCK rows.
+
+    Rows are numbered and written once, and dealt into blocks by their numbers: equal rows don't meet, and a block that is computed again
+    comes out the same."""
+    rows = cut(df.withColumn("_row", F.monotonically_increasing_id()))
+    blocks = max(1, -(-rows.count() // SHADOW_BLOCK))
+    parts = rows.withColumn("_b", F.pmod(F.xxhash64("_row", F.lit(seed)), F.lit(blocks)))
+    held = parts.groupBy("_b").agg(F.sort_array(F.collect_list(F.struct("_row", *[F.col(f"`{c}`") for c in df.columns]))).alias("rows"))
     own = lambda c: F.transform("rows", lambda r: r[c].cast("double"))
     mixed = [F.shuffle(own(c), seed * 1000 + i).alias(f"shadow_{i}") for i, c in enumerate(cols)]
     zipped = held.select("rows", *mixed).select(F.explode(F.arrays_zip("rows", *[f"shadow_{i}" for i in range(len(cols))])).alias("x"))
-    return zipped.select("x.rows.*", *[f"x.shadow_{i}" for i in range(len(cols))])
+    return zipped.select(*[F.col("x.rows")[c].alias(c) for c in df.columns], *[f"x.shadow_{i}" for i in range(len(cols))])
 
 
 def _binomial_tail(hits: int, n: int) -> float:
     return sum(math.comb(n, k) for k in range(hits, n + 1)) / 2**n
 
 
-def boruta(df: DataFrame, cols: list[str], target: str, depth: int, classes: bool = True, rounds: int = 12, trees: int = 20, alpha: float = 0.05, seed: int = 1) -> DataFrame:
-    """(feature, vote): features whose importance in random forests beats the best permuted copy of any feature in significantly many rounds (Kursa and Rudnicki, 2010), with Bonferroni's correction."""
-    hits = dict.fromkeys(cols, 0)
+def boruta(df: DataFrame, cols: list[str], target: str, depth: int, classes: bool = True, rounds: int | None = None, trees: int = 20, alpha: float = 0.05, seed: int = 1) -> DataFrame:
+    """(feature, vote): 1 for the confirmed features of Boruta (Kursa and Rudnicki, 2010).
+
+    Each round fits a forest to the features still in play and their permuted copies; a feature scores if it beats the best copy. With
+    Bonferroni's correction, it is confirmed once it has scored significantly often, and leaves as rejected once significantly seldom. The
+    rest go on for ``rounds``, by default 8 more than the fewest that can confirm anything; what is tentative then has no vote, and fewer
+    rounds than can confirm are an error.
+    """
+    least = math.ceil(math.log2(max(len(cols), 1) / alpha))
+    rounds = least + 8 if rounds is None else rounds
+    if rounds < least:
+        raise ValueError(f"{len(cols)} features take {least} rounds at least")
+    hits, confirmed, rejected = dict.fromkeys(cols, 0), set(), set()
     kind = "RandomForestClassifier" if classes else "RandomForestRegressor"
-    base = df.select(target, *cols).filter(F.col(f"`{target}`").isNotNull())
+    base = cut(df.select(target, *cols).filter(F.col(f"`{target}`").isNotNull()))
     for i in range(rounds):
-        shadowed = with_shadows(base, cols, seed + i)
-        names = [*cols, *(f"shadow_{j}" for j in range(len(cols)))]
-        found = {r.feature: r.importance for r in importances(shadowed, names, target, classes, {"class": kind, "kwargs": {"n_estimators": trees, "max_depth": depth, "random_state": seed + i}}).collect()}
+        left = [c for c in cols if c not in rejected]
+        if not left or len(confirmed) == len(left):
+            break
+        names = [*left, *(f"shadow_{j}" for j in range(len(left)))]
+        model = {"class": kind, "kwargs": {"n_estimators": trees, "max_depth": depth, "random_state": seed + i}}
+        found = {r.feature: r.importance for r in importances(with_shadows(base.select(target, *left), left, seed + i), names, target, classes, model).collect()}
         best = max(v for k, v in found.items() if k.startswith("shadow_"))
-        for c in cols:
+        for c in left:
             hits[c] += found[c] > best
-    rows = [(c, int(_binomial_tail(h, rounds) <= alpha / max(len(cols), 1))) for c, h in hits.items()]
-    return stats.frame(df.sparkSession, rows, f"feature string, `boruta_target_{target}_depth_{depth}` int")
+            if _binomial_tail(hits[c], i + 1) <= alpha / len(cols):
+                confirmed.add(c)
+            elif c not in confirmed and _binomial_tail(i + 1 - hits[c], i + 1) <= alpha / len(cols):
+                rejected.add(c)
+    return stats.frame(df.sparkSession, [(c, int(c in confirmed)) for c in cols], f"feature string, `boruta_target_{target}_depth_{depth}` int")
 
 
 def tree_rules(df: DataFrame, cols: list[str], cluster_col: str, depth: int = 3) -> str:
@@ -214,28 +255,35 @@ def tree_rules(df: DataFrame, cols: list[str], cluster_col: str, depth: int = 3)
 
 def permutation_importance(df: DataFrame, cols: list[str], target: str, classes: bool = True, seed: int = 1) -> DataFrame:
     """(feature, importance): how much a random forest's score falls when a column is permuted. It stands in for Shapley values, which Spark has not."""
-    data = with_shadows(_labelled(df.select(target, *cols), cols, target, classes).select(target, *cols, "_label"), cols, seed).cache()
+    data = cut(with_shadows(_labelled(df.select(target, *cols), cols, target, classes).select(target, *cols, "_label"), cols, seed))
     kind = "RandomForestClassifier" if classes else "RandomForestRegressor"
     fitted = load_object({"class": kind, "kwargs": {"random_state": seed}}, featuresCol="_features", labelCol="_label").fit(assemble(data, cols))
     score = lambda names: fitted.transform(assemble(data, names)).agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")) if classes else -F.avg(F.pow(F.col("prediction") - F.col("_label"), 2))).first()[0]
     whole = score(cols)
     rows = [(c, float(whole - score([*cols[:i], f"shadow_{i}", *cols[i + 1 :]]))) for i, c in enumerate(cols)]
-    data.unpersist()
     return stats.frame(df.sparkSession, rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-def folds(df: DataFrame, id_col: str, k: int) -> DataFrame:
-    """``_fold`` by hash of the id: about equal shares of every class, without sorting."""
-    return df.withColumn("_fold", F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(k)).cast("int"))
+def folds(df: DataFrame, id_col: str, k: int, target: str | None = None) -> DataFrame:
+    """``_fold`` of each row: every class of ``target`` is dealt out evenly, in the order of the ids' hashes.
+
+    Rows are ranked within parts of a class; how many rows the parts before have comes from counts by part, so no class meets in one task."""
+    y = F.col(f"`{target}`").cast("string") if target else F.lit(None).cast("string")
+    parts = df.withColumn("_y", y).withColumn("_h", F.xxhash64(F.col(f"`{id_col}`"))).withColumn("_part", F.pmod(F.shiftrightunsigned("_h", 32), F.lit(FOLD_PARTS)))
+    before = Window.partitionBy("_y").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_y", "_part").count().select(F.col("_y").alias("_y2"), F.col("_part").alias("_part2"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    placed = parts.join(offsets, F.col("_y").eqNullSafe(F.col("_y2")) & (F.col("_part") == F.col("_part2")))
+    rank = F.row_number().over(Window.partitionBy("_y", "_part").orderBy("_h", F.col(f"`{id_col}`")))
+    return placed.withColumn("_fold", F.pmod(F.col("_before") + rank - 1, F.lit(k)).cast("int")).select(*[F.col(f"`{c}`") for c in df.columns], "_fold")
 
 
 def cross_validated_f1(df: DataFrame, cols: list[str], target: str, id_col: str, model: dict, k: int = 3) -> float:
-    """Mean over folds of F1 weighted by predictions."""
-    data, total = folds(_labelled(df, cols, target, True), id_col, k).cache(), 0.0
+    """Mean over stratified folds of F1 weighted by predictions."""
+    data, total = cut(folds(_labelled(df, cols, target, True).select(id_col, target, *cols, "_label"), id_col, k, target)), 0.0
+    data = assemble(data, cols)
     for i in range(k):
         fitted = load_object(model, featuresCol="_features", labelCol="_label").fit(data.filter(F.col("_fold") != i))
         total += stats.weighted_f1_by_prediction(fitted.transform(data.filter(F.col("_fold") == i)), "_label", "prediction").first()[0] or 0.0
-    data.unpersist()
     return total / k
 
 

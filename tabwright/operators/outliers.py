@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.operators.quantiles import quantiles
+
 METHODS = ("set_nan", "drop", "clip")
 
 
@@ -32,22 +34,21 @@ def range_outliers(df: DataFrame, bounds: dict[str, tuple[float | None, float |
     return df.withColumns(out)
 
 
-def quantile_bounds(df: DataFrame, quantiles: dict[str, tuple[float, float]]) -> dict[str, tuple[float, float]]:
-    """Exact interpolated quantiles of all columns in one aggregation."""
-    row = df.agg(*[F.percentile(c, F.array(F.lit(lo), F.lit(hi))).alias(f"b{i}") for i, (c, (lo, hi)) in enumerate(quantiles.items())]).first()
-    return {c: tuple(row[f"b{i}"] or (None, None)) for i, c in enumerate(quantiles)}
+def quantile_bounds(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> dict[str, tuple[float | None, float | None]]:
+    """Exact interpolated quantiles of all columns."""
+    return {c: tuple(x) for c, x in quantiles(df, {c: list(b) for c, b in bounds.items()}).items()}
 
 
-def quantile_outliers(df: DataFrame, quantiles: dict[str, tuple[float, float]], method: str = "set_nan") -> DataFrame:
-    for c, (lo, hi) in quantiles.items():
+def quantile_outliers(df: DataFrame, bounds: dict[str, tuple[float, float]], method: str = "set_nan") -> DataFrame:
+    for c, (lo, hi) in bounds.items():
         if not 0 <= lo <= hi <= 1:
             raise ValueError(f"quantiles of {c} must be within [0, 1] and ordered")
-    return range_outliers(df, quantile_bounds(df, quantiles), method)
+    return range_outliers(df, quantile_bounds(df, bounds), method)
 
 
-def iqr_outliers(df: DataFrame, cols: list[str], quantiles: tuple[float, float] = (0.25, 0.75), multiplier: float = 1.5, method: str = "set_nan") -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: list[str], bounds: tuple[float, float] = (0.25, 0.75), multiplier: float = 1.5, method: str = "set_nan") -> DataFrame:
     fences = {}
-    for c, (lo, hi) in quantile_bounds(df, {c: quantiles for c in cols}).items():
+    for c, (lo, hi) in quantile_bounds(df, {c: bounds for c in cols}).items():
         fences[c] = (None, None) if lo is None else (lo - multiplier * (hi - lo), hi + multiplier * (hi - lo))
     return range_outliers(df, fences, method)
 

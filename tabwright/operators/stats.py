@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.operators.cleaning import aggregate
 
@@ -43,19 +48,27 @@ def scaled_variance_filter(df: DataFrame, cols: list[str], id_col: str, targets:
 VALUES_A_RANGE = 100_000
 
 
+def _placed_by(value: str, edges: np.ndarray):
+    """Adds the number of each value's range, found among the sorted edges."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.assign(_range=np.searchsorted(edges, f[value].to_numpy(float), side="left").astype("int32"))
+
+    return run
+
+
 def running_totals(counts: DataFrame, value: str, count: str, values_a_range: int = VALUES_A_RANGE) -> DataFrame:
-    """``counts`` (one row a value) with ``_upto``, the sum of counts up to each value, in ranges of values: sums by range are added up on
-    the driver, a number a range, and only the values of a range are sorted together."""
-    ranges = -(-counts.count() // values_a_range)
-    edges = sorted(set(counts.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.001))) if ranges > 1 else []
-    place = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col(value))) if edges else F.lit(0)
-    placed = counts.withColumn("_range", place)
-    before, offset = 0, F.lit(0)
-    for r in placed.groupBy("_range").agg(F.sum(count).alias("n")).orderBy("_range").collect():
-        offset = F.when(F.col("_range") == r["_range"], F.lit(before)).otherwise(offset)
-        before += r["n"]
+    """``counts`` (one row a value) with ``_upto``, the sum of counts up to each value. Spark deals the values into ranges and sorts them
+    within; sums by range are added up apart, one row a range, and joined back."""
+    n = counts.count()
+    if n <= values_a_range:
+        return counts.withColumn("_upto", F.sum(count).over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    edges = [float("-inf"), *sorted(set(counts.approxQuantile(value, [i / -(-n // values_a_range) for i in range(1, -(-n // values_a_range))], 1 / max(1000, n // values_a_range * 4))))]
+    placed = counts.mapInPandas(_placed_by(value, np.array(edges)), T.StructType([*counts.schema.fields, T.StructField("_range", T.IntegerType())]))
+    before = placed.groupBy("_range").agg(F.sum(count).alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
     own = F.sum(count).over(Window.partitionBy("_range").orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return placed.withColumn("_upto", own + offset).drop("_range")
+    return placed.withColumn("_own", own).join(F.broadcast(before), "_range").withColumn("_upto", F.col("_own") + F.col("_before")).drop("_range", "_own", "_before")
 
 
 def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -67,14 +80,17 @@ def average_ranks(df: DataFrame, cols: list[str]) -> DataFrame:
     return df
 
 
-def correlation_pairs(df: DataFrame, cols: list[str], method: str = "pearson") -> DataFrame:
+def correlation_pairs(df: DataFrame, cols: list[str], method: str | Callable[[DataFrame, str, str], float | None] = "pearson") -> DataFrame:
     """(feature_i, feature_j, r) for each pair of columns in their order; rows that lack either are left out of a pair.
 
-    pearson and point_biserial are one aggregation; spearman ranks first; kendall (tau-b) compares pairs of distinct value pairs.
+    pearson and point_biserial are one aggregation; spearman ranks first; kendall (tau-b) counts by merging within ranges of values. A method that is a
+    function takes (df, a, b) and returns r.
     """
     spark = df.sparkSession
     pairs = list(combinations(cols, 2))
-    if method == "kendall":
+    if callable(method):
+        rows = [(a, b, method(df, a, b)) for a, b in pairs]
+    elif method == "kendall":
         rows = [(a, b, kendall(df, a, b)) for a, b in pairs]
     elif method == "spearman":
         rows = []
@@ -96,24 +112,75 @@ def _corr(a: str, b: str) -> Column:
     return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
-#: Distinct pairs of values that Kendall's tau compares with each other at most.
-KENDALL_CELLS = 20_000
-
-
-def kendall(df: DataFrame, a: str, b: str) -> float | None:
-    """Tau-b from counts of distinct (a, b): those counts against themselves on ordered values, any number of rows but not of distinct pairs."""
-    cells = df.select(_d(a).alias("a"), _d(b).alias("b")).na.drop().groupBy("a", "b").count()
-    if (n_cells := cells.count()) > KENDALL_CELLS:
-        raise ValueError(f"{n_cells} distinct pairs are too many to compare with each other; bin the columns or take spearman")
-    x, y = cells.select("a", "b", F.col("count").alias("n")), cells.select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("count").alias("m"))
-    pairs = x.join(y, F.col("a") < F.col("c"))
-    sign = F.signum(F.col("d") - F.col("b")) * F.col("n") * F.col("m")
-    s = pairs.agg(F.sum(sign)).first()[0] or 0.0
-    n = cells.agg(F.sum("count")).first()[0] or 0
-    ties = [cells.groupBy(c).agg(F.sum("count").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] or 0.0 for c in ("a", "b")]
+#: Distinct pairs of values that one task of Kendall's tau puts in order, and ranges at most, whose counts by pair of ranges reach the driver.
+CELLS_A_RANGE, MOST_RANGES = 100_000, 300
+
+
+def _concordance(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> float:
+    """Sum of n * m * sign * sign over all pairs of points (a, b) that stand for n rows each, by merge counting."""
+    order = np.lexsort((b, a))
+    a, b, n = a[order], np.unique(b[order], return_inverse=True)[1], n[order].astype(float)
+    at, total, width = np.arange(len(b)), 0.0, 1
+    while width < len(b):
+        group, right = at // (2 * width), at // width % 2 == 1
+        order = np.lexsort((b, group))
+        g, v, w, r = group[order], b[order], n[order], right[order]
+        left = np.where(r, 0.0, w)
+        upto = np.r_[0.0, np.cumsum(left)]
+        start, end = np.searchsorted(g, g), np.searchsorted(g, g, side="right")
+        key = g * (int(b.max()) + 1) + v
+        less, more = upto[np.searchsorted(key, key)] - upto[start], upto[end] - upto[np.searchsorted(key, key, side="right")]
+        total += float((w * (less - more))[r].sum())
+        width *= 2
+    # pairs of equal a, in the order of b, were taken for concordant ones; so were none of equal b
+    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
+    same = np.add.reduceat(n, first) ** 2 - _squares_of_ties(a, b, n, first) if len(a) else np.zeros(0)
+    return total - float(same.sum()) / 2
+
+
+def _squares_of_ties(a: np.ndarray, b: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """By run of equal a: the sum of squared weights of equal b."""
+    runs = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    squares = np.zeros(len(n))
+    squares[runs] = np.add.reduceat(n, runs) ** 2
+    return np.add.reduceat(squares, first)
+
+
+def kendall(df: DataFrame, a: str, b: str, cells_a_range: int = CELLS_A_RANGE) -> float | None:
+    """Tau-b over any number of rows, from counts of distinct (a, b).
+
+    Both columns are cut into ranges at quantiles, which are ranges of their own, so that a value with very many partners needs no
+    ordering. Pairs within a range of a, and pairs of one range of b but different ones of a, are counted by merging in that range's task;
+    all others follow from the counts by pair of ranges.
+    """
+    cells = df.select(_d(a).alias("a"), _d(b).alias("b")).na.drop().groupBy("a", "b").agg(F.count("*").alias("n"))
+    n_cells, n = cells.agg(F.count("*"), F.sum("n")).first()
+    if not n_cells:
+        return None
+    ranges = min(MOST_RANGES, -(-n_cells // cells_a_range))
+    edges = [np.array(sorted(set(x)), float) for x in cells.approxQuantile(["a", "b"], [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))] if ranges > 1 else [np.zeros(0)] * 2
+    place = lambda v, e: 2 * np.searchsorted(e, v, side="left") + np.isin(v, e)  # noqa: E731  odd: an edge
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.assign(x=place(f["a"].to_numpy(), edges[0]).astype("int32"), y=place(f["b"].to_numpy(), edges[1]).astype("int32"))
+
+    dealt = cells.mapInPandas(placed, "a double, b double, n bigint, x int, y int")
+    inside = lambda first, second: lambda f: pd.DataFrame({"s": [_concordance(f[first].to_numpy(), f[second].to_numpy(), f["n"].to_numpy())]})
+    parts = [dealt.filter("x % 2 = 0").groupBy("x").applyInPandas(inside("a", "b"), "s double")]
+    if ranges > 1:
+        parts.append(dealt.filter("y % 2 = 0").groupBy("y").applyInPandas(inside("x", "b"), "s double"))
+    s = reduce(DataFrame.unionByName, parts).agg(F.sum("s")).first()[0] or 0.0
+    m = np.zeros((2 * len(edges[0]) + 1, 2 * len(edges[1]) + 1))
+    for r in dealt.groupBy("x", "y").agg(F.sum("n").alias("n")).collect():
+        m[r["x"], r["y"]] = r["n"]
+    above = np.cumsum(m, 0) - m
+    below, whole = np.cumsum(above, 1) - above, above.sum(1, keepdims=True)
+    s += float((m * (2 * below + above - whole)).sum())
+    ties = [cells.groupBy(c).agg(F.sum("n").cast("double").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] for c in ("a", "b")]
     total = n * (n - 1) / 2
-    below = ((total - ties[0]) * (total - ties[1])) ** 0.5
-    return s / below if below else None
+    spread = ((total - ties[0]) * (total - ties[1])) ** 0.5
+    return s / spread if spread else None
 
 
 def over_threshold(pairs: DataFrame, threshold: float) -> DataFrame:

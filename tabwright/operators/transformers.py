@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators import outliers
-from tabwright.operators.cleaning import most_frequent, nulls_for_missing
+from tabwright.operators.cleaning import medians, most_frequent, nulls_for_missing
 from tabwright.operators.cleaning import aggregate as _aggregate
 from tabwright.operators.dictionaries import DataDict
 from tabwright.operators.models import fit_scaler, scale
@@ -94,7 +94,7 @@ class Imputer(Estimator):
             return FillModel(dict.fromkeys(self.features, self.fill_value))
         if self.strategy == "most_frequent":
             return FillModel(most_frequent(df, self.features))
-        return FillModel(_aggregate(df, {c: F.avg(F.col(f"`{c}`")) if self.strategy == "mean" else F.percentile(F.col(f"`{c}`"), 0.5) for c in self.features}))
+        return FillModel(_aggregate(df, {c: F.avg(F.col(f"`{c}`")) for c in self.features}) if self.strategy == "mean" else medians(df, self.features))
 
 
 class ScaleModel(Model):

@@ -46,7 +46,7 @@ def feature_selection(encoded: DataFrame, id_col: str, targets: dict[str, list[s
     for problem, ts in targets.items():
         classes = problem == "classification_targets"
         for t in ts:
-            more += [models.boruta(encoded, features, t, d, classes, rounds=params.get("boruta_rounds", 8)) for d in params.get("tree_depths", [])]
+            more += [models.boruta(encoded, features, t, d, classes, rounds=params.get("boruta_rounds")) for d in params.get("tree_depths", [])]
             more += [models.model_votes(encoded, features, t, m, classes) for m in params.get("models", {}).get(problem, [])]
     matrix = join_rankings("feature", pairwise, *tests, *more)
     typed = stats.feature_types(matrix, params.get("categorical", []), [c for c in features if c not in params.get("categorical", [])], params.get("fundamentals"))

@@ -241,7 +241,7 @@ def test_clustering_and_votes_find_the_signal(spark):
     df = spark.createDataFrame(data, "id int, x double, n1 double, n2 double, y int").cache()
     labelled, k = M.train_with_elbow(df.select("id", "x"), ["x"], 2, 7)
     assert k == 3 and labelled.columns == ["id", "x", "cluster"]
-    votes = {r.feature: r[1] for r in M.boruta(df, ["x", "n1", "n2"], "y", 3, rounds=6).collect()}
+    votes = {r.feature: r[1] for r in M.boruta(df, ["x", "n1", "n2"], "y", 3).collect()}
     assert votes == {"x": 1, "n1": 0, "n2": 0}
     assert M.permutation_importance(df, ["x", "n1"], "y").first().feature == "x"
     assert "x " in M.tree_rules(df, ["x", "n1"], "y") and M.importances(df, ["x", "n1"], "y").first().feature == "x"
@@ -257,6 +257,46 @@ def test_clustering_and_votes_find_the_signal(spark):
     assert best == ranking.first().model and table.count() == 240
 
 
+def test_boruta_takes_enough_rounds(spark):
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(10)], "x double, y int")
+    with pytest.raises(ValueError, match="rounds"):
+        M.boruta(df, ["x"], "y", 2, rounds=3)
+
+
+def test_shadows_of_equal_rows_and_again(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 300 + [(float(i), 0.0) for i in range(300)], "x double, y double")
+    once, again = (sorted(map(tuple, M.with_shadows(df, ["x", "y"], 3).collect())) for _ in range(2))
+    assert once == again and len(once) == 600 and sorted(r[0] for r in once) == sorted(r[2] for r in once)
+    assert sum(r[0] != r[2] for r in once) > 200
+
+
+def test_folds_deal_each_class_evenly(spark):
+    df = spark.createDataFrame([(i, "a" if i % 10 else "b") for i in range(203)] + [(7, None)], "id int, y string")
+    got = M.folds(df, "id", 3, "y").groupBy("y", "_fold").count().collect()
+    sizes = {y: sorted(r["count"] for r in got if r.y == y) for y in ("a", "b", None)}
+    assert sizes == {"a": [60, 61, 61], "b": [7, 7, 7], None: [1]}
+
+
+def test_rows_without_a_feature_keep_their_place(spark):
+    df = spark.createDataFrame([(i, float(i % 2) * 10) for i in range(20)] + [(20, None), (21, float("nan"))], "id int, x double")
+    labelled, _ = M.train_with_elbow(df, ["x"], 2, 4, num_clusters=2)
+    assert labelled.count() == 22 and labelled.filter("cluster IS NULL").count() == 2
+    model, own = M.train_cluster_model(df, {"class": "KMeans", "kwargs": {"n_clusters": 2}, "features": ["x"], "cluster_col": "c"})
+    assert own.filter("c IS NULL").count() == 2 and own.count() == 22
+    with pytest.raises(Exception, match="null|NaN"):
+        M.importances(df.withColumn("y", F.lit(1)), ["x"], "y").collect()
+
+
+def test_votes_of_models_by_their_penalty(spark):
+    rng = np.random.default_rng(0)
+    df = spark.createDataFrame([(float(a), float(b), float(c), int(a > 0)) for a, b, c in rng.standard_normal((200, 3))], "a double, b double, c double, y int")
+    votes = lambda **k: {r.feature: r[1] for r in M.model_votes(df, ["a", "b", "c"], "y", {"class": "LogisticRegression", "kwargs": k}).collect()}
+    assert votes(penalty="l2", C=1.0) == {"a": 1, "b": 0, "c": 0} and votes(penalty="l1", C=20.0)["a"] == 1
+    for bad in ({"class_weight": "balanced"}, {"penalty": "elastic"}):
+        with pytest.raises(ValueError):
+            votes(**bad)
+
+
 def test_bayesian_search_finds_the_top():
     trials = M.bayesian_search(lambda p: -((p["a"] - 3) ** 2), {"a": (0, 10)}, first=4, rounds=10)
     assert len(trials) == 14 and abs(max(trials, key=lambda t: t["score"])["a"] - 3) < 0.5

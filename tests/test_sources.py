@@ -51,7 +51,7 @@ def test_pipelines_end_to_end(spark):
     encoded = bundle["mdt_encoded"].cache()
     assert encoded.columns == sorted(encoded.columns) and encoded.filter("w IS NULL").count() == 0
     assert bundle["without_outliers"].count() + bundle["outliers"].count() == 150
-    params = {"correlation_filters": {"num_to_cat": {"statistical_test": "f_classif", "corr_method": "pearson", "corr_threshold": 0.95}}, "tree_depths": [3], "boruta_rounds": 3, "models": {"classification_targets": [{"class": "RandomForestClassifier", "kwargs": {"random_state": 1, "n_estimators": 5}}]}, "number_of_features_threshold": 3}
+    params = {"correlation_filters": {"num_to_cat": {"statistical_test": "f_classif", "corr_method": "pearson", "corr_threshold": 0.95}}, "tree_depths": [3], "boruta_rounds": 9, "models": {"classification_targets": [{"class": "RandomForestClassifier", "kwargs": {"random_state": 1, "n_estimators": 5}}]}, "number_of_features_threshold": 3}
     ranking = pipelines.feature_selection(encoded, "customer_id", {"classification_targets": ["churn"]}, params).cache()
     assert 0 < ranking.count() <= 3 and set(ranking.columns) == {"feature", "feature_type", "final_rank"}
     reports, best = pipelines.model_selection(encoded, ranking, "customer_id", {"must_have_features": ["x", "w"], "models": {"KMeans": {"class": "KMeans"}}, "min_num_features": 2, "min_clusters": 2, "max_clusters": 4, "metric_weighting": {"sillhouette_score": 1.0}, "invert_metric_value": []})
