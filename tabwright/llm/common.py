@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 from typing import Any
@@ -13,33 +11,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.written import cut, own_dir, shared_dir  # noqa: F401  operators take them from here
+
 #: ASCII white space of the word and line rules: a space and \x09 to \x0D, which is also what ``bytes.split()`` splits at.
 WHITE = b" \t\n\x0b\x0c\r"
 
-_local_dirs: dict[str, str] = {}
+#: Rows and bytes of an Arrow batch: the same for all operators, so that none changes the batches of another's lazy plan.
+BATCH_ROWS, BATCH_BYTES = 4_000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where it is unset, as in tests, a new one on a local master; elsewhere an error."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found.rstrip("/")
-    context = spark.sparkContext
-    if not (context.master.startswith("local") and not context.master.startswith("local-cluster")):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    return _local_dirs.setdefault(context.applicationId, f"file://{tempfile.mkdtemp(prefix='checkpoints-')}")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write a table into the shared folder and read it back: later jobs neither repeat its work nor lose it with an executor."""
-    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class _Released:
     """A batch function whose task gives unused Arrow memory back at its end: workers live on from stage to stage."""
 
@@ -53,10 +37,12 @@ class _Released:
             pa.default_memory_pool().release_unused()
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, rows: int = 2000, megabytes: int = 16) -> DataFrame:
-    """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(megabytes << 20))
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker.
+
+    Spark takes the bounds from the session as a plan begins to run, so they stay set there."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     _importable(df.sparkSession)
     return df.mapInArrow(_Released(f), schema)
 
@@ -91,6 +77,18 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).filter("doc_id IS NOT NULL")
 
 
+#: Parts that a node's neighbours are dealt into, in the joins of ``components``.
+_SALTS = 16
+
+
+def _with_least(edges: DataFrame) -> DataFrame:
+    """(u, v, m): each edge with the least neighbour of u. The minimum is found by partial aggregation; it is joined back by node and part of
+    the neighbours, so that a hub's edges don't meet in one task."""
+    salt = F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int")
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    return edges.withColumn("s", salt).join(least, ["u", "s"]).drop("s")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of (u, v) bigint edges as (node, root): root is the smallest node; roots themselves are left out.
 
@@ -104,11 +102,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state == before or state[0] == 0:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_least(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))).filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         large = cut(large.filter("u <> v").distinct())
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        near = _with_least(large)
+        small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        e = cut(small.unionByName(near.select("u", F.col("m").alias("v"))).distinct())
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -16,7 +16,7 @@ from tabwright.llm.common import cut, map_arrow
 #: Longest context in bytes; longest contexts and words whose counts go to every task (those seen most): the others are joined.
 ORDER, HOT_CONTEXTS, HOT_WORDS = 4, 32_768, 50_000
 #: (context, symbol) counts of an order that are broadcast to the join of rare contexts; more of them are shuffled to it.
-BROADCAST_COUNTS = 1_000_000
+BROADCAST_COUNTS = 200_000
 #: Symbols are the bytes and the end of a text.
 END, SYMBOLS = 256, 257
 _CHUNK, _FLUSH = 1 << 20, 1_500_000
@@ -291,7 +291,7 @@ def rare_grams(grams_: DataFrame, levels: list[DataFrame], broadcast_counts: int
             row, sym = np.repeat(np.arange(n), pc.list_value_length(which).to_numpy()), which.flatten().to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(batch.column("ctx").to_numpy()[row] << 9 | sym), pa.array(table[row, sym])], ["gram", "logp"])
 
-    return map_arrow(asked.select("ctx", "asked", *[f"{c}{k}" for k in range(1, order + 1) for c in "sn"]), run, "gram bigint, logp double", rows=500)
+    return map_arrow(asked.select("ctx", "asked", *[f"{c}{k}" for k in range(1, order + 1) for c in "sn"]), run, "gram bigint, logp double")
 
 
 def scores(docs: DataFrame, order: int = ORDER, hot_contexts: int = HOT_CONTEXTS, hot_words: int = HOT_WORDS, broadcast_counts: int = BROADCAST_COUNTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

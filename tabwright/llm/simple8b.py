@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import cut, map_arrow, shared_dir, worker_cache
+from tabwright.llm.common import cut, map_arrow, own_dir, worker_cache
 
 #: Selector 1 to 15: how many values of how many bits share the 60 bits below the selector. Selector 0 is the escape: one value of any
 #: size, kept as a raw word.
@@ -307,7 +307,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
         json = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", rows=8000)
+    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary")
     out.write.option("compression", "lz4_raw").parquet(path)
 
 
@@ -356,7 +356,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the files into the shared folder and return their summaries."""
-    path = f"{shared_dir(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
+    """Write the files into this application's folder, which goes when it ends, and return their summaries; ``write_ids`` writes lasting ones."""
+    path = f"{own_dir(docs.sparkSession)}/ids-{uuid.uuid4().hex}"
     write_ids(docs, tokenizer, path, end_id, id_col, text_col)
     return summaries(docs.sparkSession, path)
