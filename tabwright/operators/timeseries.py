@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.written import cut
+
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """One row: r2, mape (over the signed actual value, in percent), mse and rmse, over rows that have both."""
@@ -17,10 +19,18 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def lag_prediction(df: DataFrame, time: str, value: str, series: str | None = None) -> DataFrame:
     """Each value predicted by the one before it, of its own series if there are several; the first row has none and goes.
 
-    Without ``series`` all rows are one ordered series, and Spark has to sort it in one task: split long tables into series.
+    Without ``series`` all rows are one series: Spark deals them into ranges of time and sorts each; the last value of the range before
+    is carried over its border, one row a range.
     """
-    over = (Window.partitionBy(series) if series else Window.partitionBy(F.lit(0))).orderBy(time, value)
-    return df.withColumn("pred", F.lag(value, 1).over(over)).withColumn("_n", F.row_number().over(over)).filter("_n > 1").drop("_n")
+    if series:
+        over = Window.partitionBy(series).orderBy(time, value)
+        return df.withColumn("pred", F.lag(value, 1).over(over)).withColumn("_n", F.row_number().over(over)).filter("_n > 1").drop("_n")
+    dealt = cut(df.repartitionByRange(time, value).withColumn("_range", F.spark_partition_id()))
+    last = dealt.groupBy("_range").agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(time, value)).alias("_last"))
+    before = last.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_before"))
+    over = Window.partitionBy("_range").orderBy(time, value)
+    own = dealt.withColumn("_own", F.lag(F.struct(F.col(value).alias("v")), 1).over(over)).join(F.broadcast(before), "_range")
+    return own.withColumn("_p", F.coalesce("_own", "_before")).filter("_p IS NOT NULL").withColumn("pred", F.col("_p.v")).drop("_range", "_own", "_before", "_p")
 
 
 def mean_prediction(train: DataFrame, test: DataFrame, value: str) -> DataFrame:
@@ -28,13 +38,13 @@ def mean_prediction(train: DataFrame, test: DataFrame, value: str) -> DataFrame:
     return test.withColumn("pred", F.lit(train.agg(F.avg(value)).first()[0]).cast("double"))
 
 
-def baseline_table(train: DataFrame, test: DataFrame, time: str, value: str) -> DataFrame:
-    """Metrics of the mean and lag models on test, lag on train, with the coefficient of variation of each set."""
+def baseline_table(train: DataFrame, test: DataFrame, time: str, value: str, series: str | None = None) -> DataFrame:
+    """Metrics of the mean and lag models on test, lag on train (within ``series`` if given), with the coefficient of variation of each set."""
     def row(df: DataFrame, name: str, values: DataFrame) -> DataFrame:
         cv = values.agg(variation(F.col(value)).alias("cv")).first()["cv"]
         return regression_metrics(df, value, "pred").withColumn("model", F.lit(name)).withColumn("cv", F.lit(cv).cast("double"))
 
-    return row(mean_prediction(train, test, value), "mean_test", test).unionByName(row(lag_prediction(test, time, value), "lag_test", test)).unionByName(row(lag_prediction(train, time, value), "lag_train", train))
+    return row(mean_prediction(train, test, value), "mean_test", test).unionByName(row(lag_prediction(test, time, value, series), "lag_test", test)).unionByName(row(lag_prediction(train, time, value, series), "lag_train", train))
 
 
 def variation(c: Column) -> Column:

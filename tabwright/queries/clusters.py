@@ -44,14 +44,11 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(K.silhouette(df, "label", cols, "vec_id"), 6)
 
 
-_REPORTS = [("kmeans_3", 0.41, 120.0, 0.9), ("kmeans_4", 0.52, 180.0, 0.8), ("gmm_3", 0.30, 90.0, 1.4), ("gmm_4", 0.52, 100.0, 1.1)]
-
-
-@query("""WITH r(model, s, c, d) AS (VALUES ('kmeans_3', 0.41, 120.0, 0.9), ('kmeans_4', 0.52, 180.0, 0.8), ('gmm_3', 0.30, 90.0, 1.4), ('gmm_4', 0.52, 100.0, 1.1)),
+@query("""WITH r AS (SELECT p_brand AS model, avg(p_retailprice) AS s, count(*)::DOUBLE AS c, avg(p_size) AS d FROM part GROUP BY 1),
 n AS (SELECT model, (s - min(s) OVER ()) / (max(s) OVER () - min(s) OVER ()) * 0.5 AS a, (c - min(c) OVER ()) / (max(c) OVER () - min(c) OVER ()) * 0.3 AS b, (1 - (d - min(d) OVER ()) / (max(d) OVER () - min(d) OVER ())) * 0.2 AS e FROM r)
 SELECT model, round((a + b + e) / 3, 6)::DOUBLE AS final_score FROM n""")
 def metrics_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = spark.createDataFrame(_REPORTS, "model string, s double, c double, d double")
+    reports = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("model")).agg(F.avg("p_retailprice").alias("s"), F.count("*").cast("double").alias("c"), F.avg("p_size").alias("d"))
     return rounded(K.metrics_ranking(reports, {"s": 0.5, "c": 0.3, "d": 0.2}, ["d"]).select("model", "final_score"), 6)
 
 

@@ -18,15 +18,14 @@ _SHORT = f"translate({{}}, '{X.ACCENTED}', '{X.PLAIN}')"
 _STANDARD = _SHORT.format(f"CASE WHEN contains({_REPLACED}, '_') THEN regexp_replace({_REPLACED}, '_$', '') ELSE lower(s) END")
 
 
-@query(f"SELECT doc_id, {_STANDARD} AS name FROM (SELECT doc_id, regexp_replace(substr(text, 1, 40), '[^a-zA-ZäöüßéèàçêîôûñáíóúÄÖÜÉÈÀÇÊÁÍÓÚÑ ,.]', '', 'g') AS s FROM documents)")
+@query(f"SELECT doc_id, {_STANDARD} AS name FROM (SELECT doc_id, text AS s FROM documents)")
 def std_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    short = F.regexp_replace(F.substring("text", 1, 40), "[^a-zA-ZäöüßéèàçêîôûñáíóúÄÖÜÉÈÀÇÊÁÍÓÚÑ ,.]", "")
-    return X.standardise_columns(table(spark, sf_dir, "documents").select("doc_id", short.alias("name")), ["name"])
+    return X.standardise_columns(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("name")), ["name"])
 
 
-@query(f"SELECT doc_id, {_SHORT.format('split_part(text, chr(32), 1)')} AS word FROM documents")
+@query(f"SELECT doc_id, {_SHORT.format("coalesce(text, 'None')")} AS text FROM documents")
 def strip_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", X.strip_marks(F.split("text", " ")[0]).alias("word"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.strip_marks("text").alias("text"))
 
 
 @query("SELECT c_custkey AS customer_id, c_acctbal AS acct_balance_usd, c_mktsegment AS segmento_ano FROM customer")

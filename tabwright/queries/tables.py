@@ -187,14 +187,13 @@ def coefficient_of_variation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.round(T.variation(F.col("value")), 6).alias("cv"))
 
 
-_EDGES = [("a", "b"), ("b", "c"), ("c", "a"), ("d", "b"), ("e", "f"), ("g", "g")]
-_EDGES_SQL = ", ".join(f"('{x}', '{y}')" for x, y in _EDGES)
-
-
-@query(f"""WITH RECURSIVE e(tag, dep) AS (VALUES {_EDGES_SQL}), r(tag, dep) AS (SELECT tag, dep FROM e UNION SELECT r.tag, e.dep FROM r JOIN e ON r.dep = e.tag)
-SELECT tag, dep FROM r WHERE tag <> dep""")
+@query("""WITH RECURSIVE e(tag, dep) AS (SELECT DISTINCT c_mktsegment, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey UNION SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION SELECT r_name, 'ASIA' FROM region),
+r(tag, dep) AS (SELECT tag, dep FROM e UNION SELECT r.tag, e.dep FROM r JOIN e ON r.dep = e.tag) SELECT tag, dep FROM r WHERE tag <> dep""")
 def tag_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.transitive_closure(spark.createDataFrame(_EDGES, "tag string, dep string"), "tag", "dep")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    segments = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("tag"), F.col("c_nationkey").alias("n_nationkey")).distinct().join(nation, "n_nationkey").select("tag", F.col("n_name").alias("dep")).distinct()
+    nations = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("tag"), F.col("r_name").alias("dep"))
+    return D.transitive_closure(segments.unionByName(nations).unionByName(region.select(F.col("r_name").alias("tag"), F.lit("ASIA").alias("dep"))), "tag", "dep")
 
 
 @query("""SELECT unnest(['null:p_name', 'surplus', 'illegal', 'unknown:p_type']) AS rule, unnest([count(*) FILTER (p_partkey % 9 = 0), count(*) - count(DISTINCT (p_brand, p_size)), 0, count(*) FILTER (p_type NOT IN (SELECT min(p_type) FROM part))]) AS n FROM part""")
@@ -208,7 +207,7 @@ def dictionary_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2 UNION ALL SELECT 100, 'ATLANTIS'")
 def add_absent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = D.filter_rows(table(spark, sf_dir, "nation"), "n_regionkey", 2).select("n_nationkey", "n_name")
-    new = spark.createDataFrame([(100, "ATLANTIS")], "n_nationkey int, n_name string").unionByName(n.limit(2))
+    new = spark.createDataFrame([(100, "ATLANTIS")], "n_nationkey int, n_name string").unionByName(n)
     return D.add_absent(n, new, "n_nationkey")
 
 
