@@ -1,4 +1,4 @@
-"""Queries that fit models: their values depend on the fit, so tests hold their properties; no SQL gives their rows."""
+"""Queries that fit models. Values that depend on a fit have no SQL; the ``planted`` queries have a known outcome in the data, which SQL states."""
 
 from __future__ import annotations
 
@@ -36,29 +36,29 @@ def forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def boruta_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.boruta(_numbers(spark, sf_dir), _COLS, "churn", 3, rounds=6)
+    return models.boruta(_numbers(spark, sf_dir), _COLS, "churn", 3)
 
 
 @query()
 def lasso_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.model_votes(_numbers(spark, sf_dir), _COLS[:3], "max_spend", {"class": "LinearRegression", "kwargs": {"elasticNetParam": 1.0, "regParam": 0.1}}, classes=False)
+    return models.model_votes(_numbers(spark, sf_dir), _COLS[:4], "max_spend", {"class": "Lasso", "kwargs": {"alpha": 0.1}}, classes=False)
 
 
 @query()
 def permutation_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.permutation_importance(_numbers(spark, sf_dir), _COLS[:3], "max_spend", classes=False)
+    return models.permutation_importance(_numbers(spark, sf_dir), _COLS[:4], "max_spend", classes=False)
 
 
 @query()
 def clustering_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = {"KMeans": {"class": "KMeans", "kwargs": {"random_state": 1}}, "BisectingKMeans": {"class": "BisectingKMeans", "kwargs": {"random_state": 1}}}
     weights = {"sillhouette_score": 0.5, "calinski_harabasz_score": 0.25, "davies_bouldin_score": 0.25}
-    return models.optimise_clusterings(_numbers(spark, sf_dir), kinds, _COLS[:4], 2, "customer_id", weights, ["davies_bouldin_score"], min_clusters=2, max_clusters=5)
+    return models.optimise_clusterings(_numbers(spark, sf_dir), kinds, _COLS, 2, "customer_id", weights, ["davies_bouldin_score"], min_clusters=2, max_clusters=5)
 
 
 @query()
 def bayesian_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.optimise_classifier(_numbers(spark, sf_dir), _COLS[:3], "churn", "customer_id", "DecisionTreeClassifier", {"max_depth": (1, 5)}, k=2, first=2, rounds=2)
+    return models.optimise_classifier(_numbers(spark, sf_dir), _COLS, "churn", "customer_id", "DecisionTreeClassifier", {"max_depth": (1, 5)})
 
 
 @query("""WITH b AS (SELECT min(l_quantity) AS a, max(l_quantity) AS z FROM lineitem), n AS (SELECT least(floor((l_quantity - a) / ((z - a) / 20)), 19)::INTEGER AS bin, count(*) AS n FROM lineitem, b GROUP BY 1)
@@ -73,3 +73,72 @@ def feature_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pipelines.model_input(raw, "customer_id", drop_churned=False)["mdt_encoded"]
     params = {"correlation_filters": {"num_to_cat": {"statistical_test": "f_classif", "corr_method": "pearson", "corr_threshold": 0.9}}, "models": {"classification_targets": [{"class": "RandomForestClassifier", "kwargs": {"random_state": 1}}]}, "number_of_features_threshold": 5}
     return pipelines.feature_selection(encoded, "customer_id", {"classification_targets": ["churn"]}, params)
+
+
+# ---- a known outcome in every row of customer: groups far apart, one column that decides the target, and columns of noise ----
+_GROUP, _Y = "(c_custkey % 3)", "(c_acctbal > 4500)::INTEGER"
+
+
+def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key, balance = F.col("c_custkey"), F.col("c_acctbal").cast("double")
+    noise = [(F.pmod(F.xxhash64(key, F.lit(i)), F.lit(10_007)) / 10_007).alias(f"noise{i}") for i in range(3)]
+    far = [((key % 3 == i).cast("double") * 1000 + balance / 1000).alias(f"far{i}") for i in range(3)]
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), (key % 3).cast("int").alias("grp"), balance.alias("signal"), (balance > 4500).cast("int").alias("y"), (3 * balance + 1).alias("z"), *noise, *far)
+
+
+_NOISE = ["noise0", "noise1", "noise2"]
+
+
+@query(f"SELECT {_GROUP}::INTEGER AS grp, count(*) AS n, 1::BIGINT AS clusters FROM customer GROUP BY 1")
+def kmeans_elbow_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The elbow is at the three groups, and each is one cluster."""
+    labelled, k = models.train_with_elbow(_planted(spark, sf_dir), ["far0", "far1", "far2"], 2, 7)
+    own = labelled.groupBy("grp").agg(F.count("*").alias("n"), F.countDistinct("cluster").alias("clusters"))
+    return own if k == 3 and labelled.select("cluster").distinct().count() == 3 else own.limit(0)
+
+
+@query(f"SELECT c_custkey AS customer_id, round(sqrt(2.0) * abs(c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER (), 4) AS size, 1.0::DOUBLE AS explained FROM customer")
+def pca_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns on one line: the first component is the distance along it, up to its sign, and explains all."""
+    out, explained = models.embed(_planted(spark, sf_dir).select("customer_id", "signal", "z"), {"line": {"columns_to_embed": ["signal", "z"], "model": {"class": "PCA", "kwargs": {"n_components": 1}}, "scaler": {"class": "StandardScaler"}}}, "customer_id")
+    return rounded(out.select("customer_id", F.abs("component_0_line").alias("size"), F.lit(explained["line"]).alias("explained")))
+
+
+@query("SELECT 'signal' AS feature, 1::INTEGER AS vote UNION ALL SELECT unnest(['noise0', 'noise1', 'noise2']), 0")
+def boruta_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    votes = models.boruta(_planted(spark, sf_dir), ["signal", *_NOISE], "y", 3)
+    return votes.select("feature", F.col(votes.columns[1]).alias("vote"))
+
+
+@query("SELECT 'signal' AS feature")
+def importances_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.importances(_planted(spark, sf_dir), ["signal", *_NOISE], "y").limit(1).select("feature")
+
+
+@query("SELECT 'signal' AS feature")
+def permutation_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.permutation_importance(_planted(spark, sf_dir), ["signal", *_NOISE], "y").limit(1).select("feature")
+
+
+@query("SELECT 'signal' AS feature, 1::INTEGER AS l1, 1::INTEGER AS l2 UNION ALL SELECT unnest(['noise0', 'noise1', 'noise2']), 0, 0")
+def model_votes_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An L1 penalty leaves the noise no weight, and under an L2 penalty it lies below the mean."""
+    df = _planted(spark, sf_dir)
+    unit = models.scale(df, models.fit_scaler(df, ["signal", "z", *_NOISE]))
+    both = [models.model_votes(unit, ["signal", *_NOISE], t, m, c).withColumnRenamed(f"mb_{t}_{m['class']}", n) for n, t, m, c in (
+        ("l1", "z", {"class": "Lasso", "kwargs": {"alpha": 0.3}}, False), ("l2", "y", {"class": "LogisticRegression", "kwargs": {"penalty": "l2", "C": 100.0}}, True))]
+    return both[0].join(both[1], "feature")
+
+
+@query(f"SELECT fold::INTEGER AS fold, y, (n // 3 + (fold < n % 3)::INTEGER)::BIGINT AS n FROM (SELECT {_Y} AS y, count(*) AS n FROM customer GROUP BY 1), range(3) r(fold)")
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return models.folds(_planted(spark, sf_dir), "customer_id", 3, "y").groupBy(F.col("_fold").alias("fold"), "y").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'KMeans' AS model, 3::INTEGER AS num_clusters, ['far0', 'far1'] AS features")
+def model_selection_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best report of a search over growing sets of the ranked features: two of the three far columns tell all groups apart."""
+    ranking = spark.createDataFrame([("far0", 9), ("far1", 8), ("noise0", 1)], "feature string, final_rank int").orderBy("feature")
+    params = {"models": {"KMeans": {"class": "KMeans", "kwargs": {"random_state": 1}}}, "must_have_features": ["far0", "far1"], "min_num_features": 2, "min_clusters": 2, "max_clusters": 6, "metric_weighting": {"sillhouette_score": 1.0}, "invert_metric_value": []}
+    _, best = pipelines.model_selection(_planted(spark, sf_dir).select("customer_id", "far0", "far1", "noise0"), ranking, "customer_id", params)
+    return spark.createDataFrame([(best["class"], best["kwargs"]["n_clusters"], best["features"])], "model string, num_clusters int, features array<string>")
