@@ -27,7 +27,9 @@ CAPITAL, END, SLOT = 1, 2, 4
 FILTER_BITS, BROADCAST_WINDOWS = 22, 200_000
 #: A benchmark item may lose or gain up to half as many words inside a document.
 DRIFT = 8
-_MOST_WORDS = 400_000
+#: Words of the shortest item that is looked for.
+LEAST_WORDS = 3
+_MOST_WORDS, _BASE = 400_000, np.uint64(0x9E3779B97F4A7C15)
 
 
 def _hash(canonical: str) -> int:
@@ -42,7 +44,7 @@ def core(word: str) -> str:
 
 
 def canonical(word: str) -> tuple[int, int]:
-    """(hash of the word or its placeholder, flags). A capitalised word is a name unless it begins a text or follows the end of a sentence."""
+    """(hash of the word or its placeholder, flags). A capitalised word is a name; where it begins a text or a sentence, it may be one."""
     bare = core(word)
     low = bare.lower()
     flags = END if word.rstrip("\"')]}»“”")[-1:] in (".", "!", "?") else 0
@@ -59,44 +61,93 @@ class _Words(dict):
         return found
 
 
-def _windows(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """Of all texts in turn: each eligible window's first token, its hash; each token's slot flag and code; the words by code; the texts' first tokens.
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
-    A window is eligible if over half of its words are no placeholders.
-    """
-    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
-    offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
-    coded = split.flatten().dictionary_encode()
-    words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-    cache = worker_cache("template words", _Words)
-    if len(cache) > _MOST_WORDS:
-        cache.clear()
-    known = [cache[w] for w in words]
-    own, flags = np.array([h for h, _ in known], np.uint64)[codes], np.array([f for _, f in known], np.uint8)[codes]
-    starts = np.zeros(len(codes) + 1, bool)
-    starts[offsets] = True
-    starts[1:] |= (flags & END) > 0
-    named = ((flags & CAPITAL) > 0) & ~starts[:-1]
-    own[named] = np.uint64(_NAME)
-    slot = named | ((flags & SLOT) > 0)
-    if len(codes) < size:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), slot, codes, words, offsets
-    n, mixed, slots = len(codes) - size + 1, np.zeros(len(codes) - size + 1, np.uint64), np.zeros(len(codes) - size + 1, np.int8)
+
+def _runs(tokens: np.ndarray, size: int) -> np.ndarray:
+    """A polynomial of each run of ``size`` tokens: linear, so that a token can be exchanged afterwards."""
+    n = max(len(tokens) - size + 1, 0)
+    out = np.zeros(n, np.uint64)
     for k in range(size):
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n]
-        slots += slot[k : k + n]
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    inside = np.ones(n, bool)
-    for k in range(1, size):  # not over the border of two texts
-        at = offsets - k
-        inside[at[(at >= 0) & (at < n)]] = False
-    at = np.flatnonzero(inside & (2 * slots < size))
-    return at, mixed[at], slot, codes, words, offsets
-
-
-def windows(table: DataFrame, id_col: str, text_col: str = "text", size: int = 5, among: np.ndarray | None = None) -> DataFrame:
-    """(id, text_key, pos, h, slots, n): the eligible windows of each text, or those whose leading bits are ``among``. n counts all of a text's."""
+        out = out * _BASE + tokens[k : k + n]
+    return out
+
+
+class _Texts:
+    """The words of a batch of texts in turn: hash of each word, or of its placeholder; whether it is one; whether it may be a name.
+
+    The first word of a sentence is capitalised anyhow. It stands for itself and, in a second form of its windows, for a name."""
+
+    def __init__(self, texts: pa.Array):
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
+        self.offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        self.words, self.codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        cache = worker_cache("template words", _Words)
+        if len(cache) > _MOST_WORDS:
+            cache.clear()
+        known = [cache[w] for w in self.words]
+        self.own, flags = np.array([h for h, _ in known], np.uint64)[self.codes], np.array([f for _, f in known], np.uint8)[self.codes]
+        starts = np.zeros(len(self.codes) + 1, bool)
+        starts[self.offsets] = True
+        starts[1:] |= (flags & END) > 0
+        capital = (flags & CAPITAL) > 0
+        self.maybe = capital & starts[:-1]
+        named = capital & ~starts[:-1]
+        self.own[named] = np.uint64(_NAME)
+        self.slot = named | ((flags & SLOT) > 0)
+
+    def inside(self, size: int) -> np.ndarray:
+        """Whether the run of ``size`` words from each word on lies in one text."""
+        n = max(len(self.codes) - size + 1, 0)
+        out = np.ones(n, bool)
+        for k in range(1, size):
+            at = self.offsets - k
+            out[at[(at >= 0) & (at < n)]] = False
+        return out
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(first token, hash, bits of the words taken for names in this form, of the plain forms) of all eligible windows.
+
+        A window is eligible if over half of its words are no placeholders. It has a form for each choice of at most two of its words that
+        may be names."""
+        n = max(len(self.codes) - size + 1, 0)
+        plain, slots = _runs(self.own, size), np.zeros(n, np.int8)
+        for k in range(size):
+            slots += self.slot[k : k + n]
+        inside = self.inside(size)
+        forms = [(np.flatnonzero(inside & (2 * slots < size)), 0)]
+        single = {}
+        for k in range(size):
+            single[k] = inside & self.maybe[k : k + n] & (2 * (slots + 1) < size)
+            forms.append((np.flatnonzero(single[k]), 1 << k))
+        for k in range(size):
+            for m in range(k + 1, size):
+                forms.append((np.flatnonzero(single[k] & single[m] & (2 * (slots + 2) < size)), 1 << k | 1 << m))
+        at, hashes = [], []
+        for where, bits in forms:
+            h = plain[where]
+            for k in range(size):
+                if bits >> k & 1:
+                    h = h + (np.uint64(_NAME) - self.own[where + k]) * np.uint64(pow(int(_BASE), size - 1 - k, 1 << 64))
+            at.append(where)
+            hashes.append(_mix(h))
+        return np.concatenate(at), np.concatenate(hashes), np.repeat([b for _, b in forms], [len(x) for x in at]), forms[0][0]
+
+    def verbatim(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first token, hash) of all runs of ``size`` words as they stand."""
+        low = np.array([_hash(core(w).lower()) for w in self.words], np.uint64)[self.codes]
+        at = np.flatnonzero(self.inside(size))
+        return at, _mix(_runs(low, size)[at] + np.uint64(size))
+
+
+def windows(table: DataFrame, id_col: str, text_col: str = "text", size: int = 5, among: np.ndarray | None = None, runs: list[int] | None = None) -> DataFrame:
+    """(id, text_key, pos, h, slots, n, run): the eligible windows of each text in all their forms, or those whose leading bits are ``among``.
+
+    n counts all of a text's windows. Texts without any that have LEAST_WORDS words or more give themselves as one run, as they stand;
+    with ``runs`` all runs of so many words come in their stead. ``run`` is a run's length, 0 for a window."""
     held = None if among is None else table.sparkSession.sparkContext.broadcast(among)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,51 +155,72 @@ def windows(table: DataFrame, id_col: str, text_col: str = "text", size: int = 5
             if not batch.num_rows:
                 continue
             texts = batch.column("text")
-            at, h, slot, codes, words, offsets = _windows(texts, size)
-            row = np.searchsorted(offsets, at, side="right") - 1
-            counts = np.bincount(row, minlength=batch.num_rows)
+            t = _Texts(texts)
+            at, h, bits, plain = t.windows(size)
+            counts = np.bincount(np.searchsorted(t.offsets, plain, side="right") - 1, minlength=batch.num_rows)
+            length = np.zeros(len(at), np.int64)
+            lengths = np.diff(t.offsets)
+            sizes = runs if runs is not None else sorted({int(x) for x in lengths[(counts == 0) & (lengths >= LEAST_WORDS)]})
+            for words in sizes:
+                first, hashes = t.verbatim(words)
+                if runs is None:
+                    row = np.searchsorted(t.offsets, first, side="right") - 1
+                    whole = (counts[row] == 0) & (lengths[row] == words)
+                    first, hashes = first[whole], hashes[whole]
+                at, h, bits, length = np.r_[at, first], np.r_[h, hashes], np.r_[bits, np.zeros(len(first), bits.dtype)], np.r_[length, np.full(len(first), words)]
             if held is not None:
                 near = held.value[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
-                at, h, row = at[near], h[near], row[near]
+                at, h, bits, length = at[near], h[near], bits[near], length[near]
+            row = np.searchsorted(t.offsets, at, side="right") - 1
             keys = {i: xxhash.xxh3_64_intdigest((texts[i].as_py() or "").encode()) - 2**63 for i in np.unique(row).tolist()}
-            slots = [[core(words[codes[t]]).lower() for t in range(a, a + size) if slot[t]] for a in at.tolist()]
+            slots = [[core(t.words[t.codes[a + k]]).lower() for k in range(size) if t.slot[a + k] or b >> k & 1] if not r else [] for a, b, r in zip(at.tolist(), bits.tolist(), length.tolist())]
             ids = batch.column("id").take(pa.array(row))
-            columns = [ids, pa.array([keys[i] for i in row.tolist()], pa.int64()), pa.array(at - offsets[row]), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string())), pa.array(counts[row])]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "pos", "h", "slots", "n"])
+            columns = [ids, pa.array([keys[i] for i in row.tolist()], pa.int64()), pa.array(at - t.offsets[row]), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string())), pa.array(np.maximum(counts[row], 1)), pa.array(length.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "pos", "h", "slots", "n", "run"])
 
     rows = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL")
-    return map_arrow(rows, run, "id bigint, text_key bigint, pos bigint, h bigint, slots array<string>, n bigint")
+    return map_arrow(rows, run, "id bigint, text_key bigint, pos bigint, h bigint, slots array<string>, n bigint, run int")
 
 
 def consistent(matches: list[tuple[int, int, list[str], list[str]]]) -> tuple[set[int], bool, int]:
     """Item windows whose slots agree with one mapping of the item's values to the document's, whether a value changed, and the first position.
 
-    A value maps to what it most often stands for; where two values of an item map to one, the rarer goes.
+    A value maps to what it most often stands for; two values may map to one: a question can be asked again with less variety.
     """
     pairs = Counter(p for _, _, a, b in matches for p in set(zip(a, b)))
     to: dict[str, str] = {}
-    taken: set[str] = set()
     for (a, b), _ in sorted(pairs.items(), key=lambda x: (-x[1], x[0][0] != x[0][1], x[0])):
-        if a not in to and b not in taken:
-            to[a] = b
-            taken.add(b)
+        to.setdefault(a, b)
     good = [(i, p) for i, p, a, b in matches if len(a) == len(b) and all(to.get(x) == y for x, y in zip(a, b))]
     return {i for i, _ in good}, any(a != b for a, b in to.items()), min((p for _, p in good), default=-1)
 
 
+def filter_bits(hashes: DataFrame) -> np.ndarray:
+    """Flags of the leading FILTER_BITS bits of the hashes ``h``: Spark sets the bits, the driver gets a bitmap of fixed size."""
+    place = F.shiftrightunsigned("h", 64 - FILTER_BITS) + 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(place).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(1 << FILTER_BITS, bool)
+    for r in parts:
+        flags = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+        first = (r["b"] - 1) * len(flags)
+        out[first : first + len(flags)] = flags[: len(out) - first].astype(bool)
+    return out
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 5, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, share, position, changed): documents that hold at least ``share`` of an item's eligible windows of ``size`` words.
 
     Windows match by hash after numbers, units and names have become placeholders. The windows of one hit lie near one diagonal (document
-    position less item position), and their slots must agree with one one-to-one mapping of values; ``changed`` says whether a value
-    differs from the item's. A fixed bitmap of the benchmark's hashes thins out the documents' windows before the join on the whole hash.
-    Null, empty or short texts, and items of fewer than ``size`` words or with placeholders alone, match nothing. Repeated rows are
-    reported once; rows without an id are left out; empty tables give no rows; further columns are ignored.
+    position less item position), and their slots must agree with one mapping of the item's values; ``changed`` says whether a value
+    differs from the item's. An item of LEAST_WORDS words or more without an eligible window (short, or placeholders mostly) is found
+    where it stands word for word. A fixed bitmap of the benchmark's hashes thins out the documents' windows before the join on the whole
+    hash. Null, empty or shorter texts match nothing. Repeated rows are reported once; rows without an id are left out; empty tables give
+    no rows; further columns are ignored; of equally frequent values of a slot the one that doesn't change, then the smallest, is taken.
     """
-    known = cut(windows(benchmark, item_col, item_text_col, size).select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), "n").distinct())
-    among = np.zeros(1 << FILTER_BITS, bool)
-    among[[r.b for r in known.select(F.shiftrightunsigned("h", 64 - FILTER_BITS).alias("b")).distinct().collect()]] = True
-    hits = windows(docs, id_col, text_col, size, among).select(F.col("id").alias("doc_id"), "text_key", "pos", "h", "slots")
+    known = cut(windows(benchmark, item_col, item_text_col, size).select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), "n", "run").distinct())
+    among, runs = filter_bits(known), [r.run for r in known.filter("run > 0").select("run").distinct().orderBy("run").collect()]
+    known = known.drop("run")
+    hits = windows(docs, id_col, text_col, size, among, runs).select(F.col("id").alias("doc_id"), "text_key", "pos", "h", "slots")
     small = known.count() <= BROADCAST_WINDOWS
     found = hits.join(F.broadcast(known) if small else known, "h").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     phases = F.array(F.floor(F.col("diagonal") / DRIFT) * 2, F.floor((F.col("diagonal") + DRIFT // 2) / DRIFT) * 2 + 1)
