@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
@@ -17,15 +18,22 @@ from tabwright.written import cut, own_dir, shared_dir  # noqa: F401  operators
 WHITE = b" \t\n\x0b\x0c\r"
 
 #: Rows and bytes of an Arrow batch: the same for all operators, so that none changes the batches of another's lazy plan.
-BATCH_ROWS, BATCH_BYTES = 4_000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class _Released:
-    """A batch function whose task gives unused Arrow memory back at its end: workers live on from stage to stage."""
+    """A batch function whose task gives unused memory back at its end: workers live on from stage to stage."""
 
     def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         self.f = f
@@ -34,7 +42,7 @@ class _Released:
         try:
             yield from self.f(batches)
         finally:
-            pa.default_memory_pool().release_unused()
+            _trim()
 
 
 def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:

@@ -258,6 +258,23 @@ class ChunkEncoder:
         return self._ids(codes), np.diff(upto)
 
 
+#: Rows and bytes of text that are encoded together at most, if no single batch has more: words that come again are looked up once.
+_TOGETHER_ROWS, _TOGETHER_BYTES = 8_000, 16 << 20
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """(doc_id, text) of some batches at a time."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        if held and (rows + batch.num_rows > _TOGETHER_ROWS or size + batch.nbytes > _TOGETHER_BYTES):
+            yield np.concatenate([x.column("doc_id").to_numpy() for x in held]), pa.concat_arrays([x.column("text") for x in held])
+            held, rows, size = [], 0, 0
+        if batch.num_rows:
+            held, rows, size = [*held, batch], rows + batch.num_rows, size + batch.nbytes
+    if held:
+        yield np.concatenate([x.column("doc_id").to_numpy() for x in held]), pa.concat_arrays([x.column("text") for x in held])
+
+
 def _encode(json, end_id: int, segment_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_cache(("chunk encoder", json.value), lambda: ChunkEncoder(json.value))
@@ -269,13 +286,11 @@ def _encode(json, end_id: int, segment_ids: int):
             columns = [[part], [seq], [sum(map(len, docs))], [n], [data]]
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["part", "seq", "n_docs", "n_ids", "data"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            found, counts = encoder.encode(batch.column("text"))
+        for own, texts in _merged(batches):
+            found, counts = encoder.encode(texts)
             ends = np.cumsum(counts)
             found, counts = np.insert(found, ends, np.uint32(end_id)), counts + 1
-            ends, own = np.cumsum(counts), batch.column("doc_id").to_numpy()
+            ends = np.cumsum(counts)
             at = 0
             while at < len(own):  # a segment closes with the document that reaches its size
                 before = int(ends[at - 1]) if at else 0
