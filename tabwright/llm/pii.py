@@ -247,13 +247,18 @@ def train(examples: int = EXAMPLES, passes: int = PASSES, seed: int = SEED) -> d
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around triggers, MARGIN characters to both sides, merged where they meet; a stretch longer than MOST_WINDOW is cut."""
+    """Stretches around triggers, MARGIN characters to both sides, merged where they meet.
+
+    A stretch that would be longer than MOST_WINDOW ends before the next trigger, and the next one begins MARGIN before that: spans that both
+    find count once."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
         a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
         if out and a <= out[-1][1] and b - out[-1][0] <= MOST_WINDOW:
             out[-1][1] = max(b, out[-1][1])
         else:
+            if out and a <= out[-1][1]:
+                out[-1][1] = min(out[-1][1], m.start())
             out.append([a, b])
     return [(a, b) for a, b in out]
 
@@ -273,23 +278,8 @@ def crf_spans(text: str, weights: dict[str, float], certain: float = CERTAIN) ->
     return out
 
 
-def _worth(text: str) -> bool:
-    """A cheap look before the trigger's pattern, true wherever that could match: an @, a bracketed at, at and dot, [.] or a long number."""
-    low = text.lower()
-    if "@" in text or "[.]" in text or ("at" in low and ("dot" in low or any(b in low for b in _BRACKETED))):
-        return True
-    return bool(_LONG_NUMBER.search(text))
-
-
-#: An opening bracket before at, with a space or without.
-_BRACKETED = tuple(b + x for b in "[({" for x in ("at", " at"))
-_LONG_NUMBER = re.compile(r"[0-9][0-9 ().+/-]{5,}[0-9]|[0-9] ?\. ?[0-9]")
-
-
 def all_spans(text: str, base: list[Span], weights: dict[str, float]) -> list[Span]:
     """The base spans, and those of the field that touch none of them."""
-    if not _worth(text):
-        return base
     taken = [(a, b) for _, a, b in base]
     new = []
     for k, a, b in crf_spans(text, weights):

@@ -99,11 +99,64 @@ def test_query_and_odd_rows(spark, tmp_path):
     assert pii.find(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
-def test_every_trigger_passes_the_cheap_look():
+def test_every_trigger_is_looked_at():
     forms = [f"john {a}at{b} example{dot}com" for a in ("", "[", "(", "{", "[ ", "( ", "{ ") for b in ("", "]", " ]", ")", " )", "}", " }") for dot in (".", " dot ", "\tdot\t", " dot. ", " (dot) ", "[dot]", "{dot}", " Dot-")]
     forms += ["a@b", "1[.]2", "1.2.3.4", "1 . 2 . 3 . 4", "262-555-7240", "(262) 555 7240", "john AT example (DOT) com"]
     fired = [t for t in forms if pii._TRIGGER.search(t)]
-    assert len(fired) > 100 and [t for t in fired if not pii._worth(t)] == []
+    assert len(fired) > 100 and all(pii.windows(t) for t in fired)
+    for text in ("write john { at } example.com now", "write john at example (dot) com now", "write john [at] example {dot} com now"):
+        assert len(pii.all_spans(text, pii.base_spans(text), pii.train())) == 1, text
+
+
+#: Written by hand, with the spans in double angle brackets: the generator of the training lines never saw them.
+BY_HAND = """
+Reach our press office under <<email press (at) harbour-museum (dot) org>> until Friday.
+Questions? <<email anna.kowalski [at] fastmail [dot] com>>, or ask at the desk.
+You can mail me: <<email m.weber at uni-koeln dot de>> (spam protection).
+Mi correo es <<email luis_perez (arroba) correo.es>>
+Please ring <<phone (415) 555-0134>> after six.
+Office: <<phone 212-555-0187>>, second floor.
+Rufen Sie <<phone 0049 221 4567890>> an, am besten vormittags.
+Fax <<phone 1-800-555-0199>> is no longer in use
+Text <<phone 646.555.0112>> for details.
+Tel. <<phone 415 555 0171>> or come by.
+The old server <<ip 10[.]0[.]14[.]7>> was retired.
+Beacon traffic went to <<ip 203[.]0[.]113[.]44>> all night.
+He wrote down <<card 4111-1111-1111-1111>> on a note.
+Card <<card 5500 0000 0000 0004>> expires in May.
+Payment by visa <<card 4012.8888.8888.1881>> accepted
+The meeting is on 2024-03-15 at the town hall.
+Chapter 12.4.1.7 explains the scheme in detail.
+Order 8834-2210 shipped in 2 parcels of 40 kg.
+We sat at the bar and looked at a dot on the map.
+ISBN 978-3-16-148410-0 is the second edition.
+Version 2.10.33 fixes 1048576 rows and 65535 columns.
+The ratio was 0.57721566 and the sum 3.14159265.
+""".strip().split("\n")
+
+
+def test_recall_on_lines_written_by_hand():
+    weights, right, true, found, wrong = pii.train(), 0, 0, 0, []
+    for line in BY_HAND:
+        text, want, at = "", set(), 0
+        for m in re.finditer(r"<<(\w+) (.*?)>>", line):
+            text += line[at : m.start()]
+            want.add((m.group(1), len(text), len(text) + len(m.group(2))))
+            text += m.group(2)
+            at = m.end()
+        text += line[at:]
+        got = set(pii.all_spans(text, pii.base_spans(text), weights))
+        right, true, found = right + len(got & want), true + len(want), found + len(got)
+        if got != want:
+            wrong.append((text, want, got))
+    assert right / true >= 0.8 and right / found >= 0.8, wrong
+
+
+def test_a_long_row_of_triggers_is_found_whole():
+    """Two hundred numbers, far beyond one window, come out like each by itself."""
+    text = ", ".join(f"call (262) 555-{7000 + i}" for i in range(200))
+    got = pii.all_spans(text, pii.base_spans(text), pii.train())
+    assert [text[a:b] for k, a, b in got if k == "phone"] == [f"(262) 555-{7000 + i}" for i in range(200)]
 
 
 def test_a_span_does_not_need_unrelated_text():
