@@ -34,12 +34,13 @@ def predicted_and_actual(df: DataFrame, time: str, actual: str, predicted: str)
 
 
 def html_report(title: str, tables: dict[str, DataFrame], path: str, most_rows: int = 200) -> str:
-    """Write a page with the first rows of each table through Spark's file system, and return its text."""
+    """Write a page with the first ``most_rows`` of each table through Spark's file system, and return its text; a longer table says that it goes on."""
     parts = [f"<h1>{html.escape(title)}</h1>"]
     for name, df in tables.items():
         head = "".join(f"<th>{html.escape(c)}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in df.limit(most_rows).collect())
-        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>")
+        rows = df.limit(most_rows + 1).collect()
+        body = "".join("<tr>" + "".join(f"<td>{html.escape(str(v))}</td>" for v in row) + "</tr>" for row in rows[:most_rows])
+        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}</tr>{body}</table>" + (f"<p>The first {most_rows} rows; there are more.</p>" if len(rows) > most_rows else ""))
     text = f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body>{''.join(parts)}</body></html>"
     spark = next(iter(tables.values())).sparkSession
     jvm = spark.sparkContext._jvm
