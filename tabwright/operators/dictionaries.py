@@ -10,6 +10,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.functions.numbers import enforce_schema
+from tabwright.operators.cleaning import deduplicate
+
 # Kinds of data and marks of the dictionaries.
 DATA_TYPES = ("int", "float", "bool", "str", "date", "timestamp")
 TAG_KINDS = ("input", "output", "state", "control", "on_off")
@@ -152,6 +155,17 @@ def create_data_dict(data: DataFrame | list[dict], params: dict) -> DataDict:
     return DataDict(data, params["use_case_id"])
 
 
+def enforce_dictionary_schema(df: DataFrame, data_dict: DataDict) -> DataFrame:
+    """The dictionary's features cast to the kinds that it gives them; one that the table lacks is an error."""
+    kinds = data_dict.schema_kinds()
+    return enforce_schema(df, {c: kinds[c] for c in data_dict.features()})
+
+
+def deduplicate_by_dictionary(df: DataFrame, data_dict: DataDict, order: list[str] | None = None, keep: str | bool = "first") -> DataFrame:
+    """One row of each value of the dictionary's key column."""
+    return deduplicate(df, [data_dict.variable("key")], order, keep)
+
+
 class DependencyGraph:
     """Directed edges from a tag to the tags it depends on."""
 

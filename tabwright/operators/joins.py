@@ -28,3 +28,13 @@ def join_rankings(key: str, *dfs: DataFrame) -> DataFrame:
 
     out = reduce(merged, dfs).fillna(0)
     return out.orderBy(*[F.col(f"`{c}`").desc_nulls_last() for c in out.columns if c != key])
+
+
+def side_by_side(row_id: str, *dfs: DataFrame) -> DataFrame:
+    """The columns of several tables beside each other, row by row: rows meet by an explicit number, since a table has no order of its own.
+
+    A row that a table lacks is null there; a column name that two tables share is an error."""
+    names = [c for d in dfs for c in d.columns if c != row_id]
+    if len(set(names)) < len(names):
+        raise ValueError(f"columns {sorted({c for c in names if names.count(c) > 1})} come more than once")
+    return reduce(lambda a, b: a.join(b, row_id, "full"), dfs)

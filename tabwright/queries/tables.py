@@ -253,3 +253,62 @@ def standard_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     df = table(spark, sf_dir, "events").select("event_id", "value")
     return rounded(scale(df, fit_scaler(df, ["value"])), 6)
+
+
+def _orders_dict() -> D.DataDict:
+    rows = [("o_orderkey", "int", "N", "N", "Y"), ("o_custkey", "str", "Y", "N", "N"), ("o_totalprice", "float", "Y", "N", "N"), ("o_orderdate", "timestamp", "Y", "N", "N"), ("o_orderstatus", "str", "N", "Y", "N")]
+    return D.create_data_dict([{"column_id": c, "feature_group": "orders", "business_name": c, "data_type": t, "churn:feature": f, "churn:target": y, "churn:key": k} for c, t, f, y, k in rows], {"use_case_id": "churn"})
+
+
+@query("SELECT o_orderkey, o_custkey::VARCHAR AS o_custkey, round(o_totalprice, 2)::DOUBLE AS o_totalprice, o_orderdate::TIMESTAMP AS o_orderdate, o_orderstatus FROM orders")
+def dictionary_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.round("o_totalprice", 2).cast("string").alias("o_totalprice"), F.col("o_orderdate").cast("string").alias("o_orderdate"), "o_orderstatus")
+    return D.enforce_dictionary_schema(text, _orders_dict())
+
+
+@query("SELECT o_orderkey, l_linenumber AS o_custkey FROM (SELECT l_orderkey AS o_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) AS n FROM lineitem) WHERE n = 1")
+def dictionary_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("o_custkey"))
+    return D.deduplicate_by_dictionary(lines, _orders_dict(), ["o_custkey"], "last")
+
+
+@query("SELECT unnest(['feature', 'feature', 'feature', 'number', 'key', 'target', 'date', 'name']) AS mark, unnest(['o_custkey', 'o_totalprice', 'o_orderdate', 'o_totalprice', 'o_orderkey', 'o_orderstatus', NULL, 'o_custkey']) AS col")
+def dictionary_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _orders_dict()
+    rows = [("feature", c) for c in d.features()] + [("number", c) for c in d.features(["float", "int"])] + [(m, d.variable(m)) for m in ("key", "target", "date")] + [("name", d.name("o_custkey"))]
+    return spark.createDataFrame(rows, "mark string, col string")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, s_name, s_acctbal FROM customer FULL JOIN (SELECT s_suppkey AS c_custkey, s_name, s_acctbal FROM supplier) USING (c_custkey)")
+def side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal"), table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), "s_name", "s_acctbal")
+    return J.side_by_side("c_custkey", a, b)
+
+
+_LAGGED = "SELECT value AS y, lag(value) OVER (PARTITION BY user_id ORDER BY ts, value) AS p FROM events WHERE user_id % 2 = {}"
+_SCORED = """SELECT '{0}' AS model, round(1 - avg((y - p) * (y - p)) / var_pop(y), 6) AS r2, round(avg(abs(y - p) / nullif(y, 0)) * 100, 4) AS mape, round(avg((y - p) * (y - p)), 4) AS mse, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse,
+(SELECT round(stddev_pop(value) / avg(value), 6) FROM events WHERE user_id % 2 = {1}) AS cv FROM ({2}) WHERE p IS NOT NULL"""
+
+
+@query(" UNION ALL ".join([_SCORED.format("mean_test", 1, "SELECT value AS y, (SELECT avg(value) FROM events WHERE user_id % 2 = 0) AS p FROM events WHERE user_id % 2 = 1"), _SCORED.format("lag_test", 1, _LAGGED.format(1)), _SCORED.format("lag_train", 0, _LAGGED.format(0))]))
+def baseline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "value")
+    found = T.baseline_table(e.filter("user_id % 2 = 0"), e.filter("user_id % 2 = 1"), "ts", "value", "user_id")
+    return found.select("model", F.round("r2", 6).alias("r2"), F.round("mape", 4).alias("mape"), F.round("mse", 4).alias("mse"), F.round("rmse", 4).alias("rmse"), F.round("cv", 6).alias("cv"))
+
+
+@query("SELECT event_id, round(value, 4) AS value, round(lag(value) OVER (ORDER BY ts, value), 4) AS pred FROM events QUALIFY row_number() OVER (ORDER BY ts, value) > 1")
+def lag_of_one_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(T.lag_prediction(table(spark, sf_dir, "events").select("event_id", "ts", "value"), "ts", "value").select("event_id", "value", "pred"))
+
+
+@query("SELECT event_id, ts, value FROM events WHERE value IS NOT NULL AND event_id % 5 <> 0 AND ts > TIMESTAMP '2024-01-10'")
+def complete_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
+    return C.select_cols(C.drop_nulls(T.after(e, "ts", "2024-01-10"), ["value"]), ["event_id", "ts", "value"])
+
+
+@query("SELECT c_custkey, c_acctbal, c_nationkey FROM customer")
+def columns_without_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "customer").select(F.col("c_name").alias("Unnamed: 0"), "c_acctbal", "c_mktsegment", "c_nationkey", "c_custkey")
+    return C.id_first(C.remove_cols(C.drop_unnamed(raw), ["c_mktsegment", "absent"]), "c_custkey")
