@@ -199,7 +199,7 @@ def _links(budget: int, top: int, least: float | None):
     return run
 
 
-def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_ROWS, n_rows: int | None = None, least: float | None = None) -> DataFrame:
+def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_ROWS, least: float | None = None) -> DataFrame:
     """(u, v) links that connect all classes (node bigint, fp bigint, sketch binary; fp distinct) within ``budget`` differing bits, and, with ``least``, of sketches that are at least so similar.
 
     Two fingerprints within the budget agree on one of budget + 1 blocks of bits. So the trie is built once for each block, with that
@@ -216,9 +216,8 @@ def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_
     own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     pairs = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(j, own) * F.col("k") + F.greatest(j, own)))
     dealt = keyed.select("node", "sketch", "rot", "r", "head", F.explode(pairs).alias("c")).withColumn("tree", F.xxhash64("r", "head", "c"))
-    spark = classes.sparkSession
-    n = n_rows if n_rows is not None else classes.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (budget + 1) // (PARTITION_ROWS if least is None else PARTITION_ROWS // 5)))
+    copies = int(counts.agg(F.sum(F.col("n") * F.ceil(F.col("n") / chunk_rows))).first()[0] or 0)  # a task holds its rows, copies for pairs of chunks too
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-copies // (PARTITION_ROWS if least is None else PARTITION_ROWS // 5)))
     wanted = ["node", "rot", "tree"] + (["sketch"] if least is not None else [])
     return map_arrow(dealt.select(*wanted).repartition(parts, "tree"), _links(budget, top, least), "u bigint, v bigint")
 
