@@ -98,10 +98,20 @@ def split_by_ids(df: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame,
     return df.join(keys, id_col, "left_semi"), df.join(keys, id_col, "left_anti")
 
 
+#: Values that become columns at most: more don't make a table that anything can read.
+MOST_VALUES = 5_000
+
+
 def category_values(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
-    """Distinct values, sorted; the number of output columns follows from them, so they have to fit a schema."""
-    found = aggregate(df, {c: F.array_sort(F.collect_set(_c(c).cast("string"))) for c in cols})
-    return {c: list(v or []) for c, v in found.items()}
+    """Distinct values, sorted; each becomes a column, so more than MOST_VALUES of them are an error. Tasks begin to drop repeats by themselves."""
+    if not cols:
+        return {}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _c(c).cast("string").alias("v")) for i, c in enumerate(cols)]))
+    rows = df.select(pairs.alias("x")).select("x.*").filter("v IS NOT NULL").distinct().limit(MOST_VALUES * len(cols) + 1).collect()
+    found = {c: sorted(r["v"] for r in rows if r["i"] == i) for i, c in enumerate(cols)}
+    if wide := [c for c, v in found.items() if len(v) > MOST_VALUES]:
+        raise ValueError(f"columns {wide} have too many values to become columns")
+    return found
 
 
 def one_hot(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
