@@ -22,9 +22,11 @@ def exploded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     ``row`` is the hash of the whole text: it tells rows of the same id apart."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
-    lines = rows.select("doc_id", _hash(F.col("text")).alias("row"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    key = F.translate(F.btrim("line", F.lit(WHITE.decode())), _UPPER, _UPPER.lower())
-    return lines.withColumn("h", F.when(key != "", _hash(key)))
+    lines = rows.withColumn("row", _hash(F.col("text"))).select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.withColumn("bare", F.btrim("line", F.lit(WHITE.decode())))
+    # lower() knows more letters than A-Z, but is quick where a line has no others
+    low = F.when(F.length("bare") == F.octet_length("bare"), F.lower("bare")).otherwise(F.translate("bare", _UPPER, _UPPER.lower()))
+    return lines.withColumn("key", low).withColumn("h", F.when(F.col("key") != "", _hash(F.col("key")))).drop("bare", "key")
 
 
 def shared_lines(lines: DataFrame, min_docs: int) -> DataFrame:
