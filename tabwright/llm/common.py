@@ -35,24 +35,28 @@ def _trim() -> None:
 class _Released:
     """A batch function whose task gives unused memory back at its end: workers live on from stage to stage."""
 
-    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-        self.f = f
+    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], trims: bool):
+        self.f, self.trims = f, trims
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             yield from self.f(batches)
         finally:
-            _trim()
+            if self.trims:
+                _trim()
+            else:
+                pa.default_memory_pool().release_unused()
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker.
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, trims: bool = True) -> DataFrame:
+    """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker. A function that keeps most
+    of its memory from task to task needn't give the rest back (``trims``).
 
     Spark takes the bounds from the session as a plan begins to run, so they stay set there."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     _importable(df.sparkSession)
-    return df.mapInArrow(_Released(f), schema)
+    return df.mapInArrow(_Released(f, trims), schema)
 
 
 def _importable(spark: SparkSession) -> None:

@@ -322,7 +322,7 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = 2, id_co
         json = spark.sparkContext.broadcast(f.read())
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id IS NOT NULL")
     rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
-    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary")
+    out = map_arrow(rows, _encode(json, end_id, segment_ids), "part int, seq int, n_docs bigint, n_ids bigint, data binary", trims=False)
     out.write.option("compression", "lz4_raw").parquet(path)
 
 
