@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontam, licences, lines, lm, mixing, neighbours, pii, quality, simhash, simple8b
+from tabwright.llm import decontam, divergence, licences, lines, lm, mixing, neighbours, pii, quality, simhash, simple8b
 from tabwright.llm.common import table
 
 
@@ -59,8 +59,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice)
+    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice, op12_divergence_audit)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -92,7 +96,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY rid, doc_id""",
 }
-
+_ORACLES["op12_divergence_audit"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+o AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS in_lang FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(in_lang) AS lang_total FROM k GROUP BY lang),
+c AS (SELECT o.lang, source, o.term, count(*) AS n FROM o JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) d),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * v.v)) AS p,
+    (1 + (1000000000::HUGEINT * (k.in_lang + 2)) // (v.lang_total + 2 * v.v)) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q),
+t AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM t WHERE part = 'pair' OR rank <= 10"""
 
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licences.TEMPLATES.items())
 _GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
