@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontam, divergence, licences, lines, lm, mixing, neighbours, pii, quality, simhash, simple8b
+from tabwright.llm import decontam, divergence, licences, lines, lm, mixing, neighbours, pii, quality, rules, simhash, simple8b
 from tabwright.llm.common import table
 
 
@@ -63,8 +63,13 @@ def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
 
+def op13_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), epsilon=0.02, alpha=0.05)
+    return found.select("doc_id", *rules.BASE, "base_failed", "kept", "rule")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice, op12_divergence_audit)
+    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice, op12_divergence_audit, op13_controlled_rules)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
