@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontam, divergence, licences, lines, lm, mixing, neighbours, pii, quality, rules, simhash, simple8b
+from tabwright.llm import decontam, divergence, licences, lines, lm, mixing, neighbours, pii, quality, rules, simhash, simple8b, turns
 from tabwright.llm.common import table
 
 
@@ -59,6 +59,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_turn_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turns.repair_report(turns.damage(rows), rows.select(F.col("conv_id").cast("bigint").alias("conv_id")))
+
+
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
@@ -69,7 +74,7 @@ def op13_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice, op12_divergence_audit, op13_controlled_rules)
+    f.__name__: f for f in (op1_weak_labels, op2_semi_markov_pii, op3_projected_neighbours, op4_simple8b, op5_template_decontamination, op6_partial_matching, op7_temperature_mixing, op8_simhash_trie, op9_line_dedup, op10_licence_dice, op11_turn_matrices, op12_divergence_audit, op13_controlled_rules)
 }
 
 _WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -101,6 +106,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY rid, doc_id""",
 }
+
+def _add(w: str, cost: int | str, letter: str) -> str:
+    """A way, its cost in twelve digits before its audit, with another edit."""
+    return f"(printf('%012d', {w}[1:12]::BIGINT + {cost}) || {w}[13:] || '{letter}')"
+_EXTRA = "CASE WHEN r.truncated THEN 3 ELSE 0 END"
+
+_ORACLES["op11_turn_matrices"] = rf"""
+WITH RECURSIVE n AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(key, ''), lambda x: ascii(x)::UBIGINT),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT) % 20 AS how FROM n),
+d AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role, CASE WHEN how = 1 THEN '' WHEN how = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN how = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE how <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
+f AS (SELECT *, not regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right(rtrim(text, {_WHITE}), 1) NOT IN ('.', '!', '?') AS truncated, left(role, 1) AS k, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM o),
+dp AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, '000000000000' AS w1, NULL::VARCHAR AS w2, NULL::VARCHAR AS w3, NULL::VARCHAR AS w4 FROM f
+  UNION ALL SELECT conv_id, i, {_add('w1', 4, 'D')},
+    list_min([{_add('w2', 4, 'D')}, CASE WHEN may AND k = 's' THEN {_add('w1', 'extra', 'K')} END]),
+    list_min([{_add('u', 4, 'D')}, CASE WHEN may THEN list_min([{_add('w1', '3 + extra', 'R')}, {_add('w2', '3 + extra', 'R')}, {_add('a', '3 + extra', 'R')}]) END,
+      CASE WHEN may AND k = 'u' THEN list_min([{_add('w1', 'extra', 'K')}, {_add('w2', 'extra', 'K')}, {_add('a', 'extra', 'K')}]) END]),
+    list_min([{_add('a', 4, 'D')}, CASE WHEN may THEN {_add('u', '3 + extra', 'R')} END, CASE WHEN may AND k = 'a' THEN {_add('u', 'extra', 'K')} END])
+  FROM (SELECT *, list_min([w4, {_add('u', 3, 'I')}]) AS a FROM (SELECT r.conv_id, r.i, w1, w2, w4, r.k, not (r.blank OR r.again) AS may, {_EXTRA} AS extra,
+    list_min([w3, {_add('w1', 3, 'I')}, {_add('w2', 3, 'I')}, {_add('w4', 3, 'I')}]) AS u FROM dp JOIN f r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.i = dp.i + 1))),
+l AS (SELECT conv_id, list_min([w1, w4, {_add('u', 3, 'I')}]) AS w FROM (SELECT *, list_min([w3, {_add('w1', 3, 'I')}, {_add('w2', 3, 'I')}, {_add('w4', 3, 'I')}]) AS u
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS back FROM dp) WHERE back = 1)),
+e AS (SELECT conv_id, unnest(string_split(w[13:], '')) AS edit, unnest(range(1, len(w) - 11)) AS p FROM l WHERE len(w) > 12),
+q AS (SELECT conv_id, p, edit, sum(CASE WHEN edit = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY p) AS i, sum(CASE WHEN edit = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY p) AS j FROM e),
+s AS (SELECT q.conv_id, p, edit, j, f.role, CASE WHEN edit = 'I' THEN '' ELSE f.text END AS text, max(CASE WHEN j = 1 AND edit = 'K' AND k = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY q.conv_id) AS sys
+  FROM q LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM q.conv_id AND f.i = q.i WHERE edit <> 'D'),
+t AS (SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS text FROM s GROUP BY conv_id),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (not blank AND again) AS duplicate,
+    count(*) FILTER (not blank AND not again AND truncated) AS truncated, count(*) FILTER (before || k NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(w[1:12]::BIGINT, 0) AS cost, coalesce(w[13:], '') AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN l ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+  LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 _ORACLES["op12_divergence_audit"] = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
