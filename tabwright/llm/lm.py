@@ -201,7 +201,7 @@ class Trie:
             c[np.searchsorted(nodes, ctx), symbol_class[sym]] = n
             self.table, after = _level(c, below[0][up], below[1][up]) if k else _lowest(c, SYMBOLS - int((c > 0).sum()))
             below, ctxs = (c, after), nodes
-        self.size, self.table = len(self.table), self.table.astype(np.float32).ravel()
+        self.size, self.table = len(self.table), self.table.ravel()
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Each text's log10 probability with its end, but for the symbols after other contexts: these as (text, gram, times)."""
@@ -218,7 +218,7 @@ class Trie:
             local[~known] = 0
             local *= self.n_classes
             local += s[at]
-            values = np.where(known, self.table[local].astype(np.float64), 0) if self.size else np.zeros(len(at))
+            values = np.where(known, self.table[local], 0) if self.size else np.zeros(len(at))
             out[first : first + len(part)] = np.add.reduceat(values, begin)
             if not known.all():
                 rare = at[~known]
