@@ -164,7 +164,7 @@ def best_report(reports: DataFrame) -> dict:
     return {"class": row["model"], "kwargs": {"n_clusters": row["num_clusters"]}, "features": list(row["features"])}
 
 
-def _labelled(df: DataFrame, cols: list[str], target: str, classes: bool) -> DataFrame:
+def labelled(df: DataFrame, cols: list[str], target: str, classes: bool) -> DataFrame:
     out = assemble(df.filter(F.col(f"`{target}`").isNotNull()), cols)
     if not classes:
         return out.withColumn("_label", _d(target))
@@ -175,7 +175,7 @@ def _labelled(df: DataFrame, cols: list[str], target: str, classes: bool) -> Dat
 def importances(df: DataFrame, cols: list[str], target: str, classes: bool = True, model: dict | None = None, seed: int = 1) -> DataFrame:
     """(feature, importance) of a random forest, or of another model with importances or coefficients, largest first."""
     params = model or {"class": "RandomForestClassifier" if classes else "RandomForestRegressor", "kwargs": {"random_state": seed}}
-    fitted = load_object(params, featuresCol="_features", labelCol="_label").fit(_labelled(df, cols, target, classes))
+    fitted = load_object(params, featuresCol="_features", labelCol="_label").fit(labelled(df, cols, target, classes))
     if hasattr(fitted, "featureImportances"):
         values = fitted.featureImportances.toArray()
     else:
@@ -246,7 +246,7 @@ def boruta(df: DataFrame, cols: list[str], target: str, depth: int, classes: boo
 
 def tree_rules(df: DataFrame, cols: list[str], cluster_col: str, depth: int = 3) -> str:
     """A small decision tree over the cluster labels, as text with the columns' names."""
-    fitted = load_object({"class": "DecisionTreeClassifier", "kwargs": {"max_depth": depth}}, featuresCol="_features", labelCol="_label").fit(_labelled(df, cols, cluster_col, True))
+    fitted = load_object({"class": "DecisionTreeClassifier", "kwargs": {"max_depth": depth}}, featuresCol="_features", labelCol="_label").fit(labelled(df, cols, cluster_col, True))
     text = fitted.toDebugString
     for i in range(len(cols) - 1, -1, -1):
         text = text.replace(f"feature {i} ", f"{cols[i]} ")
@@ -254,8 +254,8 @@ def tree_rules(df: DataFrame, cols: list[str], cluster_col: str, depth: int = 3)
 
 
 def permutation_importance(df: DataFrame, cols: list[str], target: str, classes: bool = True, seed: int = 1) -> DataFrame:
-    """(feature, importance): how much a random forest's score falls when a column is permuted. It stands in for Shapley values, which Spark has not."""
-    data = cut(with_shadows(_labelled(df.select(target, *cols), cols, target, classes).select(target, *cols, "_label"), cols, seed))
+    """(feature, importance): how much a random forest's score falls when a column is permuted; see ``shapley.shapley_importance`` for exact shares of each row's prediction."""
+    data = cut(with_shadows(labelled(df.select(target, *cols), cols, target, classes).select(target, *cols, "_label"), cols, seed))
     kind = "RandomForestClassifier" if classes else "RandomForestRegressor"
     fitted = load_object({"class": kind, "kwargs": {"random_state": seed}}, featuresCol="_features", labelCol="_label").fit(assemble(data, cols))
     score = lambda names: fitted.transform(assemble(data, names)).agg(F.avg((F.col("prediction") == F.col("_label")).cast("double")) if classes else -F.avg(F.pow(F.col("prediction") - F.col("_label"), 2))).first()[0]
@@ -279,7 +279,7 @@ def folds(df: DataFrame, id_col: str, k: int, target: str | None = None) -> Data
 
 def cross_validated_f1(df: DataFrame, cols: list[str], target: str, id_col: str, model: dict, k: int = 3) -> float:
     """Mean over stratified folds of F1 weighted by predictions."""
-    data, total = cut(folds(_labelled(df, cols, target, True).select(id_col, target, *cols, "_label"), id_col, k, target)), 0.0
+    data, total = cut(folds(labelled(df, cols, target, True).select(id_col, target, *cols, "_label"), id_col, k, target)), 0.0
     data = assemble(data, cols)
     for i in range(k):
         fitted = load_object(model, featuresCol="_features", labelCol="_label").fit(data.filter(F.col("_fold") != i))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators import cleaning, models, plots
+from tabwright.operators import cleaning, models, plots, shapley
 from tabwright.plans import pipelines
 from tabwright.queries.base import master, query, rounded
 from tabwright.session import table
@@ -75,6 +75,21 @@ def feature_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipelines.feature_selection(encoded, "customer_id", {"classification_targets": ["churn"]}, params)
 
 
+@query()
+def shapley_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shapley.shapley_importance(_numbers(spark, sf_dir), _COLS[:4], "max_spend", descriptions={"c_acctbal": "balance"})
+
+
+@query("SELECT c_custkey AS customer_id, 0.0::DOUBLE AS gap_0, 0.0::DOUBLE AS gap_1 FROM customer")
+def shapley_additivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each customer and class the values add up to the forest's probability less its mean."""
+    data = models.assemble(_numbers(spark, sf_dir).select("customer_id", "churn", *_COLS), _COLS)
+    fitted = models.load_object({"class": "RandomForestClassifier", "kwargs": {"n_estimators": 5, "random_state": 1}}, featuresCol="_features", labelCol="churn").fit(data)
+    values, mean = shapley.shapley_values(fitted, fitted.transform(data).select("customer_id", *_COLS, models.vector_to_array("probability").alias("p")), _COLS)
+    gap = lambda c: F.abs(F.round(F.aggregate(F.col("_shap")[c], F.lit(0.0), lambda s, v: s + v) + mean[c] - F.col("p")[c], 8)).alias(f"gap_{c}")
+    return values.select("customer_id", gap(0), gap(1))
+
+
 # ---- a known outcome in every row of customer: groups far apart, one column that decides the target, and columns of noise ----
 _GROUP, _Y = "(c_custkey % 3)", "(c_acctbal > 4500)::INTEGER"
 
@@ -120,6 +135,23 @@ def permutation_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.permutation_importance(_planted(spark, sf_dir), ["signal", *_NOISE], "y").limit(1).select("feature")
 
 
+_BITS = "(c_acctbal > 4500)::INTEGER AS a, (c_custkey % 3 = 0)::INTEGER AS b"
+
+
+@query(f"""WITH c AS (SELECT c_custkey, {_BITS} FROM customer), f AS (SELECT *, 10.0 * a + b + 2 * a * b AS z FROM c),
+g AS (SELECT avg(z) AS mean, avg(z) FILTER (a = 1) AS a1, avg(z) FILTER (a = 0) AS a0, avg(a) AS share FROM f),
+v AS (SELECT c_custkey, z, mean, CASE WHEN a = 1 THEN a1 ELSE a0 END AS by_a, share * (10 + 3 * b) + (1 - share) * b AS by_b FROM f, g)
+SELECT c_custkey AS customer_id, round(((by_a - mean) + (z - by_b)) / 2, 4) AS a, round(((by_b - mean) + (z - by_a)) / 2, 4) AS b, 0.0::DOUBLE AS noise0 FROM v""")
+def shapley_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tree learns 10 a + b + 2 a b by splitting at a, then at b: the values of each customer follow from the sizes of the groups."""
+    df = _planted(spark, sf_dir).select("customer_id", F.col("y").alias("a"), (F.col("customer_id") % 3 == 0).cast("int").alias("b"), "noise0")
+    df = df.withColumn("z", 10.0 * F.col("a") + F.col("b") + 2 * F.col("a") * F.col("b"))
+    cols = ["a", "b", "noise0"]
+    fitted = models.load_object({"class": "DecisionTreeRegressor", "kwargs": {"max_depth": 3}}, featuresCol="_features", labelCol="z").fit(models.assemble(df, cols))
+    values, _ = shapley.shapley_values(fitted, df.select("customer_id", *cols), cols)
+    return rounded(values.select("customer_id", *[F.col("_shap")[0][i].alias(c) for i, c in enumerate(cols)]))
+
+
 @query("SELECT 'signal' AS feature, 1::INTEGER AS l1, 1::INTEGER AS l2 UNION ALL SELECT unnest(['noise0', 'noise1', 'noise2']), 0, 0")
 def model_votes_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An L1 penalty leaves the noise no weight, and under an L2 penalty it lies below the mean."""
