@@ -36,8 +36,7 @@ def test_running_totals_in_ranges(spark):
 
 
 @pytest.mark.parametrize("held", [10_000, 50])
-def test_silhouette_against_all_distances(spark, monkeypatch, held):
-    monkeypatch.setattr(clusters, "HELD_ROWS", held)
+def test_silhouette_against_all_distances(spark, held):
     rng = np.random.default_rng(0)
     k = rng.integers(0, 3, 200)
     p = rng.standard_normal((200, 2)) + k[:, None]
@@ -51,5 +50,26 @@ def test_silhouette_against_all_distances(spark, monkeypatch, held):
         own, others = (k == k[i]).sum(), [d[i, k == c].mean() for c in range(4) if c != k[i]]
         a = d[i, k == k[i]].sum() / (own - 1) if own > 1 else None
         score.append((min(others) - a) / max(min(others), a) if a is not None else 0.0)
-    assert clusters.silhouette(df, "c", ["x", "y"], "i").first()[0] == pytest.approx(np.mean(score), abs=1e-9)
+    assert clusters.silhouette(df, "c", ["x", "y"], "i", held_rows=held).first()[0] == pytest.approx(np.mean(score), abs=1e-9)
     assert -1 <= clusters.squared_silhouette(df, "c", ["x", "y"]) <= 1
+
+
+def test_silhouette_leaves_far_clusters_out_and_rows_without_values(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(60, 3)) + 100 * i for i in range(6)] + [np.full((1, 3), -50.0)])
+    k = np.r_[np.repeat(np.arange(6), 60), 6]
+    sizes = np.bincount(k).astype(float)
+    centres = np.stack([x[k == c].mean(0) for c in range(7)])
+    spread = np.array([((x[k == c] - centres[c]) ** 2).sum(1).mean() for c in range(7)])
+    held = clusters._Held(k, x, centres, spread, sizes)
+    assert held.needs.sum(1).max() <= 3 and not held.needs[-1, 6]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    means = np.stack([d[:, k == c].sum(1) / (sizes[c] - (k == c)).clip(1) for c in range(7)], 1)
+    a = means[np.arange(len(k)), k]
+    means[np.arange(len(k)), k] = np.inf
+    b = means.min(1)
+    want = np.where(sizes[k] > 1, (b - a) / np.maximum(a, b), 0).mean()
+    rows = [(i, f"c{c}", *map(float, p)) for i, (c, p) in enumerate(zip(k.tolist(), x))] + [(900, None, 1.0, 1.0, 1.0), (901, "c1", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "i int, c string, x double, y double, z double").repartition(5)
+    for held_rows in (1000, 50):
+        assert clusters.silhouette(df, "c", ["x", "y", "z"], "i", held_rows=held_rows).first()[0] == pytest.approx(want, abs=1e-9)
