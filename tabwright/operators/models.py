@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators import clusters, stats
+from tabwright.operators import clusters, stats, trees
 from tabwright.operators.cleaning import aggregate
 from tabwright.operators.registry import load_object
 from tabwright.written import cut
@@ -282,7 +282,7 @@ def cross_validated_f1(df: DataFrame, cols: list[str], target: str, id_col: str,
     data, total = cut(folds(labelled(df, cols, target, True).select(id_col, target, *cols, "_label"), id_col, k, target)), 0.0
     data = assemble(data, cols)
     for i in range(k):
-        fitted = load_object(model, featuresCol="_features", labelCol="_label").fit(data.filter(F.col("_fold") != i))
+        fitted = trees.fit_classifier(data.filter(F.col("_fold") != i), model)
         total += stats.weighted_f1_by_prediction(fitted.transform(data.filter(F.col("_fold") == i)), "_label", "prediction").first()[0] or 0.0
     return total / k
 
@@ -314,14 +314,21 @@ def bayesian_search(score: Callable[[dict], float], bounds: dict[str, tuple[floa
     return [dict(zip(names, (lo + u * (hi - lo)).tolist())) | {"score": s} for u, s in zip(xs, ys)]
 
 
-def optimise_classifier(df: DataFrame, cols: list[str], target: str, id_col: str, kind: str = "RandomForestClassifier", bounds: dict[str, tuple[float, float]] | None = None, k: int = 3, **how) -> DataFrame:
-    """(trial, parameters, score, best) of a search over a tree model's parameters for the best cross-validated F1."""
+#: Parameters of a search that are whole numbers; the others are shares or penalties.
+_WHOLE = {"max_depth", "n_estimators", "min_samples_split", "min_samples_leaf"}
+
+
+def optimise_classifier(df: DataFrame, cols: list[str], target: str, id_col: str, kind: str = "RandomForestClassifier", bounds: dict[str, tuple[float, float]] | None = None, k: int = 3, fixed: dict | None = None, **how) -> DataFrame:
+    """(trial, parameters, score, best) of a search over a tree model's parameters for the best cross-validated F1.
+
+    ``bounds`` may name what ``trees.fit_classifier`` knows: max_depth, n_estimators, max_samples, max_features, min_samples_split, ccp_alpha;
+    ``fixed`` parameters hold in all trials, such as class_weight "balanced"."""
     bounds = bounds or {"max_depth": (2, 8), "n_estimators": (5, 40)}
-    whole = lambda p: {n: int(round(v)) for n, v in p.items()}
+    typed = lambda p: {n: int(round(v)) if n in _WHOLE else float(v) for n, v in p.items()}
     usable = {n: b for n, b in bounds.items() if kind != "DecisionTreeClassifier" or n != "n_estimators"}
-    trials = bayesian_search(lambda p: cross_validated_f1(df, cols, target, id_col, {"class": kind, "kwargs": whole(p) | {"random_state": 1}}, k), usable, **how)
+    trials = bayesian_search(lambda p: cross_validated_f1(df, cols, target, id_col, {"class": kind, "kwargs": typed(p) | {"random_state": 1} | (fixed or {})}, k), usable, **how)
     best = max(t["score"] for t in trials)
-    rows = [(i, {n: float(v) for n, v in whole({n: t[n] for n in usable}).items()}, t["score"], t["score"] == best) for i, t in enumerate(trials)]
+    rows = [(i, {n: float(v) for n, v in typed({n: t[n] for n in usable}).items()}, t["score"], t["score"] == best) for i, t in enumerate(trials)]
     return df.sparkSession.createDataFrame(rows, "trial int, parameters map<string,double>, score double, best boolean")
 
 

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.operators import models, stats
 from tabwright.operators.registry import load_object
-from tabwright.written import cut, own_dir
+from tabwright.operators.trees import boosted, tree_nodes
+from tabwright.written import cut
 
 #: Leaves that are broadcast at once: a forest of more of them passes the rows group by group of its trees. One tree fits the driver, which fitted it.
 GROUP_LEAVES = 50_000
@@ -34,32 +34,9 @@ class Leaf:
     shares: list[float] = field(default_factory=list)
 
 
-def tree_nodes(model) -> DataFrame:
-    """(tree, id, prediction, stats, left, right, feature, split, categories, weight) of a fitted tree, forest or boosted trees, from the files of the saved model."""
-    spark = SparkSession.active()
-    path = f"{own_dir(spark)}/model-{uuid.uuid4().hex}"
-    model.write().save(path)
-    data = spark.read.parquet(f"{path}/data")
-    if "nodeData" in data.columns:
-        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
-    else:
-        data = data.withColumn("tree", F.lit(0))
-    weights = [float(w) for w in getattr(model, "treeWeights", None) or [1.0]]
-    total = 1.0 if _boosted(model) else sum(weights)
-    weight = F.element_at(F.array(*[F.lit(w / total) for w in weights]), F.col("tree") + 1)
-    return data.select(
-        "tree", "id", "prediction", F.col("impurityStats").alias("stats"), F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), F.col("split.featureIndex").alias("feature"),
-        F.col("split.leftCategoriesOrThreshold").alias("split"), F.col("split.numCategories").alias("categories"), weight.alias("weight"),
-    )
-
-
-def _boosted(model) -> bool:
-    return type(model).__name__.startswith("GBT")
-
-
 def _classes(model) -> int:
     """Outputs of a model: a probability for each class, or one number (a regression's, or a boosted classifier's margin)."""
-    return 1 if _boosted(model) else getattr(model, "numClasses", 1)
+    return 1 if boosted(model) else getattr(model, "numClasses", 1)
 
 
 def leaves(nodes: list, classes: int) -> list[Leaf]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators import cleaning, models, stats
 from tabwright.operators.joins import join_rankings
+from tabwright.operators.neighbour_information import neighbour_information
 from tabwright.operators.outliers import outlier_detection
 
 
@@ -27,7 +28,9 @@ def model_input(raw: DataFrame, id_col: str, imputation: dict | None = None, dro
 
 
 def feature_selection(encoded: DataFrame, id_col: str, targets: dict[str, list[str]], params: dict) -> DataFrame:
-    """The final ranking: variance, pairwise filters and mutual information choose useful features; shadow features and models vote on all."""
+    """The final ranking: variance, pairwise filters and mutual information choose useful features; shadow features and models vote on all.
+
+    ``mutual_information`` may be "neighbours": the estimate by nearest neighbours for targets of classes, instead of counts of bins."""
     names = stats.business_targets(targets)
     features = [c for c in encoded.columns if c not in {id_col, *names}]
     varied = [c for c in stats.scaled_variance_filter(encoded, features, id_col, names, params.get("variance", 0.0)) if c not in {id_col, *names}]
@@ -40,7 +43,9 @@ def feature_selection(encoded: DataFrame, id_col: str, targets: dict[str, list[s
     pairwise = join_rankings("feature", *votes)
     methods = list(dict.fromkeys(h["corr_method"] for h in params["correlation_filters"].values()))
     kept = [r.feature for r in stats.filtered_pairwise(pairwise, targets, methods).orderBy("place").collect()]
-    tests = [stats.top_percent(stats.mutual_information(encoded, kept, t, classes=p == "classification_targets"), "mi", params.get("percentile_to_keep", 50), f"stat_test_mutual_info_tgt_{t}") for p, ts in targets.items() for t in ts] if kept else []
+    by_neighbours = params.get("mutual_information") == "neighbours"
+    information = lambda t, classes: neighbour_information(encoded, kept, t) if by_neighbours and classes else stats.mutual_information(encoded, kept, t, classes=classes)
+    tests = [stats.top_percent(information(t, p == "classification_targets"), "mi", params.get("percentile_to_keep", 50), f"stat_test_mutual_info_tgt_{t}") for p, ts in targets.items() for t in ts] if kept else []
     useful = [r.feature for r in stats.useful_features(join_rankings("feature", *tests)).collect()] if tests else kept
     more = []
     for problem, ts in targets.items():

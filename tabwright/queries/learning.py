@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators import cleaning, models, plots, shapley
+from tabwright.operators import cleaning, models, plots, shapley, trees
 from tabwright.plans import pipelines
 from tabwright.queries.base import master, query, rounded
 from tabwright.session import table
@@ -58,7 +58,7 @@ def clustering_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def bayesian_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.optimise_classifier(_numbers(spark, sf_dir), _COLS, "churn", "customer_id", "DecisionTreeClassifier", {"max_depth": (1, 5)})
+    return models.optimise_classifier(_numbers(spark, sf_dir), _COLS, "churn", "customer_id", "DecisionTreeClassifier", {"max_depth": (1, 5), "ccp_alpha": (0.0, 0.02)}, fixed={"class_weight": "balanced"})
 
 
 @query("""WITH b AS (SELECT min(l_quantity) AS a, max(l_quantity) AS z FROM lineitem), n AS (SELECT least(floor((l_quantity - a) / ((z - a) / 20)), 19)::INTEGER AS bin, count(*) AS n FROM lineitem, b GROUP BY 1)
@@ -162,6 +162,15 @@ def model_votes_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].join(both[1], "feature")
 
 
+@query("SELECT c_custkey AS customer_id, (c_acctbal > 4500)::INTEGER::DOUBLE AS prediction, 2::INTEGER AS leaves FROM customer")
+def pruned_tree_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the labels is wrong: a deep tree follows them, and pruning leaves the one split that tells the classes apart."""
+    df = _planted(spark, sf_dir).withColumn("a", F.col("y").cast("double")).withColumn("_label", F.when(F.col("customer_id") % 10 == 0, 1.0 - F.col("a")).otherwise(F.col("a")))
+    vectors = models.assemble(df, ["noise0", "a", "noise1", "noise2"])
+    fitted = trees.fit_classifier(vectors, {"class": "DecisionTreeClassifier", "kwargs": {"max_depth": 6, "ccp_alpha": 0.01, "class_weight": "balanced"}})
+    return fitted.transform(vectors).select("customer_id", "prediction", F.lit(fitted.tree.leaves).alias("leaves"))
+
+
 @query(f"SELECT fold::INTEGER AS fold, y, (n // 3 + (fold < n % 3)::INTEGER)::BIGINT AS n FROM (SELECT {_Y} AS y, count(*) AS n FROM customer GROUP BY 1), range(3) r(fold)")
 def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.folds(_planted(spark, sf_dir), "customer_id", 3, "y").groupBy(F.col("_fold").alias("fold"), "y").agg(F.count("*").alias("n"))

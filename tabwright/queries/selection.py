@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators import stats as S
+from tabwright.operators.neighbour_information import neighbour_information as nearest_information
 from tabwright.queries.base import MASTER_SQL, master, query, rounded
 from tabwright.session import table
 
@@ -146,3 +147,19 @@ def mutual_information(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mutual_information_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = rounded(S.mutual_information(table(spark, sf_dir, "lineitem"), _COLS, "l_returnflag"), 6)
     return S.top_percent(scores, "mi", 50, "stat_test_mi_tgt_flag")
+
+
+_PSI = "(list_sum(list_transform(range(1, {}), lambda i: 1.0 / i)) - 0.5772156649015329)"
+
+
+def _nearest(c: str) -> str:
+    return f"""SELECT '{c}' AS feature, round(greatest(0, {_PSI.format("max(t)")} + avg({_PSI.format("least(3, size - 1)")} - {_PSI.format("size")} - {_PSI.format("m")})), 6)::DOUBLE AS mi FROM
+  (SELECT i, size, t, CASE WHEN r > 0 THEN (SELECT count(*) FROM d b WHERE abs(b.{c} - n.x) < r) ELSE (SELECT count(*) FROM d b WHERE b.{c} = n.x) END AS m FROM
+    (SELECT a.i, any_value(a.{c}) AS x, any_value(a.size) AS size, any_value(a.t) AS t, list_sort(list(abs(a.{c} - b.{c})))[least(3, any_value(a.size) - 1)] AS r FROM d a JOIN d b ON a.y = b.y AND a.i <> b.i GROUP BY a.i) n)"""
+
+
+@query(f"""WITH e AS (SELECT c_custkey AS i, c_mktsegment AS y, c_acctbal, c_nationkey::DOUBLE AS c_nationkey, (c_custkey % 7 + length(c_mktsegment))::DOUBLE AS mixed, count(*) OVER (PARTITION BY c_mktsegment) AS size FROM customer),
+d AS (SELECT *, count(*) OVER () AS t FROM e WHERE size > 1) {_union([_nearest(c) for c in ("c_acctbal", "c_nationkey", "mixed")])}""")
+def neighbour_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "customer").withColumn("mixed", F.col("c_custkey") % 7 + F.length("c_mktsegment"))
+    return rounded(nearest_information(df, ["c_acctbal", "c_nationkey", "mixed"], "c_mktsegment"), 6)
