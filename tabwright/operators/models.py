@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators import clusters, stats, trees
+from tabwright.operators import clusters, stats, svd, trees
 from tabwright.operators.cleaning import aggregate
 from tabwright.operators.registry import load_object
 from tabwright.written import cut
@@ -53,10 +53,10 @@ def split_complete(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame
 
 
 def embed(df: DataFrame, groups: dict[str, dict], id_col: str) -> tuple[DataFrame, dict[str, float | None]]:
-    """For each group of columns the components of the model that it names (a feature step with an output column, PCA by default) as
+    """For each group of columns the components of the model that it names (PCA by default, TruncatedSVD, or a feature step with an output column) as
     ``component_i_name``, and the share of variance they explain, to 3 digits, or None if the model has no such share.
 
-    Columns are centred and scaled by the named scaler first (``StandardScaler`` or ``MinMaxScaler``); signs are arbitrary. Rows that lack
+    TruncatedSVD takes the scaled columns as they are, sparse where they are zero. Columns are centred and scaled by the named scaler first (``StandardScaler`` or ``MinMaxScaler``); signs are arbitrary. Rows that lack
     a column have null components."""
     explained = {}
     for name, how in groups.items():
@@ -65,13 +65,19 @@ def embed(df: DataFrame, groups: dict[str, dict], id_col: str) -> tuple[DataFram
         scaler = how.get("scaler") or {}
         kind = scaler.get("kind") or {"StandardScaler": "standard", "MinMaxScaler": "minmax"}[scaler.get("class", "StandardScaler").rpartition(".")[2]]
         whole, _ = split_complete(df.select(id_col, *cols), cols)
-        vectors = assemble(scale(whole, fit_scaler(whole, cols, kind)), cols)
-        step = load_object(params, inputCol="_features", outputCol="_embedded")
-        model = step.fit(vectors) if hasattr(step, "fit") else step
-        share = getattr(model, "explainedVariance", None)
-        explained[name] = None if share is None else round(float(sum(share)), 3)
-        parts, k = vector_to_array("_embedded"), params["kwargs"]["n_components"]
-        df = df.join(model.transform(vectors).select(id_col, *[parts[i].alias(f"component_{i}_{name}") for i in range(k)]), id_col, "left")
+        scaled, k = scale(whole, fit_scaler(whole, cols, kind)), params["kwargs"]["n_components"]
+        if params["class"].rpartition(".")[2] == "TruncatedSVD":
+            found, values, share = svd.truncated_svd(scaled, cols, k, "_embedded")
+            parts, k = F.col("_embedded"), len(values)
+        else:
+            vectors = assemble(scaled, cols)
+            step = load_object(params, inputCol="_features", outputCol="_embedded")
+            model = step.fit(vectors) if hasattr(step, "fit") else step
+            share = getattr(model, "explainedVariance", None)
+            share = None if share is None else float(sum(share))
+            found, parts = model.transform(vectors), vector_to_array("_embedded")
+        explained[name] = None if share is None else round(share, 3)
+        df = df.join(found.select(id_col, *[parts[i].alias(f"component_{i}_{name}") for i in range(k)]), id_col, "left")
     return df, explained
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators import cleaning, models, plots, shapley, trees
+from tabwright.operators import cleaning, models, plots, shapley, svd, trees
 from tabwright.plans import pipelines
 from tabwright.queries.base import master, query, rounded
 from tabwright.session import table
@@ -119,6 +119,18 @@ def pca_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("customer_id", F.abs("component_0_line").alias("size"), F.lit(explained["line"]).alias("explained")))
 
 
+@query("""WITH g AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_acctbal ELSE 0 END AS a, CASE WHEN c_custkey % 3 = 1 THEN c_acctbal ELSE 0 END AS b FROM customer),
+n AS (SELECT sqrt(10 * sum(a * a)) AS one, sqrt(sum(b * b)) AS two FROM g)
+SELECT c_custkey AS customer_id, round(sqrt(10.0) * abs(a), 4) AS first, round(abs(b), 4) AS second, round(one, 2) AS value_1, round(two, 2) AS value_2 FROM g, n""")
+def svd_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse columns a, 3 a and b that are never filled together: the components are the length of (a, 3 a) and b, up to signs."""
+    part = lambda i: F.when(F.col("customer_id") % 3 == i, F.col("signal")).otherwise(0.0)
+    df = _planted(spark, sf_dir).select("customer_id", part(0).alias("a"), (3 * part(0)).alias("c"), part(1).alias("b"), F.lit(0).alias("none"))
+    found, values, _ = svd.truncated_svd(df, ["a", "b", "none", "c"], 2)
+    out = [F.abs(F.col("components")[i]).alias(c) for i, c in enumerate(("first", "second"))]
+    return rounded(found.select("customer_id", *out)).withColumns({f"value_{i + 1}": F.round(F.lit(float(v)), 2) for i, v in enumerate(values)})
+
+
 @query("SELECT 'signal' AS feature, 1::INTEGER AS vote UNION ALL SELECT unnest(['noise0', 'noise1', 'noise2']), 0")
 def boruta_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     votes = models.boruta(_planted(spark, sf_dir), ["signal", *_NOISE], "y", 3)
