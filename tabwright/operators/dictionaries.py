@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.functions.numbers import enforce_schema
 from tabwright.operators.cleaning import deduplicate
+from tabwright.written import cut
 
 # Kinds of data and marks of the dictionaries.
 DATA_TYPES = ("int", "float", "bool", "str", "date", "timestamp")
@@ -253,18 +254,23 @@ class TagDict(_Keyed):
         return self
 
 
-def transitive_closure(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(a, b) for every tag reached from another over one edge or more, itself left out: joins by doubling path lengths until nothing is new."""
-    paths = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL").distinct().cache()
+def _reached(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b) for every tag reached from another, or from itself, over one edge or more: joins by doubling path lengths until nothing is new, each written."""
+    paths = cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL").distinct())
     n = paths.count()
     while True:
         longer = paths.join(paths.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
-        paths = paths.unionByName(longer).distinct().cache()
+        paths = cut(paths.unionByName(longer).distinct())
         if (m := paths.count()) == n:
-            return paths.filter("a <> b").select(F.col("a").alias(a), F.col("b").alias(b))
+            return paths
         n = m
 
 
+def transitive_closure(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b) for every tag reached from another over one edge or more, itself left out."""
+    return _reached(edges, a, b).filter("a <> b").select(F.col("a").alias(a), F.col("b").alias(b))
+
+
 def add_absent(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """New rows whose key is absent come below."""
     return table.unionByName(new.join(table.select(key), key, "left_anti"), allowMissingColumns=True)
@@ -285,3 +291,28 @@ def violations(df: DataFrame, required: list[str], unique: list[str], name: str,
     aggs += [F.count_if(~F.col(c).isin(*v) & F.col(c).isNotNull()).alias(f"unknown:{c}") for c, v in known.items()]
     one = df.agg(*aggs)
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("rule"), F.col(f"`{c}`").alias("n")) for c in one.columns])).alias("x")).select("x.*")
+
+
+def tag_dependencies(tags: DataFrame) -> DataFrame:
+    """(tag, dep): one row for each name in the comma lists of ``on_off_dependencies``."""
+    return tags.select("tag", F.explode(F.split("on_off_dependencies", ",")).alias("dep")).select("tag", F.trim("dep").alias("dep")).filter("dep <> ''")
+
+
+def tag_violations(tags: DataFrame) -> DataFrame:
+    """(rule, n): how often a tag table of any size breaks the rules of ``TagDict``, a job of joins and aggregates.
+
+    Nulls, illegal and unknown values as in ``violations``; surplus rows of a tag, and of a name, of one source; dependencies on tags that the table
+    lacks (``dep_unknown``) and on tags that aren't on_off (``dep_kind``, of a repeated tag the first kind by name); and tags that depend on
+    themselves over any number of others (``cycle``). A table without ``source`` has one source."""
+    if missing := [c for c in _TAG_REQUIRED if c not in tags.columns]:
+        raise TagDictError(f"columns are missing: {missing}")
+    tags = tags if "source" in tags.columns else tags.withColumn("source", F.lit(""))
+    rules = violations(tags, ["tag", "name", "tag_type", "data_type"], ["tag", "source"], "tag", {"tag_type": TAG_KINDS, "data_type": TAG_TYPES})
+    rules = rules.withColumn("rule", F.when(F.col("rule") == "surplus", "surplus:tag").otherwise(F.col("rule")))
+    names = tags.agg((F.count("*") - F.count_distinct(F.struct("name", "source"))).alias("n")).select(F.lit("surplus:name").alias("rule"), "n")
+    deps = cut(tag_dependencies(tags))
+    kinds = tags.filter("tag IS NOT NULL").groupBy(F.col("tag").alias("dep")).agg(F.min("tag_type").alias("kind"), F.lit(True).alias("there"))
+    met = deps.join(kinds, "dep", "left").agg(F.count_if(F.col("there").isNull()).alias("u"), F.count_if(F.col("there") & ~F.col("kind").eqNullSafe("on_off")).alias("k"))
+    of_deps = met.select(F.explode(F.array(F.struct(F.lit("dep_unknown").alias("rule"), F.col("u").alias("n")), F.struct(F.lit("dep_kind").alias("rule"), F.col("k").alias("n")))).alias("x")).select("x.*")
+    cycles = _reached(deps, "tag", "dep").filter("a = b").agg(F.count("*").alias("n")).select(F.lit("cycle").alias("rule"), "n")
+    return rules.unionByName(names).unionByName(of_deps).unionByName(cycles)

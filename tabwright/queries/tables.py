@@ -204,6 +204,26 @@ def dictionary_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.violations(p, ["p_name"], ["p_brand", "p_size"], "p_brand", {"p_type": (first,)})
 
 
+_TAGS = """WITH RECURSIVE t AS (SELECT 'tag ' || p_partkey AS tag, CASE WHEN p_partkey % 50 = 0 THEN NULL WHEN p_partkey % 60 = 1 THEN 'name, twice' ELSE 'name ' || p_partkey END AS name,
+  CASE WHEN p_partkey % 5 < 3 THEN 'on_off' WHEN p_partkey % 5 = 3 THEN 'input' ELSE 'odd' END AS kind,
+  CASE WHEN p_partkey % 4 = 0 THEN 'tag ' || (p_partkey // 2) || ', tag ' || (p_partkey + 1) WHEN p_partkey % 4 = 1 THEN ' tag ' || (p_partkey - 1) || ' ,' WHEN p_partkey % 4 = 2 THEN 'tag 0' END AS deps FROM part),
+d AS (SELECT tag, dep FROM (SELECT tag, trim(unnest(string_split(deps, ','))) AS dep FROM t) WHERE dep <> ''),
+r(tag, dep) AS (SELECT DISTINCT tag, dep FROM d UNION SELECT r.tag, d.dep FROM r JOIN d ON r.dep = d.tag)"""
+
+
+@query(f"""{_TAGS} SELECT unnest(['null:tag', 'null:name', 'null:tag_type', 'null:data_type', 'surplus:tag', 'surplus:name', 'illegal', 'unknown:tag_type', 'unknown:data_type', 'dep_unknown', 'dep_kind', 'cycle']) AS rule,
+unnest([0, (SELECT count(*) FROM t WHERE name IS NULL), 0, 0, 0, (SELECT count(*) - count(DISTINCT coalesce(name, '-')) FROM t), 0, (SELECT count(*) FROM t WHERE kind = 'odd'), 0,
+  (SELECT count(*) FROM d WHERE dep NOT IN (SELECT tag FROM t)), (SELECT count(*) FROM d JOIN t ON d.dep = t.tag WHERE kind <> 'on_off'), (SELECT count(*) FROM r WHERE tag = dep)]) AS n""")
+def tag_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    tag = lambda x: F.concat(F.lit("tag "), x.cast("string"))
+    deps = F.when(k % 4 == 0, F.concat(tag(F.expr("p_partkey div 2")), F.lit(", "), tag(k + 1))).when(k % 4 == 1, F.concat(F.lit(" "), tag(k - 1), F.lit(" ,"))).when(k % 4 == 2, "tag 0")
+    kind = F.when(k % 5 < 3, "on_off").when(k % 5 == 3, "input").otherwise("odd")
+    name = F.when(k % 50 == 0, F.lit(None).cast("string")).when(k % 60 == 1, "name, twice").otherwise(F.concat(F.lit("name "), k.cast("string")))
+    rest = [F.lit(v).alias(c) for c, v in (("data_type", "int64"), ("unit", "m"), ("range_min", 0), ("range_max", 1), ("derived", False))]
+    return D.tag_violations(table(spark, sf_dir, "part").select(tag(k).alias("tag"), name.alias("name"), kind.alias("tag_type"), deps.alias("on_off_dependencies"), *rest))
+
+
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey = 2 UNION ALL SELECT 100, 'ATLANTIS'")
 def add_absent_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = D.filter_rows(table(spark, sf_dir, "nation"), "n_regionkey", 2).select("n_nationkey", "n_name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions import numbers as N
@@ -83,13 +83,41 @@ def load_survey(spark: SparkSession, path: str, options: SurveyOptions, compile_
     return transform_survey(df, options)
 
 
+#: Boxes that go to the scan as filters of their own; of more, their common bounds do.
+FILTERED_BOXES = 64
+
+
+def _z_order(lon: Column, lat: Column) -> Column:
+    """A point's place on a curve that keeps neighbours together: the bits of both coordinates in turn, 16 of each."""
+
+    def spread(c: Column, low: float, width: float) -> Column:
+        x = F.least(F.greatest(F.floor((c.cast("double") - low) / width * 65_536), F.lit(0)), F.lit(65_535)).cast("bigint")
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+        return x
+
+    return spread(lon, -180.0, 360.0).bitwiseOR(F.shiftleft(spread(lat, -90.0, 180.0), 1))
+
+
+def save_pois(df: DataFrame, path: str, mode: str = "error", group_bytes: int = 8 << 20) -> None:
+    """Points (lon, lat, tags) as Parquet files along a Z-curve, so that the bounds which each row group states are those of a small area."""
+    ordered = df.withColumn("_z", _z_order(F.col("lon"), F.col("lat"))).repartitionByRange("_z").sortWithinPartitions("_z").drop("_z")
+    ordered.write.mode(mode).option("parquet.block.size", group_bytes).parquet(path)
+
+
 def load_pois(spark: SparkSession, path: str, boxes: dict[str, tuple[float, float, float, float]], tags: list[str] | None = None) -> DataFrame:
-    """Points (lon, lat, tags) within the boxes of cities, one below the other; overlapping boxes repeat points. The boxes reach the scan as filters."""
+    """Points (lon, lat, tags) within the boxes of cities; a point of overlapping boxes comes once for each.
+
+    One scan: the boxes reach it as filters, by which row groups are left out, and a point is exploded to the cities whose boxes it lies in."""
     df = spark.read.parquet(path)
     if tags:
         df = df.filter(reduce(lambda a, b: a | b, [F.col(t).isNotNull() for t in tags]))
-    parts = [df.filter(F.col("lon").between(b[0], b[2]) & F.col("lat").between(b[1], b[3])).withColumn("city", F.lit(city)) for city, b in boxes.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    inside = lambda b: F.col("lon").between(b[0], b[2]) & F.col("lat").between(b[1], b[3])
+    all_boxes = list(boxes.values())
+    bounds = [tuple(f(b[i] for b in all_boxes) for i, f in enumerate((min, min, max, max)))] if all_boxes else []
+    near = reduce(lambda a, b: a | b, [inside(b) for b in (all_boxes if len(all_boxes) <= FILTERED_BOXES else bounds)], F.lit(False))
+    cities = F.filter(F.array(*[F.when(inside(b), city) for city, b in boxes.items()]).cast("array<string>"), lambda c: c.isNotNull())
+    return df.filter(near).withColumn("city", F.explode(cities))
 
 
 def save(df: DataFrame, path: str, mode: str = "error") -> None:
