@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators import stats
+from tabwright.operators.ordering import numbered
 from tabwright.written import cut
 
 #: Neighbouring values that one task looks at, besides those on its borders.
@@ -21,21 +22,12 @@ def digamma(n: Column) -> Column:
     return series - sum((1 / (n.cast("double") + j) for j in range(8)), F.lit(0.0))
 
 
-def _numbered(values: DataFrame, *order: str) -> DataFrame:
-    """``values`` with ``_at``, their places from 0 in an order over all partitions, and written."""
-    placed = cut(values.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.monotonically_increasing_id()))
-    part = F.shiftright("_p", 33)
-    before = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # one row a partition
-    before = before.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    return placed.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("_at", F.col("_before") + F.col("_p").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_p", "_before")
-
-
 def _of_column(df: DataFrame, col: str, target: str, k: int, block: int) -> float | None:
     x = F.col(f"`{col}`").cast("double") + F.lit(0.0)  # one zero
     values = df.select(F.col(f"`{target}`").cast("string").alias("y"), x.alias("x")).filter("y IS NOT NULL AND x IS NOT NULL AND NOT isnan(x)").groupBy("y", "x").agg(F.count("*").alias("n"))
     values = cut(values)
     sizes = values.groupBy("y").agg(F.sum("n").alias("size")).filter("size > 1")
-    values = cut(_numbered(values.join(F.broadcast(sizes), "y"), "y", "x"))
+    values = cut(numbered(values.join(F.broadcast(sizes), "y"), "y", "x"))
     # --- k values to either side of each, in blocks with a border of k values
     at = F.col("_at")
     own = F.floor(at / block)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -13,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.operators.cleaning import aggregate
+from tabwright.operators.ordering import numbered
+from tabwright.written import cut
 
 
 def _d(c: str) -> Column:
@@ -112,73 +113,82 @@ def _corr(a: str, b: str) -> Column:
     return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
-#: Distinct pairs of values that one task of Kendall's tau puts in order, and ranges at most, whose counts by pair of ranges reach the driver.
-CELLS_A_RANGE, MOST_RANGES = 100_000, 300
+#: Distinct pairs of values that one task of Kendall's tau puts in order, and parts that a range is split into by one pass.
+CELLS_A_RANGE, PARTS = 100_000, 64
 
 
-def _concordance(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> float:
-    """Sum of n * m * sign * sign over all pairs of points (a, b) that stand for n rows each, by merge counting."""
-    order = np.lexsort((b, a))
-    a, b, n = a[order], np.unique(b[order], return_inverse=True)[1], n[order].astype(float)
+def _concordance(b: np.ndarray, n: np.ndarray) -> float:
+    """Sum over all pairs of n * m, negative where the later one has the smaller b, by merge counting; no two b are equal."""
+    b, n = np.argsort(np.argsort(b)), n.astype(float)
     at, total, width = np.arange(len(b)), 0.0, 1
     while width < len(b):
         group, right = at // (2 * width), at // width % 2 == 1
         order = np.lexsort((b, group))
-        g, v, w, r = group[order], b[order], n[order], right[order]
+        g, w, r = group[order], n[order], right[order]
         left = np.where(r, 0.0, w)
-        upto = np.r_[0.0, np.cumsum(left)]
+        upto = np.cumsum(left)
         start, end = np.searchsorted(g, g), np.searchsorted(g, g, side="right")
-        key = g * (int(b.max()) + 1) + v
-        less, more = upto[np.searchsorted(key, key)] - upto[start], upto[end] - upto[np.searchsorted(key, key, side="right")]
-        total += float((w * (less - more))[r].sum())
+        before = np.r_[0.0, upto]
+        total += float((w * (2 * before[at] - before[start] - before[end]))[r].sum())
         width *= 2
-    # pairs of equal a, in the order of b, were taken for concordant ones; so were none of equal b
-    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
-    same = np.add.reduceat(n, first) ** 2 - _squares_of_ties(a, b, n, first) if len(a) else np.zeros(0)
-    return total - float(same.sum()) / 2
+    return total
 
 
-def _squares_of_ties(a: np.ndarray, b: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """By run of equal a: the sum of squared weights of equal b."""
-    runs = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    squares = np.zeros(len(n))
-    squares[runs] = np.add.reduceat(n, runs) ** 2
-    return np.add.reduceat(squares, first)
+def _between_parts(part: np.ndarray, n: np.ndarray) -> float:
+    """Sum over all pairs, in order, of n * m: negative where the later one has the smaller part, and 0 within a part."""
+    total, n = 0.0, n.astype(float)
+    for p in np.unique(part):
+        before = np.cumsum(np.where(part < p, n, np.where(part > p, -n, 0.0)))
+        total += float((n * before)[part == p].sum())
+    return total
 
 
-def kendall(df: DataFrame, a: str, b: str, cells_a_range: int = CELLS_A_RANGE) -> float | None:
-    """Tau-b over any number of rows, from counts of distinct (a, b).
+def kendall(df: DataFrame, a: str, b: str, cells_a_range: int = CELLS_A_RANGE, parts: int = PARTS) -> float | None:
+    """Tau-b over any number of rows, from counts of distinct (a, b), with no more than ``cells_a_range`` of them in a task.
 
-    Both columns are cut into ranges at quantiles, which are ranges of their own, so that a value with very many partners needs no
-    ordering. Pairs within a range of a, and pairs of one range of b but different ones of a, are counted by merging in that range's task;
-    all others follow from the counts by pair of ranges.
+    Ties are broken at first, equal a by b and equal b by a: then a pair of either kind counts as concordant, and their number is taken off again,
+    from counts by value. In the order of a, ranges of ``cells_a_range`` are counted by merging, one to a task. Pairs of different ranges are
+    counted level by level, as deep as the ranges' number has digits to the base ``parts``: in the order of b, blocks of one task count pairs of
+    different digits among ranges that share the higher digits, and what blocks hold of each digit is added up from block to block.
     """
-    cells = df.select(_d(a).alias("a"), _d(b).alias("b")).na.drop().groupBy("a", "b").agg(F.count("*").alias("n"))
-    n_cells, n = cells.agg(F.count("*"), F.sum("n")).first()
+    cells = cut(df.select(_d(a).alias("a"), _d(b).alias("b")).na.drop().groupBy("a", "b").agg(F.count("*").alias("n")))
+    n_cells, n, squares = cells.agg(F.count("*"), F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
     if not n_cells:
         return None
-    ranges = min(MOST_RANGES, -(-n_cells // cells_a_range))
-    edges = [np.array(sorted(set(x)), float) for x in cells.approxQuantile(["a", "b"], [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))] if ranges > 1 else [np.zeros(0)] * 2
-    place = lambda v, e: 2 * np.searchsorted(e, v, side="left") + np.isin(v, e)  # noqa: E731  odd: an edge
-
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f.assign(x=place(f["a"].to_numpy(), edges[0]).astype("int32"), y=place(f["b"].to_numpy(), edges[1]).astype("int32"))
-
-    dealt = cells.mapInPandas(placed, "a double, b double, n bigint, x int, y int")
-    inside = lambda first, second: lambda f: pd.DataFrame({"s": [_concordance(f[first].to_numpy(), f[second].to_numpy(), f["n"].to_numpy())]})
-    parts = [dealt.filter("x % 2 = 0").groupBy("x").applyInPandas(inside("a", "b"), "s double")]
-    if ranges > 1:
-        parts.append(dealt.filter("y % 2 = 0").groupBy("y").applyInPandas(inside("x", "b"), "s double"))
-    s = reduce(DataFrame.unionByName, parts).agg(F.sum("s")).first()[0] or 0.0
-    m = np.zeros((2 * len(edges[0]) + 1, 2 * len(edges[1]) + 1))
-    for r in dealt.groupBy("x", "y").agg(F.sum("n").alias("n")).collect():
-        m[r["x"], r["y"]] = r["n"]
-    above = np.cumsum(m, 0) - m
-    below, whole = np.cumsum(above, 1) - above, above.sum(1, keepdims=True)
-    s += float((m * (2 * below + above - whole)).sum())
-    ties = [cells.groupBy(c).agg(F.sum("n").cast("double").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0] for c in ("a", "b")]
-    total = n * (n - 1) / 2
+    placed = cut(numbered(cells, "a", "b").withColumnRenamed("_at", "at").withColumn("leaf", F.expr(f"at div {cells_a_range}")))
+
+    def of_leaf(f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("at")
+        by_b = np.lexsort((f["at"].to_numpy(), f["b"].to_numpy()))
+        return pd.DataFrame({"s": [_concordance(np.argsort(by_b), f["n"].to_numpy())]})
+
+    s = placed.groupBy("leaf").applyInPandas(of_leaf, "s double").agg(F.sum("s")).first()[0]
+    leaves, width = -(-n_cells // cells_a_range), 1
+    while width < leaves:
+        group, part = F.expr(f"leaf div {width * parts}"), F.expr(f"leaf div {width} % {parts}").cast("int")
+        ordered = numbered(placed.select(group.alias("group"), part.alias("part"), "b", "at", "n"), "group", "b", "at")
+        blocks = ordered.withColumn("block", F.expr(f"_at div {cells_a_range}"))
+
+        def of_block(f: pd.DataFrame) -> pd.DataFrame:
+            f = f.sort_values("_at")
+            out = []
+            for g, own in f.groupby("group"):
+                p, w = own["part"].to_numpy(), own["n"].to_numpy()
+                out.append((g, own["block"].iloc[0], _between_parts(p, w), np.bincount(p, w, parts).tolist()))
+            return pd.DataFrame(out, columns=["group", "block", "s", "held"])
+
+        found = cut(blocks.select("group", "part", "n", "block", "_at").groupBy("block").applyInPandas(of_block, "group bigint, block bigint, s double, held array<double>"))
+        before = Window.partitionBy("group").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        held = [F.col("held")[i] for i in range(parts)]
+        sums = F.array(*[F.coalesce(F.sum(x).over(before), F.lit(0.0)) for x in held])
+        summed = found.withColumn("sums", sums).withColumn("total", F.aggregate("sums", F.lit(0.0), lambda t, x: t + x))
+        # of each digit: what earlier blocks hold of smaller digits less what they hold of larger ones
+        across = F.aggregate(F.zip_with("held", "sums", lambda h, x: F.struct(h.alias("h"), x.alias("x"))), F.struct(F.lit(0.0).alias("less"), F.lit(0.0).alias("s")), lambda t, e: F.struct((t.less + e.x).alias("less"), (t.s + e.h * (2 * t.less + e.x - F.col("total"))).alias("s")), lambda t: t.s)
+        s += summed.agg(F.sum(F.col("s") + across)).first()[0]
+        width *= parts
+    same = [cells.groupBy(c).agg(F.sum("n").cast("double").alias("t")).agg(F.sum(F.col("t") * F.col("t"))).first()[0] for c in ("a", "b")]
+    s -= sum((t - squares) / 2 for t in same)
+    total, ties = n * (n - 1) / 2, [(t - n) / 2 for t in same]
     spread = ((total - ties[0]) * (total - ties[1])) ** 0.5
     return s / spread if spread else None
 

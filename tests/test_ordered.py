@@ -9,9 +9,9 @@ import pytest
 from tabwright.operators import clusters, stats
 
 
-@pytest.mark.parametrize("cells", [100_000, 40])
+@pytest.mark.parametrize("cells,parts", [(100_000, 64), (40, 64), (10, 3)])
 @pytest.mark.parametrize("kind", ["ties", "hot", "none equal"])
-def test_kendall_against_all_pairs(spark, cells, kind):
+def test_kendall_against_all_pairs(spark, cells, parts, kind):
     rng = random.Random(3)
     draw = {"ties": lambda: (rng.randint(0, 9), rng.randint(0, 9)), "hot": lambda: (rng.choice([0, 0, rng.gauss(0, 1)]), rng.gauss(0, 1)), "none equal": lambda: (x := rng.random(), x * 0.5 + rng.random())}[kind]
     rows = [draw() for _ in range(300)]
@@ -19,7 +19,7 @@ def test_kendall_against_all_pairs(spark, cells, kind):
     sign = lambda x: (x > 0) - (x < 0)
     pairs = [(sign(c - a), sign(d - b)) for i, (a, b) in enumerate(rows) for c, d in rows[:i]]
     want = sum(x * y for x, y in pairs) / math.sqrt(sum(x != 0 for x, _ in pairs) * sum(y != 0 for _, y in pairs))
-    assert stats.kendall(df, "a", "b", cells) == pytest.approx(want, abs=1e-12)
+    assert stats.kendall(df, "a", "b", cells, parts) == pytest.approx(want, abs=1e-12)
     assert stats.correlation_pairs(df, ["a", "b"], lambda d, a, b: stats.kendall(d, a, b)).first()["r"] == pytest.approx(want)
 
 
