@@ -164,15 +164,26 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank F
 _TEMPLATES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licences.TEMPLATES.items())
 _GRAMS = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
 _ORACLES["op10_licence_dice"] = f"""
-WITH t AS (SELECT licence, {_GRAMS} AS g FROM (SELECT licence, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM (VALUES {_TEMPLATES}) v(licence, text))),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-k AS (SELECT *, regexp_matches(line, '[A-Za-z0-9]') AS has, sum(CASE WHEN regexp_matches(line, '[A-Za-z0-9]') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS part FROM l),
-u AS (SELECT doc_id, i AS line, 1 AS n_lines, line AS text FROM k UNION ALL
-  SELECT doc_id, min(i), count(*), string_agg(line, chr(10) ORDER BY i) FROM k WHERE has GROUP BY doc_id, part HAVING count(*) > 1),
-g AS (SELECT doc_id, line, n_lines, {_GRAMS} AS g FROM (SELECT doc_id, line, n_lines, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM u)),
-d AS (SELECT doc_id, line, n_lines, licence, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice
-  FROM g JOIN t ON len(g.g) > 0 AND 4 * len(g.g) <= 6 * len(t.g) AND 4 * len(t.g) <= 6 * len(g.g))
-SELECT doc_id, line::BIGINT AS line, n_lines::BIGINT AS n_lines, licence, round(dice, 6) AS dice FROM d WHERE dice >= 0.8"""
+WITH t AS (SELECT licence, len(w) AS words, {_GRAMS} AS g FROM (SELECT licence, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM (VALUES {_TEMPLATES}) v(licence, text))),
+d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents WHERE doc_id IS NOT NULL),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+k AS (SELECT *, regexp_matches(line, '[A-Za-z0-9]') AS has, sum(CASE WHEN regexp_matches(line, '[A-Za-z0-9]') THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS part FROM l),
+u AS (SELECT rid, doc_id, 'line' AS unit, i AS line, 1 AS n_lines, line AS text FROM k UNION ALL
+  SELECT rid, doc_id, 'paragraph', min(i), count(*), string_agg(line, chr(10) ORDER BY i) FROM k WHERE has GROUP BY rid, doc_id, part HAVING count(*) > 1),
+g AS (SELECT rid, doc_id, unit, line, n_lines, {_GRAMS} AS g FROM (SELECT rid, doc_id, unit, line, n_lines, regexp_extract_all({_LOWER.format("text")}, '[a-z0-9]+') AS w FROM u)),
+f AS (SELECT rid, doc_id, unit, line, n_lines, licence, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice
+  FROM g JOIN t ON len(g.g) > 0 AND 4 * len(g.g) <= 6 * len(t.g) AND 4 * len(t.g) <= 6 * len(g.g)),
+wl AS (SELECT rid, doc_id, i, unnest(regexp_extract_all({_LOWER.format("line")}, '[a-z0-9]+')) AS word, generate_subscripts(regexp_extract_all({_LOWER.format("line")}, '[a-z0-9]+'), 1) AS j FROM l),
+wd AS (SELECT rid, doc_id, list(word ORDER BY i, j) AS w, list(i ORDER BY i, j) AS ln FROM wl GROUP BY rid, doc_id HAVING count(*) > 1),
+wb AS (SELECT *, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) AS b FROM wd),
+wc AS (SELECT wb.*, licence, t.g, least(t.words, len(w)) AS n FROM wb JOIN t ON 3 * len(list_intersect(list_distinct(b), t.g)) >= 2 * len(t.g)),
+ws AS (SELECT rid, doc_id, licence, g, n, ln, b, unnest(range(1, len(w) - n + 2)) AS s FROM wc),
+wx AS (SELECT rid, doc_id, licence, n, ln, s, 2.0::DOUBLE * len(list_intersect(x, g)) / (len(x) + len(g)) AS dice FROM (SELECT *, list_distinct(b[s:s + n - 2]) AS x FROM ws)),
+wy AS (SELECT *, CASE WHEN 2 * (s - lag(s) OVER (PARTITION BY rid, licence ORDER BY s)) < n THEN 0 ELSE 1 END AS new FROM wx WHERE dice >= 0.8),
+wz AS (SELECT *, sum(new) OVER (PARTITION BY rid, licence ORDER BY s) AS run FROM wy),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid, licence, run ORDER BY dice DESC, s) AS r FROM wz)
+SELECT doc_id, unit, line::BIGINT AS line, n_lines::BIGINT AS n_lines, licence, round(dice, 6) AS dice FROM f WHERE dice >= 0.8
+UNION ALL SELECT doc_id, 'window', ln[s]::BIGINT, (ln[s + n - 1] - ln[s] + 1)::BIGINT, licence, round(dice, 6) FROM best WHERE r = 1"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
