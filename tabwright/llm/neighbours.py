@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import cut, map_arrow
 
 #: Projections (even), and points of a leaf.
-DIMS, LEAF = 16, 256
-#: Distinct vectors of a cell at most (about), queries of a block, and sampled vectors a cell that the top of the tree is fitted on.
-CELL_ROWS, QUERY_BLOCK, FIT_A_CELL = 131_072, 20_000, 64
-#: A true neighbour escapes the stopping test with at most one in twenty.
-CONFIDENCE = 0.95
+DIMS, LEAF = 32, 256
+#: Distinct vectors of a cell at most (about), queries of a block, and sampled vectors a cell that the top of the tree is fitted on, all of them at
+#: most FIT_MOST (32 MB), or four a cell if that is more.
+CELL_ROWS, QUERY_BLOCK, FIT_A_CELL, FIT_MOST = 131_072, 20_000, 64, 1 << 18
+#: A true neighbour escapes the stopping test with at most one in ten.
+CONFIDENCE = 0.9
 _BATCH, _PAIRS = 256, 1 << 20
 
 
@@ -300,7 +301,7 @@ def _search_all(points: DataFrame, members: DataFrame, width: int, k: int, dims:
             p = (_matrix(batch.column("vec"), width) @ r).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), dims).cast(pa.list_(pa.float32()))], ["p"])
 
-    sampled = map_arrow(classes.filter(F.pmod("key.a", F.lit(max(n, 1))) < FIT_A_CELL * cells).select("vec"), project, "p array<float>").toArrow() if cells > 1 else None
+    sampled = map_arrow(classes.filter(F.pmod("key.a", F.lit(max(n, 1))) < min(FIT_A_CELL * cells, max(FIT_MOST, 4 * cells))).select("vec"), project, "p array<float>").toArrow() if cells > 1 else None
     grid = Grid(_matrix(sampled.column("p").combine_chunks(), dims) if cells > 1 else np.zeros((0, dims)), cells, dims)
     run, groups = _searcher(width, r, k, stop), "g bigint, ask boolean, key struct<a:bigint,b:bigint>, ids array<bigint>, vec " + points.schema["vec"].dataType.simpleString() + ", bound double"
     results = f"{_KEY}, ids array<bigint>, own boolean, d double, bound double"
@@ -344,8 +345,8 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, dims: int = DIMS,
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id is divisible by ``every``, by Euclidean distance.
 
     Equal vectors are one point with its k + 1 smallest ids. The top of the kd-tree deals all vectors into cells, some 13 square roots of
-    their number and never over ``cell_rows`` each (a fuller cell is searched in chunks); it is fitted on FIT_A_CELL sampled vectors a
-    cell. A cell's task builds the rest of the tree. A query first searches its own cell; the distance reached there bounds the search of
+    their number and never over ``cell_rows`` each (a fuller cell is searched in chunks); it is fitted on a sample of FIT_A_CELL
+    vectors a cell, FIT_MOST in all. A cell's task builds the rest of the tree. A query first searches its own cell; the distance reached there bounds the search of
     every other cell whose box passes the chi-square test. A true neighbour fails the test with a probability of at most 1 - ``confidence``.
 
     Left out: vectors that are null, zero, or hold null, NaN or infinity, and rows without an id. Vectors of different lengths have no
