@@ -46,9 +46,13 @@ def to_ascii(c: Column | str) -> Column:
 def normalise(c: Column | str) -> Column:
     """Lower case, ASCII, separators to underscores, one trailing underscore dropped. A text with nothing that becomes an underscore is only lower-cased: its accents stay. Null stays null."""
     low = F.lower(_col(c))
-    joined = reduce(lambda x, mark: F.replace(x, F.lit(mark), F.lit("_")), TO_UNDERSCORE, to_ascii(low))
-    cut = F.regexp_replace(joined, "_$", "")
-    return F.when(F.contains(joined, F.lit("_")), F.translate(cut, ACCENTED, PLAIN)).otherwise(low)
+    # single marks and letters in one pass, then the few longer ones in their order; a mark never comes of a longer letter but ŉ
+    single = "".join(m for m in TO_UNDERSCORE if len(m) == 1)
+    ascii_ = F.translate(low, "".join(ASCII) + single, "".join(ASCII.values()) + "_" * len(single))
+    longer = [*((k, v.translate(str.maketrans(single, "_" * len(single)))) for k, v in _LONGER.items()), *((m, "_") for m in TO_UNDERSCORE if len(m) > 1)]
+    joined = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), longer, ascii_)
+    # one value of the whole chain, used twice
+    return F.transform(F.array(F.struct(joined.alias("j"), low.alias("low"))), lambda x: F.when(F.contains(x.j, F.lit("_")), F.translate(F.regexp_replace(x.j, "_$", ""), ACCENTED, PLAIN)).otherwise(x.low))[0]
 
 
 def standardise(c: Column | str) -> Column:
