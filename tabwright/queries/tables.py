@@ -292,11 +292,23 @@ def dictionary_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.deduplicate_by_dictionary(lines, _orders_dict(), ["o_custkey"], "last")
 
 
-@query("SELECT unnest(['feature', 'feature', 'feature', 'number', 'key', 'target', 'date', 'name']) AS mark, unnest(['o_custkey', 'o_totalprice', 'o_orderdate', 'o_totalprice', 'o_orderkey', 'o_orderstatus', NULL, 'o_custkey']) AS col")
+_NATIONS = """WITH d AS (SELECT n_name AS id, n_nationkey AS k, CASE WHEN n_nationkey % 4 <> 0 THEN lower(r_name) || ' ' || n_nationkey END AS business FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+
+
+@query(f"""{_NATIONS} SELECT 'feature' AS mark, id AS col FROM d WHERE k % 2 = 0 UNION ALL SELECT 'number', id FROM d WHERE k % 2 = 0 AND k % 3 < 2
+UNION ALL SELECT 'key', id FROM d WHERE k = 1 UNION ALL SELECT 'target', id FROM d WHERE k = 3 UNION ALL SELECT 'date', NULL UNION ALL SELECT 'name of ' || id, coalesce(business, id) FROM d
+UNION ALL SELECT 'late', id FROM d WHERE k > 20 UNION ALL SELECT 'odd', id FROM d WHERE k % 7 = 3""")
 def dictionary_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _orders_dict()
-    rows = [("feature", c) for c in d.features()] + [("number", c) for c in d.features(["float", "int"])] + [(m, d.variable(m)) for m in ("key", "target", "date")] + [("name", d.name("o_custkey"))]
-    return spark.createDataFrame(rows, "mark string, col string")
+    """A dictionary whose columns are the nations: features, marks, names and conditions."""
+    k = F.col("n_nationkey")
+    mark = lambda c: F.when(c, "Y").otherwise("N")
+    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.select(F.col("n_name").alias("column_id"), F.col("r_name").alias("feature_group"), F.when(k % 4 != 0, F.concat(F.lower("r_name"), F.lit(" "), k.cast("string"))).alias("business_name"),
+                       F.element_at(F.array(F.lit("int"), F.lit("Float"), F.lit("str")), k % 3 + 1).alias("data_type"), mark(k % 2 == 0).alias("uc:feature"), mark(k == 3).alias("uc:target"), mark(k == 1).alias("uc:key"), k.alias("place"))
+    d = D.create_data_dict(rows, {"use_case_id": "uc"})
+    found = [("feature", c) for c in d.features()] + [("number", c) for c in d.features(["float", "int"])] + [(m, d.variable(m)) for m in ("key", "target", "date")]
+    found += [(f"name of {c}", d.name(c)) for c in d.keys()] + [("late", c) for c in d.select("place", lambda v: v > 20)] + [("odd", c) for c in d.select("place", lambda v: v % 7 == 3)]
+    return spark.createDataFrame(found, "mark string, col string")
 
 
 @query("SELECT c_custkey, c_name, c_acctbal, s_name, s_acctbal FROM customer FULL JOIN (SELECT s_suppkey AS c_custkey, s_name, s_acctbal FROM supplier) USING (c_custkey)")
