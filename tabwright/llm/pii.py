@@ -60,8 +60,8 @@ def base_spans(text: str) -> list[Span]:
 
 
 # ---- the semi-Markov field ----
-#: Tokens of a segment and characters of a window at most: entities are bounded, and so is the work.
-MOST_TOKENS, MARGIN, MOST_WINDOW = 24, 60, 2_000
+#: Tokens of a segment at most, and characters of merged windows: entities are bounded, and so is the work.
+MOST_TOKENS, MOST_WINDOW = 24, 2_000
 #: Posterior probability from which a span is added; training texts, passes and seed.
 CERTAIN, EXAMPLES, PASSES, SEED = 0.5, 400, 60, 3
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_|[^\S\n]+|\n")
@@ -246,14 +246,27 @@ def train(examples: int = EXAMPLES, passes: int = PASSES, seed: int = SEED) -> d
     return {f: float(w[i]) for f, i in index.items()}
 
 
+def _margin(text: str, at: int, step: int) -> int:
+    """Where the MOST_TOKENS tokens before (``step`` -1) or after a place end: no segment that holds the place reaches farther."""
+    size = 8 * MOST_TOKENS
+    while True:
+        part = text[max(0, at - size) : at] if step < 0 else text[at : at + size]
+        found = tokens(part)
+        if len(found) > MOST_TOKENS:  # one more, as the farthest one may be cut
+            return at - len(part) + found[-MOST_TOKENS][0] if step < 0 else at + found[MOST_TOKENS - 1][1]
+        if len(part) < size:
+            return 0 if step < 0 else len(text)
+        size *= 4
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around triggers, MARGIN characters to both sides, merged where they meet.
+    """Stretches around triggers with as many tokens to both sides as a segment may have, merged where they meet.
 
-    A stretch that would be longer than MOST_WINDOW ends before the next trigger, and the next one begins MARGIN before that: spans that both
+    A stretch that would be longer than MOST_WINDOW ends before the next trigger, and the next one begins its margin before that: spans that both
     find count once."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+        a, b = _margin(text, m.start(), -1), _margin(text, m.end(), 1)
         if out and a <= out[-1][1] and b - out[-1][0] <= MOST_WINDOW:
             out[-1][1] = max(b, out[-1][1])
         else:

@@ -163,3 +163,14 @@ def test_a_span_does_not_need_unrelated_text():
     text = "write to john at example (dot) com"
     alone, beside = (pii.all_spans(t, pii.base_spans(t), pii.train()) for t in (text, text + " or any other of the words that stand here, far from the address itself and more than a margin away: x@"))
     assert alone and alone == beside
+
+
+def test_windows_never_cut_what_a_segment_may_hold():
+    long = "a" * 70
+    text = f"see {long} (at) example (dot) com"
+    assert pii.windows(text)[0][0] == 0
+    assert any(k == "email" and text[a:b].startswith(long) for k, a, b in pii.crf_spans(text, pii.train()))
+    far = "word " * 400 + "x" * 5000 + " @ " + "y" * 5000 + " word" * 400
+    (a, b), at = pii.windows(far)[0], far.index("@")
+    assert len(pii.tokens(far[a:at])) == pii.MOST_TOKENS == len(pii.tokens(far[at + 1 : b]))
+    assert pii.tokens(far[a:at])[0][1] in (1, 4) and pii.windows("") == [] and pii.windows("@") == [(0, 1)]
