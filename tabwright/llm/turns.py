@@ -129,7 +129,7 @@ def _batch(rows: list[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
 
 
 def _arrow(ddl: str) -> pa.Schema:
-    of = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
+    of = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string())}
     return pa.schema([(x.split()[0], of[x.split()[1]]) for x in ddl.split(", ")])
 
 
@@ -192,7 +192,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batch(out, schema)
 
 
-_EDITED = "conv_id bigint, pos bigint, sub int, edit string, role string, turn bigint, from_role string, h string"
+_EDITED = "conv_id bigint, pos bigint, sub int, edit string, role string, turn bigint, from_role string, h binary"
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,7 @@ def damage(rows: DataFrame, **columns: str) -> DataFrame:
 def _keyed(rows: DataFrame) -> DataFrame:
     """With the text's hash, by which equal texts are told, and what its end says."""
     bare = F.rtrim("text", F.lit(WHITE.decode()))
-    return rows.withColumn("h", F.md5(F.col("text").cast("binary"))).withColumn("blank", bare == "").withColumn("truncated", ~F.right(bare, F.lit(1)).isin(".", "!", "?"))
+    return rows.withColumn("h", F.unhex(F.md5(F.col("text").cast("binary")))).withColumn("blank", bare == "").withColumn("truncated", ~F.right(bare, F.lit(1)).isin(".", "!", "?"))
 
 
 def _same(*names: str) -> Column:
