@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.queries import base, clusters, functions, geo, learning, selection, tables  # noqa: F401  they register their queries
+from tabwright.queries import base, clusters, files, functions, geo, learning, selection, tables  # noqa: F401  they register their queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
