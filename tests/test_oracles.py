@@ -37,6 +37,6 @@ def test_query_against_sql(spark, duck, name):
     assert got == sorted(tuple(_norm(r[i]) for i in at) for r in want.fetchall())
 
 
-@pytest.mark.parametrize("name", ["kmeans_elbow", "pca_embedding", "forest_importances", "lasso_votes", "permutation_importances", "feature_selection"])
+@pytest.mark.parametrize("name", ["kmeans_elbow", "pca_embedding", "forest_importances", "lasso_votes", "permutation_importances", "shapley_importances", "feature_selection"])
 def test_fitted_queries_give_rows(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0
