@@ -132,17 +132,32 @@ def from_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc_ids, lengths.astype(np.int64), unpack(words, raw, word_at.astype(np.int64), n)
 
 
-class _Codes(dict):
-    """Piece -> number; unknown pieces get the next number and wait to be encoded."""
+class _Pieces:
+    """Distinct pieces of text in one Arrow array, and where each one's ids lie in the encoder's ``flat``.
+
+    Pieces are looked up by encoding them as a dictionary behind those known: the known ones keep their numbers and unknown ones come next,
+    so that only unknown pieces become Python strings."""
 
     def __init__(self):
-        super().__init__()
-        self.waiting: list[str | tuple[str]] = []
+        self.known = pa.array([], pa.string())
+        self.start, self.size, self.uses, self.mixed = (np.zeros(0, t) for t in (np.int32, np.int32, np.int32, bool))
+
+    def codes(self, pieces: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """(numbers, the unknown pieces); the caller has to ``add`` the latter."""
+        coded = pa.chunked_array([self.known, pieces]).dictionary_encode().chunks[-1]
+        fresh, self.known = coded.dictionary.slice(len(self.known)), coded.dictionary
+        codes = coded.indices.to_numpy()
+        used = np.bincount(codes, minlength=len(self.known)).astype(np.int32)
+        used[: len(self.uses)] += self.uses
+        self.uses = used
+        return codes, fresh
+
+    def add(self, start: np.ndarray, size: np.ndarray, mixed: np.ndarray) -> None:
+        self.start, self.size, self.mixed = (np.concatenate([x, y.astype(x.dtype)]) for x, y in ((self.start, start), (self.size, size), (self.mixed, mixed)))
 
-    def __missing__(self, piece: str | tuple[str]) -> int:
-        self[piece] = n = len(self)
-        self.waiting.append(piece)
-        return n
+    def keep(self, which: np.ndarray) -> None:
+        self.known = self.known.take(pa.array(which))
+        self.start, self.size, self.uses, self.mixed = self.start[which], self.size[which], self.uses[which] // 2, self.mixed[which]
 
 
 class ChunkEncoder:
@@ -156,8 +171,8 @@ class ChunkEncoder:
     """
 
     CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-    #: Distinct pieces kept, some 200 bytes each, and ids kept; pieces that go to the library at once.
-    MOST, MOST_IDS, JOINED = 600_000, 8_000_000, 20_000
+    #: Distinct pieces, bytes of them and ids kept from batch to batch; pieces that go to the library, and that are put together, at once.
+    MOST, MOST_BYTES, MOST_IDS, JOINED, TAKEN = 500_000, 16 << 20, 4_000_000, 20_000, 1 << 18
 
     def __init__(self, json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -169,8 +184,30 @@ class ChunkEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes, self.flat, self.n_flat, self.n = _Codes(), np.zeros(1 << 16, np.uint32), 0, 0
-        self.start, self.size, self.mixed = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32), np.zeros(1 << 14, bool)
+        """``pieces`` begin with a line feed and stand for themselves, or stand for a space and themselves; ``chunks`` all stand for themselves."""
+        self.pieces, self.chunks, self.flat, self.n_flat = _Pieces(), _Pieces(), np.zeros(1 << 16, np.uint32), 0
+
+    def _forget(self) -> None:
+        """Keep what has come more than once, if that is less than half; counts of uses are halved, so that the rest goes in time."""
+        n, size = len(self.pieces.known) + len(self.chunks.known), self.pieces.known.nbytes + self.chunks.known.nbytes
+        if n <= self.MOST and size <= self.MOST_BYTES and self.n_flat <= self.MOST_IDS:
+            return
+        kept = [(x, np.flatnonzero(x.uses > 1)) for x in (self.pieces, self.chunks)]
+        ids = sum(int(x.size[which].sum()) for x, which in kept)
+        if 2 * sum(len(which) for _, which in kept) > self.MOST or 2 * ids > self.MOST_IDS:
+            kept = [(x, np.flatnonzero(x.uses > 4)) for x, _ in kept]
+            ids = sum(int(x.size[which].sum()) for x, which in kept)
+        for x, which in kept:
+            x.keep(which)
+        if self.pieces.known.nbytes + self.chunks.known.nbytes > self.MOST_BYTES // 2 or 2 * len(self.pieces.known) + 2 * len(self.chunks.known) > self.MOST or 2 * ids > self.MOST_IDS:
+            self._clear()
+            return
+        flat, self.n_flat = [], 0
+        for x, _ in kept:
+            flat.append(self._take(x.start, x.size))
+            x.start = (self.n_flat + np.cumsum(x.size) - x.size).astype(np.int32)
+            self.n_flat += len(flat[-1])
+        self.flat = np.concatenate(flat)
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -186,45 +223,55 @@ class ChunkEncoder:
             return self._each(texts)
         return ids, np.diff(at + 1, prepend=0)
 
-    def _learn(self) -> None:
-        """A piece stands for itself if it is a tuple or begins with a line feed, else for a space and itself."""
-        waiting, self.codes.waiting = self.codes.waiting, []
-        single = isinstance(waiting[0], tuple)
-        bare = [p[0] for p in waiting] if single else [p[1:] if p[:1] == "\n" else p for p in waiting]
-        mixed = [not x or len(x.strip()) < len(x) for x in bare]  # white space may meet white space at an end of the piece
-        texts = bare if single else [p if p[:1] == "\n" else f" {p}" for p in waiting]
-        alone = range(len(waiting)) if single else [i for i, x in enumerate(mixed) if x]
-        plain = [] if single else [i for i, x in enumerate(mixed) if not x] if alone else range(len(waiting))
-        parts = [(alone, self._each)] if len(alone) else []
-        parts += [(plain[i : i + self.JOINED], self._joined) for i in range(0, len(plain), self.JOINED)]
-        while self.n + len(waiting) > len(self.start):
-            self.start, self.size, self.mixed = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size, self.mixed))
-        self.mixed[self.n : self.n + len(waiting)] = mixed
-        for which, how in parts:
-            ids, sizes = how([texts[i] for i in which])
-            while self.n_flat + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.n_flat : self.n_flat + len(ids)] = ids
-            codes = self.n + np.array(which)
-            self.start[codes], self.size[codes] = self.n_flat + np.cumsum(sizes) - sizes, sizes
-            self.n_flat += len(ids)
-        self.n += len(waiting)
-
-    def _known(self, pieces: list[str] | list[tuple[str]]) -> np.ndarray:
-        codes = np.fromiter(map(self.codes.__getitem__, pieces), np.int32, len(pieces))
-        if self.codes.waiting:
-            self._learn()
+    def _append(self, ids: np.ndarray) -> int:
+        at = self.n_flat
+        if at + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:at], np.zeros(max(at // 2, len(ids)), np.uint32)])
+        self.flat[at : at + len(ids)] = ids
+        self.n_flat += len(ids)
+        return at
+
+    def _learn(self, fresh: pa.Array, single: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, size, mixed) of pieces, or of chunks if ``single``."""
+        start, size, mixed = np.zeros(len(fresh), np.int32), np.zeros(len(fresh), np.int32), np.zeros(len(fresh), bool)
+        for first in range(0, len(fresh), self.JOINED):
+            some = fresh.slice(first, self.JOINED).to_pylist()
+            bare = some if single else [p[1:] if p[:1] == "\n" else p for p in some]
+            uneven = np.fromiter((not x or len(x.strip()) < len(x) for x in bare), bool, len(bare))  # white space may meet white space at an end
+            texts = some if single else [p if p[:1] == "\n" else f" {p}" for p in some]
+            alone = range(len(some)) if single else np.flatnonzero(uneven).tolist()
+            plain = [] if single else np.flatnonzero(~uneven).tolist()
+            mixed[first : first + len(some)] = uneven
+            for which, how in ((alone, self._each), (plain, self._joined)):
+                if len(which):
+                    ids, sizes = how([texts[i] for i in which])
+                    own = first + np.array(which)
+                    start[own], size[own] = self._append(ids) + np.cumsum(sizes) - sizes, sizes
+        return start, size, mixed
+
+    def _known(self, strings: pa.Array, single: bool) -> np.ndarray:
+        table = self.chunks if single else self.pieces
+        codes, fresh = table.codes(strings)
+        if len(fresh):
+            table.add(*self._learn(fresh, single))
         return codes
 
-    def _ids(self, codes: np.ndarray) -> np.ndarray:
-        sizes = self.size[codes]
-        ends = np.cumsum(sizes, dtype=np.int32)
-        return self.flat[np.repeat(self.start[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+    def _take(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The ids from each start on, so many pieces at a time that what is put together in between stays small."""
+        out, at = np.empty(int(size.sum(dtype=np.int64)), np.uint32), 0
+        for i in range(0, len(start), self.TAKEN):
+            some = size[i : i + self.TAKEN]
+            ends = np.cumsum(some)
+            n = int(ends[-1])
+            place = np.repeat(start[i : i + self.TAKEN] - (ends - some), some)
+            place += np.arange(n)
+            np.take(self.flat, place, out=out[at : at + n])
+            at += n
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in turn, as uint32, and how many each has; null is empty."""
-        if len(self.codes) > self.MOST or self.n_flat > self.MOST_IDS:
-            self._clear()
+        self._forget()
         texts = pc.fill_null(texts, "")
         holds = np.zeros(len(texts), bool)
         for token in self.added:
@@ -243,23 +290,32 @@ class ChunkEncoder:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         offsets = np.asarray(split.offsets).astype(np.int64) - split.offsets[0].as_py()
-        coded = split.flatten().dictionary_encode()
-        codes = self._known(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        flat = split.flatten()
         first = offsets[:-1]
-        codes[first] = self._known([(x,) for x in split.flatten().take(pa.array(first)).to_pylist()])
-        mixed = np.flatnonzero(np.logical_or.reduceat(self.mixed[codes], first)).tolist()
-        if mixed:
-            parts = np.split(codes, offsets[1:-1])
-            for i in mixed:
-                parts[i] = self._known([(c,) for c in self.CHUNK.findall(texts[i].as_py())])
-            codes = np.concatenate(parts)
-            offsets = np.r_[0, np.cumsum([len(p) for p in parts])]
-        upto = np.r_[0, np.cumsum(self.size[codes], dtype=np.int64)][offsets]
-        return self._ids(codes), np.diff(upto)
+        begins = flat.take(pa.array(first))
+        codes = self._known(flat, False)
+        del split, flat
+        start, size = self.pieces.start[codes], self.pieces.size[codes]
+        mixed = np.flatnonzero(np.logical_or.reduceat(self.pieces.mixed[codes], first))
+        found = [self.CHUNK.findall(x) for x in texts.take(pa.array(mixed)).to_pylist()]
+        chunks = self._known(pa.concat_arrays([begins, pa.array([c for x in found for c in x], pa.string())]), True)
+        start[first], size[first] = self.chunks.start[chunks[: len(first)]], self.chunks.size[chunks[: len(first)]]
+        if len(mixed):
+            own, counts = np.zeros(len(texts), bool), np.diff(offsets)
+            own[mixed] = True
+            other, chunks = ~np.repeat(own, counts), chunks[len(first) :]
+            counts[mixed] = [len(x) for x in found]
+            own = np.repeat(own, counts)
+            start, size, some, sizes = np.empty(len(own), np.int32), np.empty(len(own), np.int32), start, size
+            start[own], start[~own] = self.chunks.start[chunks], some[other]
+            size[own], size[~own] = self.chunks.size[chunks], sizes[other]
+            offsets = np.r_[0, np.cumsum(counts)]
+        upto = np.r_[0, np.cumsum(size, dtype=np.int64)][offsets]
+        return self._take(start, size), np.diff(upto)
 
 
 #: Rows and bytes of text that are encoded together at most, if no single batch has more: words that come again are looked up once.
-_TOGETHER_ROWS, _TOGETHER_BYTES = 8_000, 16 << 20
+_TOGETHER_ROWS, _TOGETHER_BYTES = 8_000, 8 << 20
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:

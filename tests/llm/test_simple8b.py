@@ -53,3 +53,46 @@ def test_summaries_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert encode_documents(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0
+
+
+def encoder():
+    from tabwright.llm.simple8b import ChunkEncoder
+
+    with open(PATH, encoding="utf-8") as f:
+        return ChunkEncoder(f.read())
+
+
+def made_up(n, seed):
+    rng = np.random.default_rng(seed)
+    return ["".join(x) for x in np.array(list("abdeiklnorstuz\u00e9\u00f1"))[rng.integers(0, 16, (n, 9))]]
+
+
+def test_known_pieces_take_little_memory():
+    import gc
+    import tracemalloc
+
+    import pyarrow as pa
+
+    e, texts = encoder(), pa.array([" ".join(["a", *made_up(1000, seed)]) for seed in range(100)])
+    gc.collect()
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    e.encode(texts)
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert kept < 90 * 100_000
+
+
+def test_what_came_often_stays_when_the_table_is_full():
+    import pyarrow as pa
+
+    e, often = encoder(), made_up(300, 1)
+    e.MOST = 1000
+    learnt = []
+    for seed in range(2, 12):
+        text = " ".join([*often, *made_up(400, seed), *often])
+        ids, sizes = e.encode(pa.array([text, None, "", " x  y"]))
+        assert ids.tolist() == plain(text)[:-1] + plain(" x  y")[:-1] and sizes.tolist()[1:3] == [0, 0]
+        learnt.append(set(e.pieces.known.to_pylist()))
+    assert all(set(often[1:]) <= x for x in learnt) and max(map(len, learnt)) < 2000
