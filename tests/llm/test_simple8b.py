@@ -96,3 +96,37 @@ def test_what_came_often_stays_when_the_table_is_full():
         assert ids.tolist() == plain(text)[:-1] + plain(" x  y")[:-1] and sizes.tolist()[1:3] == [0, 0]
         learnt.append(set(e.pieces.known.to_pylist()))
     assert all(set(often[1:]) <= x for x in learnt) and max(map(len, learnt)) < 2000
+
+
+WORDS = ["plain words. And, marks! here; there: so? end", "one\ntwo.\nthree, \u00e9cole ma\u00f1ana\nNI\u00d1O. \u043c\u0438\u0440", "a b. c!? d... it's x1 1x 'tis (so) \u4e2d\u6587. \u00d7\u00f7 \u00aa \u01c5.", "\nx.\n\ny. .\n.", "tab\there. line\r\nend.\x1c x.\x1f", "e\u0301t\u00e9. \u00ad\u00ada \u00ffy."]
+
+
+def test_words_with_marks_are_encoded_as_by_the_library():
+    import pyarrow as pa
+
+    texts = [*WORDS, *(" ".join(w + m for w, m in zip(made_up(500, seed), [".", ",", "", "?!", "\n", "\nx", "", ";"] * 63)) for seed in range(4))]
+    e = encoder()
+    for _ in range(2):
+        ids, sizes = e.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [plain(t)[:-1] for t in texts]
+
+
+def test_words_go_to_the_model_without_the_search_for_pre_tokens():
+    import pyarrow as pa
+
+    class Spy:
+        def __init__(self, inner):
+            self.inner, self.asked = inner, []
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.asked += texts
+            return self.inner.encode_batch_fast(texts, **options)
+
+    e = encoder()
+    e.tokenizer = Spy(e.tokenizer)
+    ids, _ = e.encode(pa.array(["plain words. And, marks!\nthe \u00e9cole; x1 words"]))
+    assert ids.tolist() == plain("plain words. And, marks!\nthe \u00e9cole; x1 words")[:-1]
+    assert sorted(x.strip() for x in e.tokenizer.asked) == ["plain", "x1"]  # a text's first chunk, and what isn't a word of letters
