@@ -33,14 +33,18 @@ def _trim() -> None:
 
 
 class _Released:
-    """A batch function whose task gives unused memory back at its end: workers live on from stage to stage."""
+    """A batch function whose task gives unused memory back at its end: workers live on from stage to stage. What tasks of another operator
+    have left in the worker goes before it begins, unless the function keeps things there itself."""
 
-    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], trims: bool):
-        self.f, self.trims = f, trims
+    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], trims: bool, keeps: bool, piece: int):
+        self.f, self.trims, self.keeps, self.piece = f, trims, keeps, piece
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if _cached and not self.keeps:
+            _cached.clear()
+            _trim()
         try:
-            yield from self.f(batches)
+            yield from self.f(pieces(batches, self.piece) if self.piece else batches)
         finally:
             if self.trims:
                 _trim()
@@ -48,15 +52,25 @@ class _Released:
                 pa.default_memory_pool().release_unused()
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, trims: bool = True) -> DataFrame:
+def pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """All rows of the batches in runs of about ``size`` bytes, one row at least; unused memory is given back after each."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(batch.nbytes, 1))
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+            _trim()
+
+
+def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, trims: bool = True, keeps: bool = False, piece: int = 0) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker. A function that keeps most
-    of its memory from task to task needn't give the rest back (``trims``).
+    of its memory from task to task needn't give the rest back (``trims``); one that calls ``worker_cache`` has to say so (``keeps``).
+    One that needs many times a batch's memory gets it in pieces of about so many bytes (``piece``), and no empty ones.
 
     Spark takes the bounds from the session as a plan begins to run, so they stay set there."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     _importable(df.sparkSession)
-    return df.mapInArrow(_Released(f, trims), schema)
+    return df.mapInArrow(_Released(f, trims, keeps, piece), schema)
 
 
 def _importable(spark: SparkSession) -> None:
@@ -70,7 +84,7 @@ _cached: dict[Hashable, Any] = {}
 
 
 def worker_cache(owner: Hashable, make: Callable[[], Any]) -> Any:
-    """What a Python worker keeps from task to task of one operator; a task of another operator drops it.
+    """What a Python worker keeps from task to task of one operator; the next task of another operator, cached or not, drops it.
 
     It has to be reached by a function of a module: a function inside another travels with copies of the globals it names."""
     if owner not in _cached:

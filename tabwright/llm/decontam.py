@@ -179,7 +179,7 @@ def windows(table: DataFrame, id_col: str, text_col: str = "text", size: int = 5
             yield pa.RecordBatch.from_arrays(columns, ["id", "text_key", "pos", "h", "slots", "n", "run"])
 
     rows = table.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id IS NOT NULL")
-    return map_arrow(rows, run, "id bigint, text_key bigint, pos bigint, h bigint, slots array<string>, n bigint, run int")
+    return map_arrow(rows, run, "id bigint, text_key bigint, pos bigint, h bigint, slots array<string>, n bigint, run int", keeps=True, piece=2 << 20)
 
 
 def consistent(matches: list[tuple[int, int, list[str], list[str]]]) -> tuple[set[int], bool, int]:

@@ -41,6 +41,8 @@ BUCKETS, SAMPLE_DOCS, PASSES = 1 << 20, 8_000, 200
 PREFIX, CHOSEN, LEAST_SHARE = 4, 256, 1 / 300
 #: Probability from which the scorer of given labels votes.
 CERTAIN = 0.6
+#: Bytes of rows whose words are looked at together: it takes some thirty times as much memory.
+_PIECE = 4 << 20
 _SHAPES = 13
 _EDGES = ".,;:!?\"'()[]{}*#%&$|"
 _PLAIN = r"^[\"'(\[«„“¿¡]?[\pL\pN][\pL\pM\pN'’.,:/%@+_-]*[!?…;]?[\"')\]»“”]?[.,;:]?$"
@@ -228,14 +230,19 @@ def fit_scorer(of: np.ndarray, bucket: np.ndarray, value: np.ndarray, target: np
 
 
 class Scorer:
+    """Softmax weights over hashed words and shapes, of which only the buckets that have any are kept: a scorer goes to every Python worker."""
+
     def __init__(self, weights: np.ndarray, buckets: int):
-        self.weights, self.buckets, self.among = weights, buckets, weights[:, :buckets].any(0)
+        self.buckets, self.chosen = buckets, np.flatnonzero(weights[:, :buckets].any(0))
+        self.hashed, self.shapes, self.bias = weights[:, self.chosen], weights[:, buckets : buckets + _SHAPES].copy(), weights[:, -1].copy()
 
     def __call__(self, words: Words, shapes: np.ndarray) -> np.ndarray:
         """(texts, classes) probabilities."""
-        of, bucket, value = words.features(self.buckets, self.among)
-        shapes = _scaled(shapes)
-        z = np.stack([np.bincount(of, w[bucket] * value, words.rows) + shapes @ w[self.buckets : self.buckets + _SHAPES] + w[-1] for w in self.weights], 1)
+        among = np.zeros(self.buckets, bool)
+        among[self.chosen] = True
+        of, bucket, value = words.features(self.buckets, among)
+        at, shapes = np.searchsorted(self.chosen, bucket), _scaled(shapes)
+        z = np.stack([np.bincount(of, w[at] * value, words.rows) + shapes @ s + b for w, s, b in zip(self.hashed, self.shapes, self.bias)], 1)
         z = np.exp(z - z.max(1, keepdims=True))
         return z / z.sum(1, keepdims=True)
 
@@ -275,7 +282,7 @@ class Sample:
 
     def __init__(self, rows: DataFrame, chosen: DataFrame, buckets: int, seed: int):
         texts = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("code").alias("code"))
-        found = map_arrow(texts.withColumn("fold", _fold(seed)), _features(buckets), "code bigint, fold int, buckets array<int>, vals array<float>").toArrow()
+        found = map_arrow(texts.withColumn("fold", _fold(seed)), _features(buckets), "code bigint, fold int, buckets array<int>, vals array<float>", piece=_PIECE).toArrow()
         self.buckets, self.code, self.fold = buckets, found.column("code").to_numpy(), found.column("fold").to_numpy()
         lists = [found.column(c).combine_chunks() for c in ("buckets", "vals")]
         self.size = pc.list_value_length(lists[0]).to_numpy() if len(found) else np.zeros(0, np.int64)
@@ -326,7 +333,7 @@ def votes(rows: DataFrame, told: list[Scorer] | None, seed: int) -> DataFrame:
                 code = np.column_stack([cast, last]) @ (4 ** np.arange(len(LABELLERS)))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(code.astype(np.int64))], ["doc_id", "code"])
 
-    return map_arrow(rows.withColumn("fold", _fold(seed + 1)), run, "doc_id bigint, code bigint")
+    return map_arrow(rows.withColumn("fold", _fold(seed + 1)), run, "doc_id bigint, code bigint", piece=_PIECE)
 
 
 def unpacked(codes: np.ndarray) -> np.ndarray:
@@ -374,16 +381,18 @@ def classify(docs: DataFrame, labels: DataFrame | None, id_col: str = "doc_id",
     """
     scorer = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text_col=text_col, **how)[0])
 
+    at = docs.columns.index(text_col) if dict(docs.dtypes).get(text_col) == "string" else None  # the text goes to the tasks once, in its row
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                words = Words(batch.column("text"))
+                words = Words(batch.column("text") if at is None else batch.column("row").field(at))
                 p = scorer.value(words, words.shapes())
                 yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(p[:, i]) for i in range(3)), pa.array((p[:, 0] >= 0.5) | (words.n == 0))], ["row", "p_good", "p_low", "p_toxic", "keep"])
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *([F.col(text_col).cast("string").alias("text")] if at is None else []))
     schema = T.StructType([rows.schema["row"], *(T.StructField(c, T.DoubleType()) for c in ("p_good", "p_low", "p_toxic")), T.StructField("keep", T.BooleanType())])
-    return map_arrow(rows, run, schema)
+    return map_arrow(rows, run, schema, piece=_PIECE)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame | None, **how) -> DataFrame:
