@@ -17,8 +17,9 @@ from tabwright.written import cut, own_dir, shared_dir  # noqa: F401  operators
 #: ASCII white space of the word and line rules: a space and \x09 to \x0D, which is also what ``bytes.split()`` splits at.
 WHITE = b" \t\n\x0b\x0c\r"
 
-#: Rows and bytes of an Arrow batch: the same for all operators, so that none changes the batches of another's lazy plan.
-BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+#: Rows and bytes of an Arrow batch: the same for all operators, so that none changes the batches of another's lazy plan. An executor's JVM
+#: holds a batch several times over outside its heap, in buffers of the next power of two, and its C library keeps most of what such buffers took.
+BATCH_ROWS, BATCH_BYTES = 2_000, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,13 +37,15 @@ class _Released:
     """A batch function whose task gives unused memory back at its end: workers live on from stage to stage. What tasks of another operator
     have left in the worker goes before it begins, unless the function keeps things there itself."""
 
-    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], trims: bool, keeps: bool, piece: int):
-        self.f, self.trims, self.keeps, self.piece = f, trims, keeps, piece
+    def __init__(self, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], trims: bool, keeps: bool, piece: int, together: int = 0):
+        self.f, self.trims, self.keeps, self.piece, self.together = f, trims, keeps, piece, together
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if _cached and not self.keeps:
             _cached.clear()
             _trim()
+        if self.together:
+            batches = gathered(batches, self.together)
         try:
             yield from self.f(pieces(batches, self.piece) if self.piece else batches)
         finally:
@@ -61,16 +64,32 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             _trim()
 
 
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, trims: bool = True, keeps: bool = False, piece: int = 0) -> DataFrame:
+def gathered(batches: Iterator[pa.RecordBatch], size: int, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """All rows in batches of up to ``size`` bytes and ``rows`` rows, if no batch that comes has more; none is empty."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and (sum(x.num_rows for x in held) + batch.num_rows > rows or sum(x.nbytes for x in held) + batch.nbytes > size):
+            yield pa.concat_batches(held)
+            held = []
+        if batch.num_rows:
+            held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def map_arrow(
+    df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, trims: bool = True, keeps: bool = False, piece: int = 0, together: int = 0
+) -> DataFrame:
     """``mapInArrow`` with batches bounded by bytes as well as rows, so that very long texts don't add up in a worker. A function that keeps most
     of its memory from task to task needn't give the rest back (``trims``); one that calls ``worker_cache`` has to say so (``keeps``).
-    One that needs many times a batch's memory gets it in pieces of about so many bytes (``piece``), and no empty ones.
+    One that needs many times a batch's memory gets it in pieces of about so many bytes (``piece``), and no empty ones. One whose results
+    are the fewer the more rows it sees at once gets batches put together up to so many bytes (``together``).
 
     Spark takes the bounds from the session as a plan begins to run, so they stay set there."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     _importable(df.sparkSession)
-    return df.mapInArrow(_Released(f, trims, keeps, piece), schema)
+    return df.mapInArrow(_Released(f, trims, keeps, piece, together), schema)
 
 
 def _importable(spark: SparkSession) -> None:
@@ -93,6 +112,11 @@ def worker_cache(owner: Hashable, make: Callable[[], Any]) -> Any:
     return _cached[owner]
 
 
+def small_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
+    """A table of what the driver has, as Arrow. Of a list of rows Spark would make one by Python workers with an environment of their own, beside the others."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def bytes_of(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """A binary column with null as empty."""
     return [x if x is not None else b"" for x in batch.column(name).to_pylist()]

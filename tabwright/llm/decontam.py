@@ -29,7 +29,7 @@ FILTER_BITS, BROADCAST_WINDOWS = 22, 200_000
 DRIFT = 8
 #: Words of the shortest item that is looked for.
 LEAST_WORDS = 3
-_MOST_WORDS, _BASE = 400_000, np.uint64(0x9E3779B97F4A7C15)
+_MOST_WORDS, _BASE = 150_000, np.uint64(0x9E3779B97F4A7C15)
 
 
 def _hash(canonical: str) -> int:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import cut, map_arrow
+from tabwright.llm.common import cut, map_arrow, small_table
 
 CLASSES = ("good", "low", "toxic")
 #: A labeller's vote: 0 abstains, else 1 + the class. Labellers of quality see no difference between good and toxic texts, those of insults none
@@ -364,7 +364,7 @@ def fit(docs: DataFrame, labels: DataFrame | None, buckets: int = BUCKETS, sampl
     every, codes, counts, posterior, p = label(docs, labels, buckets, sample_docs, seed, id_col, text_col)
     of_class = np.bincount(posterior.argmax(1), counts, len(CLASSES)) if len(codes) else np.zeros(len(CLASSES))
     share = np.minimum(1, sample_docs / len(CLASSES) / np.maximum(of_class, 1))[posterior.argmax(1)] if len(codes) else np.zeros(0)
-    shares = docs.sparkSession.createDataFrame(list(zip(codes.tolist(), share.tolist())), "code bigint, share double")
+    shares = small_table(docs.sparkSession, {"code": pa.array(codes, pa.int64()), "share": pa.array(share, pa.float64())})
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(seed + 2)), F.lit(1 << 30)) < F.col("share") * (1 << 30)
     chosen = every.filter("doc_id IS NOT NULL").join(F.broadcast(shares), "code").filter(drawn).groupBy("doc_id").agg(F.min("code").alias("code"))
     sample = Sample(_rows(docs, id_col, text_col), chosen, buckets, seed)

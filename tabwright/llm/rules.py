@@ -114,7 +114,7 @@ def word_lists(rows: DataFrame, given: DataFrame, list_docs: int = LIST_DOCS) ->
     told = rows.join(F.broadcast(chosen.select("doc_id", (F.col("code") > 1).alias("bad"))), "doc_id").filter(_half() == -1)
     sizes = {r.stratum: (r.bad, r.good) for r in told.groupBy("stratum").agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")).collect()}
     known = told.sparkSession.createDataFrame([(s, b, g) for s, (b, g) in sizes.items()], "stratum string, all_bad bigint, all_good bigint")
-    counts = map_arrow(told.select("stratum", "text", "bad"), _unit_counts, "stratum string, unit string, bad bigint, good bigint")
+    counts = map_arrow(told.select("stratum", "text", "bad"), _unit_counts, "stratum string, unit string, bad bigint, good bigint", together=16 << 20)
     counts = counts.groupBy("stratum", "unit").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).filter(F.col("bad") >= LISTED_DOCS).join(F.broadcast(known), "stratum")
     lift = (F.col("bad") / F.col("all_bad")) / ((F.col("good") + 1) / (F.col("all_good") + 1))
     listed = counts.filter((F.col("bad") >= LISTED_SHARE * F.col("all_bad")) & (lift >= LIFT)).select("stratum", "unit", F.log(lift).alias("weight"))

@@ -281,12 +281,15 @@ def similar_links(sets: list[np.ndarray], sketches: np.ndarray, least: float) ->
 
 def _exact(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [x for x in batches if x.num_rows]
-        if not got:
+        keys, near, sets = [], [], []
+        for x in batches:  # what is kept are copies: any part of a batch would keep all of it
+            keys.append(np.stack([x.column(k).to_numpy() for k in ("node", "tree")]))
+            near += x.column("sketch").to_pylist()
+            sets += [np.frombuffer(y, np.uint64) for y in x.column("shingles").to_pylist()]
+        if not sets:
             return
-        node, tree = (np.concatenate([x.column(k).to_numpy() for x in got]) for k in ("node", "tree"))
-        sketches = np.frombuffer(b"".join(y for x in got for y in x.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        sets = [np.frombuffer(y, np.uint64) for x in got for y in x.column("shingles").to_pylist()]
+        node, tree = np.concatenate(keys, axis=1)
+        sketches = np.frombuffer(b"".join(near), np.uint8).reshape(-1, SKETCH)
         order = np.lexsort((node, tree))
         for at in np.split(order, np.flatnonzero(np.diff(tree[order])) + 1):
             root = similar_links([sets[i] for i in at], sketches[at], least)

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import cut, map_arrow, own_dir, pieces, worker_cache
+from tabwright.llm.common import cut, gathered, map_arrow, own_dir, pieces, small_table, worker_cache
 
 #: Selector 1 to 15: how many values of how many bits share the 60 bits below the selector. Selector 0 is the escape: one value of any
 #: size, kept as a raw word.
@@ -381,15 +381,8 @@ _TOGETHER_ROWS, _TOGETHER_BYTES = 8_000, 3 << 20
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Array]]:
     """(doc_id, text) of some batches at a time."""
-    held, rows, size = [], 0, 0
-    for batch in pieces(batches, _TOGETHER_BYTES):
-        if held and (rows + batch.num_rows > _TOGETHER_ROWS or size + batch.nbytes > _TOGETHER_BYTES):
-            yield np.concatenate([x.column("doc_id").to_numpy() for x in held]), pa.concat_arrays([x.column("text") for x in held])
-            held, rows, size = [], 0, 0
-        if batch.num_rows:
-            held, rows, size = [*held, batch], rows + batch.num_rows, size + batch.nbytes
-    if held:
-        yield np.concatenate([x.column("doc_id").to_numpy() for x in held]), pa.concat_arrays([x.column("text") for x in held])
+    for batch in gathered(pieces(batches, _TOGETHER_BYTES), _TOGETHER_BYTES, _TOGETHER_ROWS):
+        yield batch.column("doc_id").to_numpy(), batch.column("text")
 
 
 def _encode(json, end_id: int, segment_ids: int):
@@ -447,11 +440,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with ``start``, the ids of all segments before: part totals are added up on the driver, one number a part."""
     found = spark.read.schema("part int, seq int, n_docs bigint, n_ids bigint, data binary").parquet(path)
     totals = found.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()
-    base, rows = 0, []
-    for r in totals:
-        rows.append((r.part, base))
-        base += r.n
-    bases = spark.createDataFrame(rows, "part int, base bigint")
+    base = np.cumsum([0, *(r.n for r in totals)])[:-1]
+    bases = small_table(spark, {"part": pa.array([r.part for r in totals], pa.int32()), "base": pa.array(base, pa.int64())})
     before = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     starts = found.select("part", "seq", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("within")).join(bases, "part")
     # written first, so that its size is known: while it is small the segments stay where they are

@@ -1,11 +1,12 @@
 """What a Python worker is given and keeps is bounded, whatever ran in it before and however large a batch is."""
 
 import pickle
+import weakref
 
 import numpy as np
 import pyarrow as pa
 
-from tabwright.llm import common, decontam, quality, simple8b
+from tabwright.llm import common, decontam, quality, simhash, simple8b
 
 
 def test_a_task_drops_what_another_operator_left():
@@ -54,3 +55,51 @@ def test_pieces_give_the_results_of_whole_batches(spark, monkeypatch):
     assert [t for _, x in merged for t in x.to_pylist()] == texts and np.concatenate([i for i, _ in merged]).tolist() == list(range(400))
     rows = decontam.windows(docs, "doc_id").select("id", "pos", "h").distinct().count()
     assert rows == decontam.windows(docs.repartition(7), "doc_id").select("id", "pos", "h").distinct().count() > 0
+
+
+def test_batches_of_long_texts_are_small(spark):
+    docs = spark.range(0, 1500, 1, 1).selectExpr("id AS doc_id", "repeat('some words ', 900) AS text")
+
+    def run(batches):
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.num_rows]), pa.array([x.nbytes])], ["rows", "size"])
+
+    found = common.map_arrow(docs, run, "rows bigint, size bigint").collect()
+    assert sum(r.rows for r in found) == 1500 and max(r.size for r in found) < 2 << 20
+    gathered = common.map_arrow(docs, run, "rows bigint, size bigint", together=6 << 20).collect()
+    assert sum(r.rows for r in gathered) == 1500 and len(gathered) < len(found) / 3 and max(r.size for r in gathered) <= 6 << 20
+
+
+def test_gathered_batches_lose_nothing():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array(["word " * (i % 50) for i in range(900)])], ["id", "text"])
+    small = [batch.slice(i, 30) for i in range(0, 900, 30)]
+    got = list(common.gathered(iter([batch.slice(0, 0), *small]), 20_000, 200))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches([batch]))
+    assert 3 < len(got) < len(small) and max(x.num_rows for x in got) <= 200 and max(x.nbytes for x in got) <= 20_000
+    assert [x.num_rows for x in common.gathered(iter([batch, batch]), 10)] == [900, 900] and not list(common.gathered(iter([]), 10))
+
+
+def test_small_tables_start_no_python_workers(spark):
+    table = common.small_table(spark, {"code": pa.array([3, 1], pa.int64()), "share": pa.array([0.5, 1.0])})
+    assert table.schema.simpleString() == "struct<code:bigint,share:double>" and sorted(map(tuple, table.collect())) == [(1, 1.0), (3, 0.5)]
+    assert not common.small_table(spark, {"code": pa.array([], pa.int64())}).collect()
+    assert "Python" not in table._jdf.queryExecution().toRdd().toDebugString()
+
+
+def test_the_exact_join_keeps_no_batches():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 60, 400, np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.r_[x[:380], rng.integers(0, 1 << 60, 5, np.uint64)]) for x in sets]
+    columns = [pa.array(range(80)), pa.array([i % 40 % 4 for i in range(80)]), pa.array([simhash.sketch(x) for x in sets]), pa.array([x.tobytes() for x in sets])]
+    batch, given, live = pa.RecordBatch.from_arrays(columns, ["node", "tree", "sketch", "shingles"]), [], []
+
+    def batches():
+        for i in range(0, 80, 8):
+            given.append(weakref.ref(x := pa.concat_batches([batch.slice(i, 8)])))
+            yield x
+            del x
+            live.append(sum(r() is not None for r in given))
+
+    out = list(simhash._exact(0.8)(batches()))
+    assert sorted(p for x in out for p in zip(*(c.to_pylist() for c in x.columns))) == [(i + 40, i) for i in range(40)] and max(live) <= 1
+    assert not list(simhash._exact(0.8)(iter([])))
