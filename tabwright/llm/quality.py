@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +46,60 @@ CERTAIN = 0.6
 _PIECE = 4 << 20
 _SHAPES = 13
 _EDGES = ".,;:!?\"'()[]{}*#%&$|"
+_COMMON_FORMS = [x + end for x in dict.fromkeys([*COMMON, *(x.capitalize() for x in COMMON)]) for end in ("", *".,;:!?")]
 _PLAIN = r"^[\"'(\[«„“¿¡]?[\pL\pN][\pL\pM\pN'’.,:/%@+_-]*[!?…;]?[\"')\]»“”]?[.,;:]?$"
 
+#: CRC-32 of single bytes, and the bytes of a word that are taken beside those of other words: longer ones are few.
+_CRC_OF_BYTE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    _CRC_OF_BYTE = np.where(_CRC_OF_BYTE & 1, (_CRC_OF_BYTE >> 1) ^ np.uint32(0xEDB88320), _CRC_OF_BYTE >> 1)
+_BESIDE = 64
+
+
+def _laid_out(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of words one behind the other."""
+    words = words.cast(pa.binary())
+    if not len(words):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, at, data = words.buffers()
+    at = np.frombuffer(at, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[at[0] : at[-1]], at - at[0]
+
+
+def crc32s(words: pa.Array, start: int = 0) -> np.ndarray:
+    """``zlib.crc32`` of each word, from ``start``: the first bytes of all words at once, then the second ones of those that have one, and so on."""
+    data, at = _laid_out(words)
+    sizes = np.minimum(np.diff(at), _BESIDE + 1)
+    order = np.argsort(-sizes.astype(np.int8), kind="stable")
+    begin, more = at[:-1][order], len(words) - np.cumsum(np.bincount(sizes, minlength=_BESIDE + 2))
+    crc = np.full(len(words), start ^ 0xFFFFFFFF, np.uint32)
+    for i, n in enumerate(more[: more.argmin()]):
+        crc[:n] = _CRC_OF_BYTE[(crc[:n] ^ data[begin[:n] + i]) & 255] ^ (crc[:n] >> 8)
+    out = np.empty(len(words), np.int64)
+    out[order] = crc ^ np.uint32(0xFFFFFFFF)
+    for i in order[: more[_BESIDE]]:
+        out[i] = zlib.crc32(data[at[i] : at[i + 1]], start)
+    return out
+
+
+def characters(words: pa.Array, *patterns: str) -> list[np.ndarray]:
+    """How many characters of each word match each pattern of one character, which is tried once on each different character."""
+    data, _ = _laid_out(words)
+    try:
+        points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    except UnicodeDecodeError:  # bytes that only Arrow takes for characters
+        return [pc.count_substring_regex(words, x).to_numpy() for x in patterns]
+    known = np.zeros(points.max(initial=0) + 1, bool)
+    known[points] = True
+    different = np.flatnonzero(known)
+    texts = pa.array([chr(x).encode("utf-8", "surrogatepass") for x in different], pa.binary()).view(pa.string())
+    at, counts = np.r_[0, np.cumsum(pc.utf8_length(words).to_numpy(), dtype=np.int64)], []
+    for x in patterns:
+        known[different] = pc.count_substring_regex(texts, x).to_numpy() > 0
+        total = np.r_[0, np.cumsum(known[points], dtype=np.int32)]
+        counts.append(total[at[1:]] - total[at[:-1]])
+    return counts
+
 
 class Words:
     """The white-space words of a batch of texts: coded, with their text, and sums over each text."""
@@ -64,7 +117,7 @@ class Words:
 
     def share(self, of_word: np.ndarray) -> np.ndarray:
         """Mean over each text's words; 0 for none."""
-        return np.bincount(self.of, of_word[self.codes].astype(np.float64), self.rows) / np.maximum(self.n, 1)
+        return np.bincount(self.of, of_word.astype(np.float64)[self.codes], self.rows) / np.maximum(self.n, 1)
 
     def shapes(self) -> np.ndarray:
         """(texts, 13): shares of symbol words, capitals, doubled exclamation marks, repeats and table cells; mean length; shares of sentence
@@ -72,18 +125,17 @@ class Words:
         w = self.words
         flag = lambda x: pc.fill_null(x, False).to_numpy(zero_copy_only=False)
         lengths = pc.utf8_length(w).to_numpy()
-        bare, stem = pc.utf8_trim(pc.utf8_lower(w), characters=_EDGES), pc.replace_substring_regex(w, r"[.,;:!?]$", "")
         repeats = np.zeros(len(self.codes))
         if len(self.codes) > 1:
             repeats[1:] = (self.codes[1:] == self.codes[:-1]) & (self.of[1:] == self.of[:-1])
-        letters, uppers = (pc.count_substring_regex(w, x).to_numpy().astype(float) for x in (r"\pL", r"\p{Lu}"))
+        letters, uppers = characters(w, r"\pL", r"\p{Lu}")
         pair, n = np.unique(self.of * np.int64(len(w) + 1) + self.codes, return_counts=True)
         first = np.searchsorted(pair, np.arange(self.rows) * np.int64(len(w) + 1))
         most = np.maximum.reduceat(np.r_[n, 0], first) * (self.n > 0) if self.rows else np.zeros(0)
         new = np.flatnonzero(repeats == 0)
-        run = np.zeros(self.rows)
-        np.maximum.at(run, self.of[new], np.diff(np.r_[new, len(repeats)]))
-        insult = flag(pc.is_in(bare, value_set=pa.array(INSULTS)))
+        first = np.searchsorted(self.of[new], np.arange(self.rows))
+        run = np.maximum.reduceat(np.r_[np.diff(np.r_[new, len(repeats)]), 0], first) * (self.n > 0) if self.rows else np.zeros(0)
+        insult = flag(pc.is_in(self.bare, value_set=pa.array(INSULTS)))
         return np.column_stack([
             self.share(flag(pc.match_substring_regex(w, r"[%$#&*^~<>{}=\\]{2}"))),
             self.share(flag(pc.utf8_is_upper(w)) & (lengths > 1)),
@@ -93,7 +145,7 @@ class Words:
             self.share(lengths),
             self.share(flag(pc.match_substring_regex(w, r"[.!?][\"')]?$"))),
             self.share(insult),
-            self.share(flag(pc.is_in(stem, value_set=pa.array([*COMMON, *(x.capitalize() for x in COMMON)])))),
+            self.share(flag(pc.is_in(w, value_set=pa.array(_COMMON_FORMS)))),
             self.share(~flag(pc.match_substring_regex(w, _PLAIN))),
             self.share(uppers) / np.maximum(self.share(letters), 1e-9),
             most / np.maximum(self.n, 1),
@@ -102,17 +154,27 @@ class Words:
 
     def different(self, among: list[str]) -> np.ndarray:
         """How many different words of ``among`` each text has."""
-        at = pc.fill_null(pc.index_in(pc.utf8_trim(pc.utf8_lower(self.words), characters=_EDGES), value_set=pa.array(among)), len(among)).to_numpy()[self.codes]
+        at = pc.fill_null(pc.index_in(self.bare, value_set=pa.array(among)), len(among)).to_numpy()[self.codes]
         pair = np.unique(self.of[at < len(among)] * np.int64(len(among)) + at[at < len(among)])
         return np.bincount(pair // len(among), minlength=self.rows)
 
+    @cached_property
+    def bare(self) -> pa.Array:
+        """Lower-case words without punctuation around them."""
+        return pc.utf8_trim(pc.utf8_lower(self.words), characters=_EDGES)
+
+    @cached_property
+    def hashes(self) -> list[np.ndarray]:
+        """CRC-32 of each bare word, and of its first PREFIX letters, of which few are different: taken once for all scorers."""
+        begin = pc.utf8_slice_codeunits(self.bare, 0, PREFIX).dictionary_encode()
+        return [crc32s(self.bare), crc32s(begin.dictionary, 1)[begin.indices.to_numpy()]]
+
     def features(self, buckets: int, among: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, bucket, value) of the hashed words, without punctuation around them, and of their first PREFIX letters; n of a kind have
         1 - 2 ** -n, so that two or three say nearly as much as many, in a text of any length. ``among``: flags of the buckets to take."""
-        bare = pc.utf8_trim(pc.utf8_lower(self.words), characters=_EDGES)
         pairs = []
-        for salt, kind in ((0, bare), (1, pc.utf8_slice_codeunits(bare, 0, PREFIX))):
-            bucket = np.fromiter((zlib.crc32(x, salt) for x in kind.cast(pa.binary()).to_pylist()), np.int64, len(kind)) & (buckets - 1)
+        for hashed in self.hashes:
+            bucket = hashed & (buckets - 1)
             at = slice(None) if among is None else np.flatnonzero(among[bucket][self.codes])
             pairs.append(self.of[at] * np.int64(buckets) + bucket[self.codes[at]])
         pair, n = np.unique(np.concatenate(pairs), return_counts=True)

@@ -1,6 +1,8 @@
 import itertools
 import random
 import re
+import unicodedata
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -53,6 +55,40 @@ def test_shapes_against_brute_force():
     assert Words(pa.array([], pa.string())).shapes().shape == (0, 13)
 
 
+ODD_WORDS = [None, "", "a", "été", "x" * 63, "y" * 64, "z" * 65, "é" * 900, "A\x00b", "中文字", "𝔘ni🎉", "ǅⅧªº", "THE,", "%$#"]
+
+
+def test_hashes_and_characters_of_whole_columns():
+    """Side by side, sliced and of any length, words have the CRC-32 and the letters that they have one by one."""
+    rng = random.Random(4)
+    words = pa.array([x or "" for x in ODD_WORDS] + ["".join(rng.choices("aZéß.中𝔘", k=rng.randrange(80))) for _ in range(500)])
+    for w in (words, words.slice(5, 300), words[:0], pa.array(["", ""])):
+        for start in (0, 1):
+            assert quality.crc32s(w, start).tolist() == [zlib.crc32(x.encode(), start) for x in w.to_pylist()]
+        letters, uppers = quality.characters(w, r"\pL", r"\p{Lu}")
+        assert letters.tolist() == [sum(unicodedata.category(c)[0] == "L" for c in x) for x in w.to_pylist()]
+        assert uppers.tolist() == [sum(unicodedata.category(c) == "Lu" for c in x) for x in w.to_pylist()]
+    not_utf8 = pa.array([b"A\xc0\x80b", b"C"], pa.binary()).view(pa.string())
+    assert [x.tolist() for x in quality.characters(not_utf8, r"\pL", r"\p{Lu}")] == [[2, 1], [1, 1]]
+
+
+def test_words_are_hashed_once_and_not_one_by_one(monkeypatch):
+    """Both scorers of given labels take the same hashes of a batch, and only words too long to lie beside others are hashed alone."""
+    calls, columns = [], []
+    one, many = zlib.crc32, quality.crc32s
+    monkeypatch.setattr(quality.zlib, "crc32", lambda *x: calls.append(x) or one(*x))
+    monkeypatch.setattr(quality, "crc32s", lambda *x: columns.append(x) or many(*x), raising=False)
+    words = Words(pa.array([" ".join([*VOCAB, "é" * 900]), "Para, para. PARA"]))
+    scorer = quality.Scorer(np.ones((3, (1 << 10) + quality._SHAPES + 1)), 1 << 10)
+    assert (scorer(words, words.shapes()) == scorer(words, words.shapes())).all()
+    assert len(calls) == 1 and len(columns) == 2
+    of, bucket, value = words.features(1 << 10)
+    want = Counter()
+    for i, text in enumerate((" ".join([*VOCAB, "é" * 900]), "para para para")):
+        want.update((i, one(x.encode(), s) & 1023) for w in text.split() for s, x in ((0, w), (1, w[: quality.PREFIX])))
+    assert dict(zip(zip(of.tolist(), bucket.tolist()), value.tolist())) == {k: 1 - 0.5**n for k, n in want.items()}
+
+
 def test_em_finds_accuracies():
     """Votes drawn with known accuracies, on kinds that each labeller can or can't tell apart."""
     rng = np.random.default_rng(1)
