@@ -89,4 +89,5 @@ def relative_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT cluster, string_agg(printf(E'\\n - This cluster belongs to %s quantile of the %s variable with a mean value of %.2f, deviation from the mean of %.1f%%, a median of %.2f  and a standard deviation of %.2f', quantile, feature, round_even(mean, 2), round_even(relative_difference, 1), round_even(median, 2), round_even(std, 2)), '' ORDER BY feature) || E'\\n' AS summary
 FROM ({_TABLE}) GROUP BY cluster""")
 def text_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.text_summary(rounded(K.cluster_table(table(spark, sf_dir, "customer"), "c_mktsegment", list(_COLS))))
+    # a deviation that rounds to zero from below keeps its sign in the sentence
+    return K.text_summary(rounded(K.cluster_table(table(spark, sf_dir, "customer"), "c_mktsegment", list(_COLS)), but=("relative_difference",)))
