@@ -127,6 +127,12 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).filter("doc_id IS NOT NULL")
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """A side of a join whose rows grow with the input: sorted and merged. Spark would go by the size of written files, which may be a tenth or
+    a hundredth of that of their rows, and broadcast them through the driver."""
+    return df.hint("merge")
+
+
 #: Parts that a node's neighbours are dealt into, in the joins of ``components``.
 _SALTS = 16
 
@@ -136,7 +142,7 @@ def _with_least(edges: DataFrame) -> DataFrame:
     the neighbours, so that a hub's edges don't meet in one task."""
     salt = F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int")
     least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    return edges.withColumn("s", salt).join(least, ["u", "s"]).drop("s")
+    return edges.withColumn("s", salt).join(merged(least), ["u", "s"]).drop("s")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import bytes_of, components, cut, map_arrow, texts
+from tabwright.llm.common import bytes_of, components, cut, map_arrow, merged, texts
 
 #: Fingerprints of one trie partition, and of one chunk of a top node that holds very many.
 PARTITION_ROWS, CHUNK_ROWS = 1_000_000, 20_000
@@ -212,7 +212,7 @@ def trie_self_join(classes: DataFrame, budget: int = 2, chunk_rows: int = CHUNK_
     rots = [F.struct(F.lit(r).alias("r"), (F.shiftleft("fp", s).bitwiseOR(F.shiftrightunsigned("fp", 64 - s)) if s else F.col("fp")).alias("rot")) for r, s in enumerate(top * k for k in range(budget + 1))]
     keyed = classes.select("node", "sketch", F.explode(F.array(*rots)).alias("x")).select("node", "sketch", "x.r", "x.rot").withColumn("head", F.shiftrightunsigned("rot", 64 - top))
     counts = keyed.groupBy("r", "head").agg(F.count("*").alias("n")).filter("n > 1")
-    keyed = keyed.join(counts, ["r", "head"]).withColumn("k", F.ceil(F.col("n") / chunk_rows).cast("int"))
+    keyed = keyed.join(merged(counts), ["r", "head"]).withColumn("k", F.ceil(F.col("n") / chunk_rows).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     pairs = F.when(F.col("k") == 1, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda j: F.least(j, own) * F.col("k") + F.greatest(j, own)))
     dealt = keyed.select("node", "sketch", "rot", "r", "head", F.explode(pairs).alias("c")).withColumn("tree", F.xxhash64("r", "head", "c"))
@@ -363,8 +363,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, budget: int = 2, id_col: st
     fps = cut(fingerprints(docs, words, id_col, text_col))
     classes = cut(fps.groupBy("fp").agg(F.min(F.struct("doc_id", "sketch")).alias("x")).select(F.col("x.doc_id").alias("node"), "x.sketch", "fp"))
     roots = components(trie_self_join(classes, budget, chunk_rows))
-    named = classes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = classes.join(merged(roots), "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    return fps.join(merged(named), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from tabwright.llm.common import components
-from tabwright.llm.simhash import keep_first, near_duplicates, similarity, simhash, sketch, trie_links
+from tabwright.llm.common import _with_least, components, cut
+from tabwright.llm.simhash import keep_first, near_duplicates, similarity, simhash, sketch, trie_links, trie_self_join
 
 
 def brute_fp(text):
@@ -128,3 +128,15 @@ def test_all_pairs_at_the_threshold_link_exactly(spark, chunk):
     got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=5, budget=6, least=0.8, chunk_rows=chunk).collect()}
     assert 15 < len(near) < 55 and {2 * g for g in range(60) if got[2 * g + 1] == 2 * g} == near
     assert {got[1000 + k] for k in range(20)} == {1000}
+
+
+def test_nothing_that_grows_is_broadcast(spark, tmp_path):
+    """Written tables are compressed many times over: by their files' size Spark broadcast them."""
+    df = spark.createDataFrame([(i, f"some words of text number {i % 40} and {i % 3}") for i in range(200)], "doc_id long, text string")
+    planned = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    edges = cut(spark.range(1, 5000).selectExpr("id AS u", "0L AS v"))
+    classes = cut(spark.range(1, 5000).selectExpr("id AS node", "CAST(NULL AS BINARY) AS sketch", "xxhash64(id) AS fp"))
+    for found in (near_duplicates(df), _with_least(edges), trie_self_join(classes)):
+        found.collect()
+        assert "SortMergeJoin" in planned(found) and "Broadcast" not in planned(found)
+    assert {(r.u, r.m) for r in _with_least(edges).collect()} == {(i, 0) for i in range(1, 5000)}
