@@ -73,3 +73,31 @@ def test_silhouette_leaves_far_clusters_out_and_rows_without_values(spark):
     df = spark.createDataFrame(rows, "i int, c string, x double, y double, z double").repartition(5)
     for held_rows in (1000, 50):
         assert clusters.silhouette(df, "c", ["x", "y", "z"], "i", held_rows=held_rows).first()[0] == pytest.approx(want, abs=1e-9)
+
+
+def test_silhouette_of_copies_compares_different_rows_only(spark, monkeypatch):
+    """Copies count as often as they come, but are compared once; points far from zero keep their digits."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 2)) * 1e-3 + np.repeat(np.arange(3), 30)[:, None] * 0.01 + 1e4
+    k, times = np.repeat(np.arange(3), 30), rng.integers(1, 9, 90)
+    rows = [(f"c{c}", *map(float, p)) for c, p, n in zip(k, x, times) for _ in range(n)]
+    d, w = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)), times.astype(float)
+    sizes = np.bincount(k, w)
+    means = np.stack([d[:, k == c] @ w[k == c] / (sizes[c] - (k == c)) for c in range(3)], 1)
+    a = means[np.arange(90), k]
+    means[np.arange(90), k] = np.inf
+    b = means.min(1)
+    seen = []
+    made = clusters._Held.__init__
+    monkeypatch.setattr(clusters._Held, "__init__", lambda self, k, *a: seen.append(len(k)) or made(self, k, *a))
+    df = spark.createDataFrame(rows, "c string, x double, y double").repartition(4)
+    assert clusters.silhouette(df, "c", ["x", "y"], "i").first()[0] == pytest.approx(((b - a) / np.maximum(a, b)) @ w / w.sum(), abs=1e-9)
+    assert sum(seen) == 90
+
+
+def test_distance_sums_of_close_and_far_points():
+    rng = np.random.default_rng(4)
+    a, b, w = rng.normal(size=(700, 64)), rng.normal(size=(300, 64)), rng.integers(1, 5, 300).astype(float)
+    b[:50], b[50:60] = a[:50], a[50:60] + 1e-7
+    want = np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1)) @ w
+    assert clusters.distance_sums(a, b, w) == pytest.approx(want, rel=1e-12)
