@@ -71,3 +71,22 @@ def test_buffers_of_a_table(spark):
     assert rows[2].buffer is None and rows[3].buffer is None
     sort = lambda r: sorted((round(p.x, 9), round(p.y, 9)) for p in r[:-1])
     assert sort(rows[1].buffer[0]) == sort(rows[1].ring)
+
+
+@pytest.mark.parametrize("turn", [0.0, 0.3])
+def test_convex_shapes_without_an_outline(spark, turn):
+    """Convex shapes and segments have the outline's buffer, but are not outlined one by one."""
+    c, s = math.cos(turn), math.sin(turn)
+    shapes = [[(0, 0), (4, 0), (4, 3), (0, 3)], [(0, 3), (4, 3), (4, 0), (0, 0)], [(0, 0), (2, 0), (4, 0), (4, 3)], [(1, 1), (7, 2), (5, 6), (2, 5), (1, 3)], [(0, 0), (5, 0), (1, 1), (0, 5)]]
+    rings = [[(c * x - s * y + 50, s * x + c * y) for x, y in [*p, p[0]]] for p in shapes]
+    assert [B._corners(np.array(r)) is None for r in rings] == [False] * 4 + [True]
+    area = lambda found: sum(B._signed(np.array(r)[:-1]) for r in found)
+    rows = [(i, [r], r[:2]) for i, r in enumerate(rings)]
+    df = spark.createDataFrame(rows, f"id int, polygon {P.POLYGON}, side array<struct<x:double,y:double>>")
+    got = {r.id: r for r in B.buffer(B.buffer(df, "polygon", 1.5, True, "a"), "side", 1.5, False, "b").collect()}
+    for i, r in enumerate(rings):
+        line = np.array(r[:2])
+        assert area([[(p.x, p.y) for p in x] for x in got[i].a]) == pytest.approx(area(B.buffer_of([np.array(r)], 1.5, True)))
+        assert area([[(p.x, p.y) for p in x] for x in got[i].b]) == pytest.approx(area(B.buffer_of([line], 1.5, False)))
+        (ring,) = [np.array([(p.x, p.y) for p in x]) for x in got[i].b]
+        check([ring], np.hstack([line[:-1], line[1:]]), lambda p: np.zeros(len(p), bool), 1.5)
